@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm import bpe_transducer, line_dedup, quality, sharding, token_counts
+from dialoom.llm import bpe_transducer, decontamination, line_dedup, quality, sharding, substring_dedup, suffix_dedup, token_counts
 from dialoom.llm.session import documents
 
 
@@ -17,6 +17,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.repeated_strings(documents(spark, sf_dir)))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir)).drop("body", "distance")
 
@@ -25,11 +29,24 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.repeated_passages(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", substring_dedup.n_removed().alias("n_removed"), F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.remove_boilerplate(documents(spark, sf_dir))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(documents(spark, sf_dir))
 
@@ -50,6 +67,6 @@ UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op4_token_counts, op6_line_dedup, op8_sharding, op10_bpe_codec)
+    f.__name__: f for f in (op1_suffix_array_dedup, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_line_dedup, op7_decontamination, op8_sharding, op10_bpe_codec)
 }
 ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL}
