@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm import bpe_transducer, decontamination, line_dedup, quality, sharding, substring_dedup, suffix_dedup, token_counts
+from dialoom.llm import bpe_transducer, context_tree, decontamination, line_dedup, quality, sharding, substring_dedup, suffix_dedup, token_counts
 from dialoom.llm.session import documents
 
 
@@ -51,6 +51,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(documents(spark, sf_dir))
 
 
+def op9_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(documents(spark, sf_dir))
+
+
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.round_trip(documents(spark, sf_dir), _tokenizer("byte_bpe_multi_50k.tiktoken"))
 
@@ -67,6 +71,6 @@ UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_array_dedup, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_line_dedup, op7_decontamination, op8_sharding, op10_bpe_codec)
+    f.__name__: f for f in (op1_suffix_array_dedup, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_line_dedup, op7_decontamination, op8_sharding, op9_context_tree_scores, op10_bpe_codec)
 }
 ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL}
