@@ -24,11 +24,11 @@ CHUNKS = 2
 NO_ID = np.iinfo(np.int64).min
 
 
-def deal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``chunk``, ``id`` (bigint; null becomes the least) and ``text``, dealt by chunk."""
+def deal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: tuple[str, ...] = ("id", "text")) -> DataFrame:
+    """``chunk``, ``id`` (bigint) and ``text``, dealt by chunk; ``by``: what decides the chunk."""
     n = partitions(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(CHUNKS * n)).cast("int").alias("chunk"), "id", "text").repartition(n, "chunk")
+    return rows.select(F.pmod(F.xxhash64(*by), F.lit(CHUNKS * n)).cast("int").alias("chunk"), "id", "text").repartition(n, "chunk")
 
 
 def chunk_of(table: pa.Table) -> tuple[pa.Array, np.ndarray, pa.ChunkedArray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm import bpe_transducer, context_tree, decontamination, line_dedup, quality, sharding, substring_dedup, suffix_dedup, token_counts
+from dialoom.llm import bpe_transducer, context_tree, decontamination, line_dedup, minhash_dedup, quality, sharding, substring_dedup, suffix_dedup, token_counts
 from dialoom.llm.session import documents
 
 
@@ -21,6 +21,10 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.repeated_strings(documents(spark, sf_dir)))
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir)).drop("body", "distance")
 
@@ -71,6 +75,6 @@ UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_array_dedup, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_line_dedup, op7_decontamination, op8_sharding, op9_context_tree_scores, op10_bpe_codec)
+    f.__name__: f for f in (op1_suffix_array_dedup, op2_minhash_dedup, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_line_dedup, op7_decontamination, op8_sharding, op9_context_tree_scores, op10_bpe_codec)
 }
 ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL}
