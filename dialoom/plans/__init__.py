@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("sequences",)
+AREAS = ("sequences", "chat")
 
 
 def load() -> tuple[dict, dict]:

@@ -260,16 +260,13 @@ def half_second_windows(spark: SparkSession, d: str) -> DataFrame:
     return df.select("file_id", "seg_idx", "k", left.alias("left_s"), F.least(left + 0.5, "end_s").alias("right_s")).filter("right_s - left_s >= 0.2")
 
 
-@query(f"""{SEGMENTS_SQL}, dur AS (SELECT file_id, max(end_s) AS d FROM seg GROUP BY file_id), o AS (SELECT file_id, coalesce(sum(d) OVER (ORDER BY file_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM dur WHERE file_id % 10 = 0)
+@query(f"""{SEGMENTS_SQL}, dur AS (SELECT file_id, max(end_s) AS d FROM seg GROUP BY file_id), o AS (SELECT file_id, coalesce(sum(d) OVER (PARTITION BY file_id // 3 ORDER BY file_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM dur)
 SELECT s.file_id, seg_idx, start_s + off AS start_s, end_s + off AS end_s FROM seg s JOIN o USING (file_id)""")
 def cumulative_offset(spark: SparkSession, d: str) -> DataFrame:
-    """Chunks one after another: each starts where the durations before it end.
-
-    The parts of one recording are the rows of one window; here every tenth file is a part.
-    """
+    """Parts of a recording (three files each) one after another: each starts where the durations before it end."""
     seg = segments(spark, d)
-    before = W.partitionBy(F.lit(0)).orderBy("file_id").rowsBetween(W.unboundedPreceding, -1)
-    off = seg.groupBy("file_id").agg(F.max("end_s").alias("d")).filter("file_id % 10 = 0").select("file_id", F.coalesce(F.sum("d").over(before), F.lit(0.0)).alias("off"))
+    before = W.partitionBy(F.floor(F.col("file_id") / 3)).orderBy("file_id").rowsBetween(W.unboundedPreceding, -1)
+    off = seg.groupBy("file_id").agg(F.max("end_s").alias("d")).select("file_id", F.coalesce(F.sum("d").over(before), F.lit(0.0)).alias("off"))
     return seg.join(off, "file_id").select("file_id", "seg_idx", (F.col("start_s") + F.col("off")).alias("start_s"), (F.col("end_s") + F.col("off")).alias("end_s"))
 
 

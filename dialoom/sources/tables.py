@@ -18,7 +18,7 @@ seg AS (SELECT file_id, event_id, row_number() OVER (PARTITION BY file_id ORDER
 win AS (SELECT DISTINCT file_id, (CAST(start_s AS BIGINT) // 30) * 30 AS w_start, (CAST(start_s AS BIGINT) // 30) * 30 + 30 AS w_end FROM seg)
 """
 
-CHAT_SQL = """WITH chat AS (SELECT conv_id, turn, role, text FROM conversations WHERE (conv_id * 7 + turn) % 5 <> 0)
+CHAT_SQL = """WITH chat AS (SELECT conv_id, turn, CASE WHEN (conv_id * 7 + turn) % 5 = 0 THEN 'tool' ELSE role END AS role, text FROM conversations)
 """
 
 
@@ -53,5 +53,6 @@ def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns with holes, so that equal roles meet and indexes jump."""
-    return table(spark, sf_dir, "conversations").filter((F.col("conv_id") * 7 + F.col("turn")) % 5 != 0)
+    """Conversation turns of which some have a role that chat samples leave out, so that equal roles meet and indexes jump."""
+    role = F.when((F.col("conv_id") * 7 + F.col("turn")) % 5 == 0, "tool").otherwise(F.col("role"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", role.alias("role"), "text")
