@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("sequences", "chat")
+AREAS = ("sequences", "chat", "intervals", "aggregates")
 
 
 def load() -> tuple[dict, dict]:
