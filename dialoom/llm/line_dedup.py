@@ -6,14 +6,16 @@ else have no key and always stay.  A line spreads over the distinct sites
 merged for each line hash; lines whose estimate lies near the threshold get an
 exact count of distinct sites, others keep the sketch's verdict.  A line that
 spreads over ``min_sites`` or more is boilerplate and goes from every document
-but the first (smallest id) that holds it, where it stays once.
+but the first (smallest id) that holds it, where it stays once, and but those that consist of such lines for
+more than half: they are copies of documents, which near-duplicate removal is
+for.
 
 Sketches are merged in partial aggregates, so a line that a third of all
 documents holds is one sketch a task.  Lines are carried as a 64-bit hash and
 length.
 
 Cases: a null text has no lines and stays null; a null site counts as no site;
-documents that repeat an id are told apart by their text's hash, and rows equal
+the lines' hashes are written once, to the shared folder; documents that repeat an id are told apart by their text's hash, and rows equal
 in both share their fate; extra columns pass through unchanged; an empty table
 gives no rows.
 """
@@ -23,14 +25,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dialoom.llm.session import cut
+
 MIN_SITES = 10
+#: A document of which more than this part of the lines' characters is boilerplate is a copy of a
+#: document rather than one with boilerplate in it, and keeps its lines.
 #: Registers of a sketch, as a power of two, and the estimates that are settled exactly,
 #: as parts of the threshold: over 20 standard errors (1.04 / 2**6) to either side.
+MOST_OF_TEXT = 0.5
 LG_K, NEAR = 12, (0.5, 1.6)
 
 
 def line_key(line: Column) -> Column:
-    return F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    return F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
@@ -40,13 +47,12 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFr
     ).filter("key <> ''").select("id", "body", "site", "pos", F.xxhash64("key").alias("line"), F.length("key").alias("size"))
 
 
-def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
-    """Keys (hash and length) of lines that spread over ``min_sites`` sites, with the first document and position of each."""
-    lines = _lines(docs, id_col, text_col, site_col)
+def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """Keys (hash and length) of ``lines`` that spread over ``min_sites`` sites, with the first document and position of each."""
     first = F.min(F.struct("id", "body", "pos")).alias("first")
     spread = lines.groupBy("line", "size").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("sites"), first)
-    sure = spread.filter(F.col("sites") > NEAR[1] * min_sites)
-    near = spread.filter(F.col("sites").between(NEAR[0] * min_sites, NEAR[1] * min_sites))
+    spread = cut(spread.filter(F.col("sites") >= NEAR[0] * min_sites))
+    sure, near = spread.filter(F.col("sites") > NEAR[1] * min_sites), spread.filter(F.col("sites") <= NEAR[1] * min_sites)
     exact = (
         lines.join(near.select("line", "size"), ["line", "size"], "left_semi")
         .filter("site is not null").groupBy("line", "size").agg(F.countDistinct("site").alias("exact")).filter(F.col("exact") >= min_sites)
@@ -56,11 +62,13 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
     """``docs`` with boilerplate lines cut from the text, and ``n_lines``, ``n_removed``."""
-    lines = _lines(docs, id_col, text_col, site_col)
-    stock = boilerplate(docs, min_sites, id_col, text_col, site_col)
+    lines = cut(_lines(docs, id_col, text_col, site_col))
+    stock = boilerplate(lines, min_sites)
+    gone = F.col("first").isNotNull() & ~F.struct("id", "body", "pos").eqNullSafe(F.col("first"))
     gone = (
-        lines.join(stock, ["line", "size"]).filter("not (struct(id, body, pos) <=> first)")
-        .groupBy("id", "body").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
+        lines.join(stock, ["line", "size"], "left").groupBy("id", "body")
+        .agg(F.sum("size").alias("all"), F.sum(F.when(gone, F.col("size"))).alias("cut"), F.sort_array(F.collect_set(F.when(gone, F.col("pos")))).alias("gone"))
+        .filter(F.col("cut") <= MOST_OF_TEXT * F.col("all"))
         .select(F.col("id").alias("__id"), F.col("body").alias("__body"), F.col("gone").alias("__gone"))
     )
     joined = docs.join(gone, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__body")), "left")

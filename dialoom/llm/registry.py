@@ -67,10 +67,11 @@ OP6_SQL = r"""
 WITH l AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL),
 k AS (SELECT *, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS key FROM l),
 b AS (SELECT key, min(struct_pack(d := doc_id, p := pos)) AS first FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= 10),
-j AS (SELECT k.doc_id, k.pos, k.line, b.key IS NOT NULL AND struct_pack(d := k.doc_id, p := k.pos) <> b.first AS gone FROM k LEFT JOIN b ON k.key = b.key)
+j AS (SELECT k.doc_id, k.pos, k.line, length(k.key) AS size, b.key IS NOT NULL AND struct_pack(d := k.doc_id, p := k.pos) <> b.first AS hit FROM k LEFT JOIN b ON k.key = b.key),
+g AS (SELECT *, hit AND 2 * sum(CASE WHEN hit THEN size ELSE 0 END) OVER (PARTITION BY doc_id) <= sum(size) OVER (PARTITION BY doc_id) AS gone FROM j)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM j GROUP BY doc_id
+FROM g GROUP BY doc_id
 UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """
 
