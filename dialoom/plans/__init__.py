@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("sequences", "chat", "intervals", "aggregates", "quality_checks", "evaluation", "machines", "speakers")
+AREAS = ("sequences", "chat", "intervals", "aggregates", "quality_checks", "evaluation", "machines", "speakers", "streams")
 
 
 def load() -> tuple[dict, dict]:
