@@ -60,8 +60,8 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return sure.select("line", "size", "first").unionByName(near.join(exact, ["line", "size"]).select("line", "size", "first"))
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
-    """``docs`` with boilerplate lines cut from the text, and ``n_lines``, ``n_removed``."""
+def _cut(docs: DataFrame, min_sites: int, id_col: str, text_col: str, site_col: str) -> tuple[DataFrame, Column, Column, Column]:
+    """``docs`` with the removed positions, the text left, the numbers of lines and of removed ones."""
     lines = cut(_lines(docs, id_col, text_col, site_col))
     stock = boilerplate(lines, min_sites)
     gone = F.col("first").isNotNull() & ~F.struct("id", "body", "pos").eqNullSafe(F.col("first"))
@@ -75,9 +75,23 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str
     parts, none = F.split(docs[text_col], "\n"), F.col("__gone").isNull()
     # lines between two removed ones stay as they are: as many slices as removed lines, and one
     ends = F.concat("__gone", F.array(F.size(parts)))
-    kept = F.array_join(F.flatten(F.transform(ends, lambda end, i: F.slice(parts, F.when(i == 0, 0).otherwise(F.get("__gone", i - 1) + 1) + 1, end - F.when(i == 0, 0).otherwise(F.get("__gone", i - 1) + 1)))), "\n")
-    return joined.select(
-        *[F.when(none, docs[c]).otherwise(kept).alias(c) if c == text_col else docs[c] for c in docs.columns],
-        F.when(docs[text_col].isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
-        F.when(none, 0).otherwise(F.size("__gone")).cast("long").alias("n_removed"),
-    )
+    begin = lambda i: F.when(i == 0, 0).otherwise(F.get("__gone", i - 1) + 1)
+    kept = F.array_join(F.flatten(F.transform(ends, lambda end, i: F.slice(parts, begin(i) + 1, end - begin(i)))), "\n")
+    n_lines = F.when(docs[text_col].isNull(), 0).otherwise(F.size(parts)).cast("long")
+    return joined, F.when(none, docs[text_col]).otherwise(kept), n_lines, F.when(none, 0).otherwise(F.size("__gone")).cast("long")
+
+
+def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
+    """``docs`` with boilerplate lines cut from the text, and ``n_lines``, ``n_removed``, which take the place of columns so named."""
+    joined, text, n_lines, n_removed = _cut(docs, min_sites, id_col, text_col, site_col)
+    own = [text.alias(c) if c == text_col else docs[c] for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return joined.select(*own, n_lines.alias("n_lines"), n_removed.alias("n_removed"))
+
+
+def clean(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", size_col: str = "n_chars") -> DataFrame:
+    """``docs`` with boilerplate lines cut from the text; ``size_col``, if there is one, follows a text that was cut."""
+    joined, text, _, n_removed = _cut(docs, min_sites, id_col, text_col, site_col)
+    follow = {text_col: text}
+    if size_col in docs.columns:
+        follow[size_col] = F.when(n_removed > 0, F.length(text).cast(docs.schema[size_col].dataType)).otherwise(docs[size_col])
+    return joined.select(*[follow.get(c, docs[c]).alias(c) for c in docs.columns])
