@@ -8,7 +8,6 @@ for each document left.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from dialoom.llm import bpe_transducer, decontamination, line_dedup, minhash_dedup, quality
 from dialoom.llm.session import documents, store
@@ -23,9 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that many sites share; ``n_chars`` follows the text."""
-    cut = line_dedup.remove_boilerplate(docs)
-    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", n_chars).select(*docs.columns)
+    return line_dedup.clean(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
