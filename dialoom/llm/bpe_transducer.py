@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from dialoom.llm.token_counts import pre_tokens
 
-MOST_STATES = 300_000
-REMEMBERED = 700_000
+MOST_STATES = 200_000
+REMEMBERED = 450_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -221,6 +221,7 @@ def decode_stream(ids: Iterable[int], bytes_of: dict[int, bytes], step: int = 40
 
 
 _loaded: dict[str, tuple[MergeTransducer, dict[str, bytes]]] = {}
+_bytes_of: dict[str, dict[int, bytes]] = {}
 
 
 def _model(path: str) -> tuple[MergeTransducer, dict[str, bytes]]:
@@ -229,6 +230,13 @@ def _model(path: str) -> tuple[MergeTransducer, dict[str, bytes]]:
     return _loaded[path]
 
 
+def _vocabulary(path: str) -> dict[int, bytes]:
+    """Bytes of each id: all that decoding needs."""
+    if path not in _bytes_of:
+        _bytes_of[path] = {i: b for b, i in load_ranks(path).items()}
+    return _bytes_of[path]
+
+
 def encode_text(text: str, path: str) -> bytes:
     """Ids of a text as little-endian unsigned 32-bit integers."""
     machine, known = _model(path)
@@ -262,7 +270,7 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     kind = tokens.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = _model(path)[0].bytes_of
+        bytes_of = _vocabulary(path)
         for batch in batches:
             lo, size, out = 0, 0, []
             for k, ids in enumerate(batch.column(1)):

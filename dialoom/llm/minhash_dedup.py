@@ -38,6 +38,8 @@ from dialoom.llm.text import LOWER, WORD, blocks, flat, mix, spans, windows, wor
 
 SHINGLE, COORDINATES, AGREE, LONG = 5, 64, 34, 2048
 PREFIX = COORDINATES - AGREE + 1
+#: Shingles that a group of documents under comparison may hold, were all documents compared.
+GROUP_BYTES = 64 << 20
 U64 = np.uint64
 _rng = np.random.Generator(np.random.PCG64(77))
 TIMES = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * U64(2) + U64(1)
@@ -75,16 +77,15 @@ def terms_of(signatures: np.ndarray) -> np.ndarray:
     return mix(signatures.astype(np.uint64) | np.arange(COORDINATES, dtype=np.uint64) << U64(32))
 
 
-def _sign(key: tuple, table: pa.Table) -> pa.Table:
-    raw, _, texts = dealing.chunk_of(table)
-    n, one, two, sigs = [], [], [], []
-    for _, s in shingle_sets(*flat(texts)):
-        n.append(len(s))
-        one.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
-        two.append(int(mix(s ^ U64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
-        sigs.append(signature(s).tobytes() if len(s) else None)
-    chunk = pa.array([key[0].as_py()] * len(raw), pa.int32())
-    return pa.table({"chunk": chunk, "id": raw, "n": pa.array(n, pa.int64()), "one": pa.array(one, pa.int64()), "two": pa.array(two, pa.int64()), "sig": pa.array(sigs, pa.binary())})
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n, one, two, sigs = [], [], [], []
+        for _, s in shingle_sets(*flat(batch.column(2))):
+            n.append(len(s))
+            one.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
+            two.append(int(mix(s ^ U64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
+            sigs.append(signature(s).tobytes() if len(s) else None)
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(sigs, pa.binary())], ["chunk", "id", "n", "one", "two", "sig"])
 
 
 def _term_counts(table: pa.Table, _: list, buckets: int) -> dealing.Sent:
@@ -233,50 +234,55 @@ def _candidates(blobs: list, trees: bool) -> Iterator[bytes | None]:
     if trees and len(a):
         keep = forest(a, b, strength, len(ids))
         a, b = a[keep], b[keep]
-    # the document with more pairs travels
+    # the document with more pairs travels, the other waits where it is filed
     degree = np.bincount(a, minlength=len(ids)) + np.bincount(b, minlength=len(ids))
     swap = degree[a] < degree[b]
     a, b = np.where(swap, b, a), np.where(swap, a, b)
     for k in range(len(parts)):
         own = np.flatnonzero((a >= shift[k]) & (a < shift[k + 1]))
-        yield dealing.pack(ids[a[own]], ids[b[own]], chunks[b[own]]) if len(own) else None
+        waits = np.unique(b[(b >= shift[k]) & (b < shift[k + 1])])
+        yield dealing.pack(ids[a[own]], ids[b[own]], ids[waits]) if len(own) or len(waits) else None
 
 
-def _travel(table: pa.Table, answers: list) -> dealing.Sent:
-    """The shingles of documents with pairs, to the chunks of the others, with whom to compare them to."""
-    if not answers:
+def group_of(ids: np.ndarray, groups: int) -> np.ndarray:
+    return (mix(ids.astype(np.uint64)) % U64(groups)).astype(np.int64)
+
+
+def _travel(table: pa.Table, answers: list, groups: int) -> dealing.Sent:
+    """The shingles of documents with pairs to the groups where they are compared, one blob for each group."""
+    if not answers or not table.num_rows:
         return
     got = [dealing.unpack(x, np.int64, np.int64, np.int64) for x in answers]
-    rows = np.unique(np.stack([np.concatenate([p[k] for p in got]) for k in (2, 0, 1)], 1), axis=0)
+    pairs = np.unique(np.stack([np.concatenate([p[k] for p in got]) for k in (0, 1)], 1), axis=0)
+    waits = np.unique(np.concatenate([p[2] for p in got]))
+    # what goes where: (group, id)
+    a = np.unique(np.stack([group_of(pairs[:, 1], groups), pairs[:, 0]], 1), axis=0)
+    stay = np.stack([group_of(waits, groups), waits], 1)
+    goes = np.unique(np.concatenate([a, stay]), axis=0)
     _, ids, texts = dealing.chunk_of(table)
     sets: dict[int, list[np.ndarray]] = {}
-    for k, s in shingle_sets(*flat(texts), np.isin(ids, rows[:, 1])):
+    for k, s in shingle_sets(*flat(texts), np.isin(ids, goes[:, 1])):
         sets.setdefault(int(ids[k]), []).append(s)
-    for chunk in np.unique(rows[:, 0]).tolist():
-        own = rows[rows[:, 0] == chunk]
-        for a in np.unique(own[:, 1]).tolist():
-            others = own[own[:, 1] == a, 2]
-            for s in sets.get(a, ()):
-                yield chunk, dealing.pack(np.array([a]), others, s)
-
-
-def _confirm(table: pa.Table, travelled: list) -> pa.Table:
-    a_out, b_out = [], []
-    got = [dealing.unpack(x, np.int64, np.int64, np.uint64) for x in travelled]
-    if got and table.num_rows:
-        _, ids, texts = dealing.chunk_of(table)
-        sets: dict[int, list[np.ndarray]] = {}
-        for k, s in shingle_sets(*flat(texts), np.isin(ids, np.concatenate([p[1] for p in got]))):
-            sets.setdefault(int(ids[k]), []).append(s)
-        for (a,), others, shingles in got:
-            for b in others.tolist():
-                for s in sets.get(b, ()):
-                    both = int(dealing.found(s, shingles).sum())
-                    if both and 100 * both >= 75 * (len(s) + len(shingles) - both):
-                        a_out.append(int(a))
-                        b_out.append(b)
-                        break
-    return pa.table({"a": pa.array(a_out, pa.int64()), "b": pa.array(b_out, pa.int64())})
+    for group in np.unique(goes[:, 0]).tolist():
+        own = [(i, s) for i in goes[goes[:, 0] == group, 1].tolist() for s in sets.get(i, ())]
+        mine = pairs[group_of(pairs[:, 1], groups) == group]
+        yield group, dealing.pack(np.array([i for i, _ in own], np.int64), np.array([len(s) for _, s in own], np.int64), np.concatenate([s for _, s in own]) if own else np.zeros(0, np.uint64), mine[:, 0], mine[:, 1])
+
+
+def _confirm(table: pa.Table) -> pa.Table:
+    """Pairs of a group whose full sets are as similar as asked."""
+    sets: dict[int, list[np.ndarray]] = {}
+    pairs: set[tuple[int, int]] = set()
+    for blob in table.column("blob"):
+        ids, sizes, hashes, a, b = dealing.unpack(blob, np.int64, np.int64, np.uint64, np.int64, np.int64)
+        for i, s in zip(ids.tolist(), np.split(hashes, np.cumsum(sizes)[:-1]) if len(ids) else (), strict=True):
+            sets.setdefault(i, []).append(s)
+        pairs.update(zip(a.tolist(), b.tolist(), strict=True))
+    linked = []
+    for a, b in pairs:
+        if any((both := int(dealing.found(x, y).sum())) and 100 * both >= 75 * (len(x) + len(y) - both) for x in sets.get(a, ()) for y in sets.get(b, ())):
+            linked.append((a, b))
+    return pa.table({"a": pa.array([a for a, _ in linked], pa.int64()), "b": pa.array([b for _, b in linked], pa.int64())})
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -284,18 +290,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = partitions(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(dealing.NO_ID))).alias("id"), F.col(text_col).alias("text"))
     dealt = dealing.deal(rows, "id", "text", by=("id",))
-    signed = cut(dealt.groupBy("chunk").applyInArrow(_sign, "chunk int, id long, n long, one long, two long, sig binary"))
+    chunk = F.pmod(F.xxhash64("id"), F.lit(dealing.CHUNKS * buckets)).cast("int")
+    signed = cut(rows.select(chunk.alias("chunk"), "id", "text").mapInArrow(_sign, "chunk int, id long, n long, one long, two long, sig binary"))
     some, by = signed.filter("n > 0"), ["n", "one", "two"]
     classes = some.groupBy(*by).agg(F.min("id").alias("id"), F.min_by("chunk", "id").alias("chunk"), F.min_by("sig", "id").alias("sig"))
     classes = cut(classes.select("chunk", "id", *by, "sig"))
     members = some.select("id", *by).join(classes.select(F.col("id").alias("b"), *by), by).select(F.col("id").alias("a"), "b")
+    groups = 1 + int(classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) * 8 // GROUP_BYTES
     counted = cut(dealing.settle(dealing.send(classes, None, lambda t, _: _term_counts(t, _, buckets)), _common_terms))
 
     def links(reps: DataFrame, trees: bool) -> DataFrame:
         posted = dealing.send(reps, counted, lambda t, a: _postings(t, a, buckets))
         pairs = dealing.settle(posted, lambda blobs: _candidates(blobs, trees))
-        travelled = dealing.send(dealt, pairs, _travel).select(F.col("bucket").alias("chunk"), "blob")
-        return dealing.finish(dealt, travelled, _confirm, "a long, b long").distinct()
+        travelled = dealing.send(dealt, pairs, lambda t, a: _travel(t, a, groups))
+        return travelled.groupBy("bucket").applyInArrow(_confirm, "a long, b long").distinct()
 
     strong = cut(links(classes.withColumn("component", F.col("id")), True).unionByName(members))
     joined = components(strong)
