@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,3 +73,59 @@ def ingest_new(batch: DataFrame, target: str, key: str) -> int:
     if n:
         fresh.write.mode("append").parquet(target)
     return n
+
+
+DELTAS = "request_id long, text string, tokens long, done boolean"
+
+
+def fold_deltas(held: tuple[str, int, bool], payloads: list[str]) -> tuple[str, int, bool]:
+    """Text so far with the deltas of an inference stream; ``[DONE]`` ends it, and what comes after counts no more."""
+    text, tokens, done = held
+    for payload in payloads:
+        if done:
+            break
+        if payload.strip() == "[DONE]":
+            done = True
+            continue
+        try:
+            got = json.loads(payload)
+        except ValueError:
+            continue
+        text += str(got.get("delta") or "")
+        tokens = int((got.get("usage") or {}).get("completion_tokens") or tokens)
+    return text, tokens, done
+
+
+def delta_stream(df: DataFrame) -> DataFrame:
+    """The final text of each request from its stream of (request_id, seq, payload) rows, kept as state."""
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = state.get if state.exists else ("", 0, False)
+        for rows in batches:
+            held = fold_deltas(held, rows.sort_values("seq")["payload"].tolist())
+        state.update(held)
+        yield pd.DataFrame({"request_id": [key[0]], "text": [held[0]], "tokens": [held[1]], "done": [held[2]]})
+
+    return df.groupBy("request_id").applyInPandasWithState(step, DELTAS, "text string, tokens bigint, done boolean", "update", GroupStateTimeout.NoTimeout)
+
+
+def match_profiles(profiles: list[list[float]], weights: list[float], found: list[tuple[str, list[float], float]], least: float = 0.65) -> dict[str, int]:
+    """Speakers of a chunk to the running profiles, nearest first and one-to-one; new ones are added, met ones move by duration."""
+    unit = lambda v: (np.asarray(v, float) / (np.linalg.norm(v) or 1.0)).tolist()
+    known = len(profiles)
+    scores = [(float(np.dot(unit(v), unit(profiles[k]))), i, k) for i, (_, v, _) in enumerate(found) for k in range(known)]
+    out: dict[str, int] = {}
+    for score, i, k in sorted(scores, key=lambda s: (-s[0], s[1], s[2])):
+        if score >= least and found[i][0] not in out and k not in out.values():
+            out[found[i][0]] = k
+    for name, vector, seconds in found:
+        if name not in out:
+            out[name] = len(profiles)
+            profiles.append(unit(vector))
+            weights.append(seconds)
+        else:
+            k = out[name]
+            total = weights[k] + seconds
+            profiles[k] = unit((np.asarray(profiles[k]) * weights[k] + np.asarray(unit(vector)) * seconds) / (total or 1.0))
+            weights[k] = total
+    return out

@@ -100,3 +100,15 @@ def test_ingest_is_idempotent(spark, tmp_path):
     df = spark.createDataFrame([(1,), (2,), (2,)], "k int")
     target = str(tmp_path / "t")
     assert [events.ingest_new(df, target, "k"), events.ingest_new(df, target, "k")] == [2, 0]
+
+
+def test_deltas_fold_until_done():
+    rows = ['{"delta":"a"}', "broken", '{"delta":"b","usage":{"completion_tokens":2}}', "[DONE]", '{"delta":"late"}']
+    assert events.fold_deltas(("", 0, False), rows) == ("ab", 2, True)
+    assert events.fold_deltas(events.fold_deltas(("", 0, False), rows[:1]), rows[1:]) == ("ab", 2, True)
+
+
+def test_profiles_move_and_grow():
+    profiles, weights = [[1.0, 0.0]], [10.0]
+    got = events.match_profiles(profiles, weights, [("x", [0.9, 0.1], 5.0), ("y", [0.0, 1.0], 3.0), ("z", [0.95, 0.0], 1.0)])
+    assert got == {"z": 0, "x": 1, "y": 2} and weights == [11.0, 5.0, 3.0]
