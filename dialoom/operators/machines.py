@@ -261,3 +261,52 @@ def greedy_pairs(scores: list[tuple[float, str, str]]) -> dict[str, str]:
         if a not in out and b not in out.values():
             out[a] = b
     return out
+
+
+Block = tuple[str, float, float, list]
+
+
+def fold_blocks(blocks: list[Block], joins, most_samples: int | None = None) -> list[Block]:
+    """Neighbouring typed blocks (type, start, end, samples) joined where ``joins(current, next)`` says so; the first type stays."""
+    out: list[Block] = []
+    for block in blocks:
+        if out and joins(out[-1], block):
+            kind, start, _, samples = out[-1]
+            out[-1] = (kind, start, block[2], (samples + block[3])[:most_samples])
+        else:
+            out.append((block[0], block[1], block[2], block[3][:most_samples]))
+    return out
+
+
+def same_type(a: Block, b: Block) -> bool:
+    return a[0] == b[0]
+
+
+def same_or_short(a: Block, b: Block, host: float = 240, call: float = 120) -> bool:
+    """Equal types, or a short one of the other type inside."""
+    return a[0] == b[0] or b[2] - b[1] < (host if b[0] == "host" else call)
+
+
+def opening_prior(labels: list[str], start: list[float], duration: list[float], cue: list[bool]) -> list[str]:
+    """Of the first three sentences within 24 s one with a host's cue is the host's if a guest speaks 1.5 s in the next two; labels changed before count."""
+    out = list(labels)
+    for i in range(min(3, len(out))):
+        follows = any(out[j] == "guest" and duration[j] >= 1.5 for j in range(i + 1, min(i + 3, len(out))))
+        if start[i] <= 24 and cue[i] and follows:
+            out[i] = "host"
+    return out
+
+
+def voted(base: list[str], votes: list[tuple[str, float]], least: float = 0.6) -> list[str]:
+    """Labels overridden by window votes (label, share) of ``least`` or more."""
+    return [v if share >= least else b for b, (v, share) in zip(base, votes, strict=True)]
+
+
+def proportional_slices(text: str, shares: list[float]) -> list[str]:
+    """Consecutive pieces of a text by cumulative share, rounded half to even; nothing is lost."""
+    total, at, out = sum(shares) or 1.0, 0, []
+    for k in range(len(shares)):
+        to = len(text) if k == len(shares) - 1 else round(len(text) * sum(shares[: k + 1]) / total)
+        out.append(text[at:to])
+        at = to
+    return out

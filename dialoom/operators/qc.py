@@ -40,3 +40,36 @@ def exploded(df: DataFrame, *keys: str) -> DataFrame:
 def all_safe(issues: Column, safe: list[str]) -> Column:
     """Whether there are issues and all may be repaired without a look at the source."""
     return (F.size(issues) > 0) & F.forall(issues, lambda i: i["code"].isin(safe))
+
+
+def schema_rules(schema: dict, raw: str, path: str = "$") -> list[Rule]:
+    """Rules of a JSON Schema (required, type, const, enum, minimum, minItems, uniqueItems) on a column of JSON text.
+
+    A property that is null counts as absent; messages are not those of any validator.
+    """
+    value = lambda p: F.get_json_object(F.col(raw), p)
+    out = [Rule("schema_validation_error", value(f"{path}.{name}").isNull(), path=f"{path}.{name}: required") for name in schema.get("required", [])]
+    kinds = {"integer": r"^-?\d+$", "number": r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$", "boolean": "^(true|false)$", "array": r"^\[", "object": r"^\{"}
+    for name, own in schema.get("properties", {}).items():
+        at = f"{path}.{name}"
+        v = value(at)
+
+        def broken(what: str, when: Column, at: str = at, v: Column = v) -> Rule:
+            return Rule("schema_validation_error", v.isNotNull() & F.coalesce(when, F.lit(False)), path=f"{at}: {what}")
+
+        if own.get("type") in kinds:
+            out.append(broken("type", ~v.rlike(kinds[own["type"]])))
+        if "const" in own:
+            out.append(broken("const", v != str(own["const"])))
+        if "enum" in own:
+            out.append(broken("enum", ~v.isin([str(x) for x in own["enum"]])))
+        if "minimum" in own:
+            out.append(broken("minimum", v.try_cast("double") < own["minimum"]))
+        if "minItems" in own:
+            out.append(broken("minItems", F.json_array_length(v) < own["minItems"]))
+        if own.get("uniqueItems"):
+            items = F.from_json(v, "array<string>")
+            out.append(broken("uniqueItems", F.size(F.array_distinct(items)) < F.size(items)))
+        if own.get("type") == "object":
+            out += [Rule(r.code, v.isNotNull() & r.when, r.severity, r.path) for r in schema_rules(own, raw, at)]
+    return out

@@ -110,7 +110,7 @@ def dashboard_overview(spark: SparkSession, d: str) -> DataFrame:
     e, labels = table(spark, d, "events"), table(spark, d, "labels")
     facet = lambda df, name, c: df.groupBy(F.col(c).cast("string").alias("key")).agg(F.count("*").alias("n")).select(F.lit(name).alias("facet"), "key", "n")
     newest = e.agg(F.max("ts").alias("top"))
-    last7 = e.crossJoin(F.broadcast(newest)).filter(F.col("ts") >= F.col("top") - F.expr("INTERVAL 7 DAY")).agg(F.count("*").alias("n")).select(F.lit("last7").alias("facet"), F.lit("events").alias("key"), "n")
+    last7 = e.filter(F.col("ts") >= newest.scalar() - F.expr("INTERVAL 7 DAY")).agg(F.count("*").alias("n")).select(F.lit("last7").alias("facet"), F.lit("events").alias("key"), "n")
     ready = labels.filter("quality = 1 and toxic = 0").agg(F.count("*").alias("n")).select(F.lit("ready").alias("facet"), F.lit("labels").alias("key"), "n")
     return facet(e, "event_type", "event_type").unionByName(facet(table(spark, d, "documents"), "lang", "lang")).unionByName(facet(labels, "toxic", "toxic")).unionByName(last7).unionByName(ready)
 
@@ -145,7 +145,7 @@ def keyset_page(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
     newest = [F.desc("ts"), F.desc("event_id")]
     cursor = e.orderBy(*newest).limit(20).agg(F.min(F.struct("ts", "event_id")).alias("c"))
-    return e.join(F.broadcast(cursor), F.struct("ts", "event_id") < F.col("c")).orderBy(*newest).limit(21).select("event_id", "user_id", "value")
+    return e.filter(F.struct("ts", "event_id") < cursor.scalar()).orderBy(*newest).limit(21).select("event_id", "user_id", "value")
 
 
 @query("SELECT user_id, event_id, CAST(r AS BIGINT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS r FROM events) WHERE r <= 3")

@@ -100,3 +100,18 @@ def greedy_speaker_match(spark: SparkSession, d: str) -> DataFrame:
         return pd.DataFrame([(int(pdf.file_id.iloc[0]), *x) for x in sorted(got.items())], columns=["file_id", "local", "global"])
 
     return segments(spark, d).groupBy("file_id").applyInPandas(run, "file_id long, local string, global string")
+
+
+@query()
+def typed_window_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Windows of 120 s by type, neighbours joined unless a call follows the host."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("win", ignore_index=True)
+        blocks = [(k, w * 120.0, w * 120.0 + 120, [int(w)]) for k, w in zip(pdf.type, pdf.win, strict=True)]
+        rows = [(int(pdf.file_id.iloc[0]), i, b[0], b[1], b[2], len(b[3])) for i, b in enumerate(ops.fold_blocks(blocks, ops.same_or_short))]
+        return pd.DataFrame(rows, columns=["file_id", "block", "kind", "start_s", "end_s", "windows"])
+
+    from dialoom.plans.sequences import tumbling_blocks_typed
+
+    return tumbling_blocks_typed(spark, d).groupBy("file_id").applyInPandas(run, "file_id long, block long, kind string, start_s double, end_s double, windows long")

@@ -29,8 +29,8 @@ def cosine_to_centroid(spark: SparkSession, d: str) -> DataFrame:
 def nearest_role(spark: SparkSession, d: str) -> DataFrame:
     """The nearer of two centroids, which are one row."""
     e = table(spark, d, "embeddings")
-    two = v.centroids(e.filter(F.col("label").isin(0, 1)), ["label"], "embedding").agg(F.max(F.when(F.col("label") == 0, F.col("centroid"))).alias("a"), F.max(F.when(F.col("label") == 1, F.col("centroid"))).alias("b"))
-    x = e.crossJoin(F.broadcast(two))
+    two = v.centroids(e.filter(F.col("label").isin(0, 1)), ["label"], "embedding")
+    x = e.withColumns({c: two.filter(F.col("label") == k).select("centroid").scalar() for k, c in enumerate("ab")})
     return x.select("vec_id", "label", F.when(v.cosine(F.col("embedding"), F.col("b")) > v.cosine(F.col("embedding"), F.col("a")), 1).otherwise(0).alias("nearest"))
 
 

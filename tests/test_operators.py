@@ -162,3 +162,29 @@ def test_boundaries_against_a_plain_fold(seed):
         want.append((guest, start, rows[held[-1]][1]))
     got = [(s[0], s[3], s[4]) for s in machines.conversation_boundaries(frame(rows))]
     assert got == [x for x in want if x[2] - x[1] > 180]
+
+
+def test_blocks_and_priors():
+    w = lambda k, i: (k, i * 120.0, i * 120.0 + 120, [i])
+    got = machines.fold_blocks([w("host", 0), w("host", 1), w("call", 2), w("host", 3), w("call", 4)], machines.same_or_short)
+    assert [(b[0], b[3]) for b in got] == [("host", [0, 1]), ("call", [2, 3, 4])]
+    assert [b[3] for b in machines.fold_blocks([w("a", i) for i in range(9)], machines.same_type, 5)] == [[0, 1, 2, 3, 4]]
+    assert machines.opening_prior(["guest", "guest", "guest"], [0, 5, 30], [1, 2, 2], [True, True, True]) == ["host", "host", "guest"]
+    assert machines.voted(["host", "host"], [("guest", 0.6), ("guest", 0.59)]) == ["guest", "host"]
+    assert machines.proportional_slices("abcdefg", [1, 1, 1]) == ["ab", "cde", "fg"] and machines.proportional_slices("", [1]) == [""]
+
+
+def test_schema_rules(spark):
+    schema = {
+        "required": ["id", "meta"], "properties": {
+            "id": {"type": "string"}, "version": {"const": "v1"}, "grade": {"enum": ["A", "B"]}, "n": {"type": "integer", "minimum": 1},
+            "turns": {"type": "array", "minItems": 2, "uniqueItems": True}, "meta": {"type": "object", "required": ["topic"], "properties": {}},
+        },
+    }
+    good = '{"id":"x","version":"v1","grade":"A","n":2,"turns":[1,2],"meta":{"topic":"t"}}'
+    bad = '{"version":"v2","grade":"C","n":0,"turns":[1],"meta":{}}'
+    df = spark.createDataFrame([(1, good), (2, bad), (3, '{"id":"x","meta":{"topic":1},"turns":[1,1],"n":"z"}')], "k int, raw string")
+    got = {r.k: sorted(i.path for i in r.issues) for r in qc.evaluated(df, qc.schema_rules(schema, "raw")).collect()}
+    assert got[1] == []
+    assert got[2] == ["$.grade: enum", "$.id: required", "$.meta.topic: required", "$.n: minimum", "$.turns: minItems", "$.version: const"]
+    assert got[3] == ["$.n: type", "$.turns: uniqueItems"]
