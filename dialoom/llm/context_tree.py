@@ -11,8 +11,8 @@ its decisions' under the trees as they stand after training.
 
 A chunk sends each distinct string of ``DEPTH`` + 1 bytes with its training
 count to the bucket of its last two context bytes, where all deeper nodes meet;
-one small row for each such node of depth two or less is summed for the whole
-corpus (there are at most 2**16 * 255 of them, whatever the corpus); and
+what they give for the nodes of depth one, of which there are at most 256 * 255
+whatever the corpus, is summed and sent to all buckets; and
 the bucket answers the chunk with the log-probability of each string it sent.
 Words are counted in the same rounds for the base score.
 
@@ -40,6 +40,8 @@ DEPTH = 5
 STOP = 0xFF
 LOG2 = np.log(2.0)
 HELD_OUT = 10
+#: The key of the row of totals among the sums.
+TOTALS = -1
 U64 = np.uint64
 #: Names of words are hashes; the end of a text is a word of its own.
 END_WORD = U64(0x6A09E667F3BCC909)
@@ -123,24 +125,26 @@ class Nodes:
             self.keys[depth], self.zeros[depth], self.ones[depth], self.mine[depth], self.weighted[depth] = key, z, o, mine, weighted
             below_key, below = key, weighted
 
-    def rows(self, depth: int) -> tuple[np.ndarray, ...]:
-        return self.keys[depth], self.zeros[depth], self.ones[depth], self.weighted[depth]
+    def above(self) -> tuple[np.ndarray, ...]:
+        """For nodes of depth 1: keys, counts, and the product of what lies below them here."""
+        key = self.keys[2]
+        parent, place = np.unique((key >> U64(8) & U64(0xFF)) << U64(8) | key & U64(255), return_inverse=True)
+        return parent, *(np.bincount(place, x, len(parent)) for x in (self.zeros[2], self.ones[2], self.weighted[2]))
 
 
 class Top:
-    """The nodes of depth 0 and 1 from the corpus's nodes of depth 2."""
-
-    def __init__(self, keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray):
-        self.own: dict[int, tuple[np.ndarray, ...]] = {}
-        below_key, below, z, o = keys, weighted, zeros, ones
-        for depth in (1, 0):
-            parent = (below_key >> U64(8) & U64((1 << 8 * depth) - 1)) << U64(8) | below_key & U64(255)
-            key, place = np.unique(parent, return_inverse=True)
-            z, o = np.bincount(place, z, len(key)), np.bincount(place, o, len(key))
-            mine = log_kt(z, o)
-            weighted = halves(mine, np.bincount(place, below, len(key)))
-            self.own[depth] = (key, z, o, mine, weighted)
-            below_key, below = key, weighted
+    """The nodes of depth 0 and 1, from the corpus's sums for those of depth 1."""
+
+    def __init__(self, keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, product: np.ndarray):
+        order = np.argsort(keys)
+        key, z, o, product = keys[order], zeros[order], ones[order], product[order]
+        mine = log_kt(z, o)
+        weighted = halves(mine, product)
+        self.own = {1: (key, z, o, mine, weighted)}
+        root, place = np.unique(key & U64(255), return_inverse=True)
+        z, o = np.bincount(place, z, len(root)), np.bincount(place, o, len(root))
+        mine = log_kt(z, o)
+        self.own[0] = (root, z, o, mine, halves(mine, np.bincount(place, weighted, len(root))))
 
 
 def log_probabilities(codes: np.ndarray, nodes: Nodes, top: Top) -> np.ndarray:
@@ -200,6 +204,11 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, first + np.arange(n + 1)
 
 
+def steps(values: np.ndarray) -> np.ndarray:
+    """Differences of sorted values, the first from 0."""
+    return np.diff(values, prepend=values.dtype.type(0))
+
+
 def bucket_of(codes: np.ndarray, buckets: int) -> np.ndarray:
     """By the two bytes before the coded one."""
     return (mix(codes >> U64(8) & U64(0xFFFF)) % U64(buckets)).astype(np.int64)
@@ -235,40 +244,42 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         for b in range(buckets):
             own, mine = order[cuts[b] : cuts[b + 1]], other[ends[b] : ends[b + 1]]
             if len(own) or len(mine):
-                yield b, dealing.pack(codes[own], n[own].astype(np.uint32), tokens[mine], m[mine].astype(np.uint32), np.array([b]))
+                yield b, dealing.squeezed(steps(codes[own]), n[own].astype(np.uint32), steps(tokens[mine]), m[mine].astype(np.uint32), np.array([b]))
 
     def opened(blobs: list) -> list:
-        return [dealing.unpack(x, np.uint64, np.uint32, np.uint64, np.uint32, np.int64) for x in blobs]
+        parts = [dealing.unsqueezed(x, np.uint64, np.uint32, np.uint64, np.uint32, np.int64) for x in blobs]
+        return [[np.cumsum(p[0]), p[1], np.cumsum(p[2]), *p[3:]] for p in parts]
 
     def summary(table: pa.Table) -> pa.Table:
         parts = opened(list(table.column("blob")))
-        nodes = Nodes(*merged([(p[0], p[1]) for p in parts]))
+        keys, *sums = Nodes(*merged([(p[0], p[1]) for p in parts])).above()
         tokens, n = merged([(p[2], p[3]) for p in parts])
-        return pa.table({"nodes": pa.array([dealing.pack(*nodes.rows(2))], pa.binary()), "tokens": pa.array([int(n.sum())], pa.int64()), "kinds": pa.array([int((n > 0).sum())], pa.int64())})
-
-    sent = dealing.send(dealt, None, ask)
-    # one row for each bucket; its nodes have at most two bytes of context
-    rows = sent.groupBy("bucket").applyInArrow(summary, "nodes binary, tokens long, kinds long").collect()
-    parts = [dealing.unpack(pa.scalar(bytes(r[0]), pa.binary()), np.uint64, np.float64, np.float64, np.float64) for r in rows]
-    top = Top(*(np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.uint64 if not k else np.float64) for k in range(4)))
-    total, kinds = sum(r[1] for r in rows), sum(r[2] for r in rows)
-
-    def answer(blobs: list) -> Iterator[bytes]:
-        own = opened(blobs)
+        rows = [np.append(keys.astype(np.int64), TOTALS), *(np.append(x, 0.0) for x in sums), np.append(np.zeros(len(keys), np.int64), n.sum()), np.append(np.zeros(len(keys), np.int64), (n > 0).sum())]
+        return pa.table({c: pa.array(x) for c, x in zip(("key", "zeros", "ones", "product", "tokens", "kinds"), rows, strict=True)})
+
+    def answer(questions: pa.Table, above: pa.Table) -> pa.Table:
+        if not questions.num_rows:
+            return pa.table({"chunk": pa.array([], pa.int32()), "blob": pa.array([], pa.binary())})
+        rows = {c: np.array([r[c] for r in above.column("top")[0].as_py()]) for c in ("key", "zeros", "ones", "product", "tokens", "kinds")}
+        node = rows["key"] != TOTALS
+        top = Top(rows["key"][node].astype(np.uint64), *(rows[c][node] for c in ("zeros", "ones", "product")))
+        totals = np.array([rows["tokens"].sum(), rows["kinds"].sum()], np.int64)
+        own = opened(list(questions.column("blob")))
         codes, n = merged([(p[0], p[1]) for p in own])
         logs = log_probabilities(codes, Nodes(codes, n), top)
         tokens, m = merged([(p[2], p[3]) for p in own])
-        for p in own:  # in the order of the question, which the chunk finds again
-            yield dealing.pack(logs[np.searchsorted(codes, p[0])].astype(np.float32), m[np.searchsorted(tokens, p[2])].astype(np.uint32), p[4])
+        # in the order of the question, which the chunk finds again
+        out = [dealing.squeezed(logs[np.searchsorted(codes, p[0])].astype(np.float32), m[np.searchsorted(tokens, p[2])].astype(np.uint32), p[4], totals) for p in own]
+        return pa.table({"chunk": questions.column("chunk"), "blob": pa.array(out, pa.binary())})
 
     def result(table: pa.Table, answers: list) -> pa.Table:
         raw, _, texts = dealing.chunk_of(table)
         data, offsets = flat(texts)
         (codes, _), (tokens, _) = distinct_of(table)
         order, cuts, other, ends = by_buckets(codes, tokens)
-        logs, seen = np.zeros(len(codes)), np.zeros(len(tokens))
+        logs, seen, total, kinds = np.zeros(len(codes)), np.zeros(len(tokens)), 0, 0
         for x in answers:
-            own_logs, own_seen, (b,) = dealing.unpack(x, np.float32, np.uint32, np.int64)
+            own_logs, own_seen, (b,), (total, kinds) = dealing.unsqueezed(x, np.float32, np.uint32, np.int64, np.int64)
             logs[order[cuts[b] : cuts[b + 1]]] = own_logs
             seen[other[ends[b] : ends[b + 1]]] = own_seen
         base_of = np.log10((seen + 0.1) / (total + 0.1 * (kinds + 1)))
@@ -289,5 +300,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             "train_tokens": pa.array(np.full(len(n), total), pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(of, pa.float64()),
         })
 
-    out = dealing.finish(dealt, dealing.settle(sent, answer), result, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    # one exchange of questions, which both the sums and the answers read
+    sent = dealing.send(dealt, None, ask).repartition(buckets, "bucket")
+    columns = ("zeros", "ones", "product", "tokens", "kinds")
+    sums = sent.groupBy("bucket").applyInArrow(summary, "key long, zeros double, ones double, product double, tokens long, kinds long").groupBy("key").agg(*[F.sum(c).alias(c) for c in columns])
+    # at most 256 * 255 nodes and the totals, whatever the corpus
+    top = sums.agg(F.collect_list(F.struct("key", *columns)).alias("top"))
+    tops = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"), top.scalar().alias("top"))
+    answers = sent.groupBy("bucket").cogroup(tops.groupBy("bucket")).applyInArrow(answer, "chunk int, blob binary")
+    out = dealing.finish(dealt, answers, result, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("id", id_col)

@@ -54,6 +54,20 @@ def unpack(blob: pa.BinaryScalar, *kinds: type | str) -> list[np.ndarray]:
     return out
 
 
+def squeezed(*arrays: np.ndarray) -> bytes:
+    """As ``pack``, compressed; the bytes of each array's values lie by significance, so sorted values do best as differences."""
+    planes = [np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T) for a in map(np.ascontiguousarray, arrays)]
+    raw = pack(*planes)
+    return np.array([len(raw)], np.int64).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unsqueezed(blob: pa.BinaryScalar, *kinds: type | str) -> list[np.ndarray]:
+    data = blob.as_buffer()
+    raw = pa.decompress(data.slice(8), int(np.frombuffer(data, np.int64, 1)[0]), codec="zstd")
+    out = unpack(pa.scalar(raw, pa.binary()) if isinstance(raw, bytes) else pa.scalar(raw.to_pybytes(), pa.binary()), *[np.uint8] * len(kinds))
+    return [np.ascontiguousarray(x.reshape(np.dtype(k).itemsize, -1).T).view(k).ravel() for x, k in zip(out, kinds, strict=True)]
+
+
 Sent = Iterator[tuple[int, bytes]]
 
 

@@ -176,7 +176,7 @@ def test_context_tree_is_a_probability_and_learns():
     value, _ = context_tree.grams(data, offsets)
     codes, counts = context_tree.counted(value, np.ones(len(value), bool))
     nodes = context_tree.Nodes(codes, counts)
-    top = context_tree.Top(*nodes.rows(2))
+    top = context_tree.Top(*nodes.above())
     for context in (int(codes[0]) >> 8, 0x4142434445):
         every = np.array([context << 8 | b for b in range(256)], np.uint64)
         p = np.exp(context_tree.log_probabilities(every, nodes, top))
