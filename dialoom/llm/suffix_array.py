@@ -166,9 +166,8 @@ class SuffixOrder:
         while reach < DEPTH // 2 and len(tied):
             beyond = tied + reach
             key = np.where(beyond < m, rank[np.minimum(beyond, m - 1)] + 1, 0).astype(np.uint64)
-            refine(rank, tied, key, np.ones(len(tied), bool))
+            tied = refine(rank, tied, key, np.ones(len(tied), bool))
             reach *= 2
-            tied = among(rank)
         return at[np.argsort(rank, kind="stable")]
 
     def _seeds(self) -> Queues:
@@ -261,7 +260,13 @@ def refine(rank: np.ndarray, tied: np.ndarray, key: np.ndarray, further: np.ndar
 
     A rank is the number of members before the first with it.
     """
-    order = np.lexsort((key, rank[tied]))
+    ranks = rank[tied]
+    if not len(ranks) or ranks.max() == ranks.min():
+        order = np.argsort(key)
+    elif key.max() < 1 << 32 and ranks.max() < 1 << 31:  # both fit one number
+        order = np.argsort(ranks.astype(np.uint64) << np.uint64(32) | key)
+    else:
+        order = np.lexsort((key, ranks))
     old, sorted_key = rank[tied][order], key[order]
     new = np.append(True, (old[1:] != old[:-1]) | (sorted_key[1:] != sorted_key[:-1]))
     head = np.append(True, old[1:] != old[:-1])

@@ -33,6 +33,8 @@ from dialoom.llm.text import BYTE_BASE, BYTE_VALUES, between, blocks, flat, mix,
 WIDTH, GRAM = 50, 16
 U64 = np.uint64
 MOST = np.iinfo(np.int64).max
+#: Bytes of the shards that a bucket's names are dealt to; a name alone may need more.
+SHARD = 1 << 20
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray, width: int, block: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -77,33 +79,58 @@ def cut_out(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
 
 def decide(blobs: list, width: int, memory: int) -> Iterator[bytes | None]:
     """To each chunk: for its stretches with strings that a smaller id has, the mark, the number of strings, and a bit for each."""
-    parts = [dealing.unpack(x, np.uint64, np.int64, np.uint32, np.uint8) for x in blobs]
-    marks, ids, strings = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    parts = [dealing.unpack(x, np.uint64, np.uint64, np.int64, np.uint32, np.uint8) for x in blobs]
+    marks, names, ids, strings = (np.concatenate([p[k] for p in parts]) for k in range(4))
     strings = strings.astype(np.int64)
+    begin = np.append(0, np.cumsum(strings + width - 1))
+    source = np.concatenate([*(p[4] for p in parts), np.zeros(1, np.uint8)])
     order = np.lexsort((ids, marks))
     once = order[np.append(True, marks[order][1:] != marks[order][:-1])]
-    smallest = ids[once]
-    # the distinct stretches' bytes, one more after each for its end
-    sizes = strings + width - 1
-    begin = np.append(0, np.cumsum(sizes))
-    source = np.concatenate([p[3] for p in parts])
-    room = sizes[once] + 1
-    where = np.append(0, np.cumsum(room))
-    text = cut_out(np.append(source, np.zeros(1, np.uint8)), begin[once], room)
     # the smallest id of each distinct stretch's strings, to be lowered
     filed = np.append(0, np.cumsum(strings[once]))
-    best = np.repeat(smallest, strings[once])
+    best = np.repeat(ids[once], strings[once])
+    # stretches with one name go together; one alone under its name shares nothing with any other
+    by_name = np.argsort(names[once], kind="stable")
+    sorted_names = names[once][by_name]
+    edge = np.flatnonzero(np.append(True, sorted_names[1:] != sorted_names[:-1]))
+    group = np.repeat(np.arange(len(edge)), np.diff(np.append(edge, len(by_name))))
+    several = np.bincount(group)[group] > 1
+    by_name, group = by_name[several], group[several]
+    upto = np.cumsum(strings[once][by_name] + width)
+    lo = 0
+    while lo < len(by_name):
+        hi = int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + SHARD, "right"))
+        hi = int(np.searchsorted(group, group[max(hi - 1, lo)], "right"))
+        own = by_name[lo:hi]
+        _lower_shard(best, filed[own], strings[once][own], begin[once[own]], source, width, memory)
+        lo = hi
+    at = np.searchsorted(marks[once], marks)
+    lo = 0
+    for part in parts:
+        own = np.arange(lo, lo + len(part[0]))
+        lo += len(part[0])
+        n = strings[own]
+        slots = np.repeat(filed[at[own]] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(int(n.sum()))
+        bits = best[slots] < np.repeat(ids[own], n)
+        hit = np.add.reduceat(bits, np.append(0, np.cumsum(n)[:-1])) > 0
+        yield dealing.pack(marks[own][hit], n[hit].astype(np.uint32), np.packbits(bits[np.repeat(hit, n)])) if hit.any() else None
+
+
+def _lower_shard(best: np.ndarray, filed: np.ndarray, strings: np.ndarray, begin: np.ndarray, source: np.ndarray, width: int, memory: int) -> None:
+    """Lowers each string's id in ``best`` to the smallest of all equal strings of the shard's stretches."""
+    room = strings + width  # one more after each for its end
+    where = np.append(0, np.cumsum(room))
+    text = cut_out(source, begin, room)
+    slot_of = np.full(len(text) + 1, -1)
+    starts = np.repeat(where[:-1] - np.append(0, np.cumsum(strings)[:-1]), strings) + np.arange(int(strings.sum()))
+    slot_of[starts] = np.repeat(filed - np.append(0, np.cumsum(strings)[:-1]), strings) + np.arange(int(strings.sum()))
     suffixes = SuffixOrder(text, where[1:] - 1, memory)
     try:
         held: list[np.ndarray] = []
         least = MOST
         for positions, common in suffixes:
-            piece = np.searchsorted(where, positions, "right") - 1
-            inside = positions - where[np.minimum(piece, len(once))]
-            valid = piece < len(once)
-            valid[valid] = inside[valid] < strings[once][piece[valid]]
-            slot = np.where(valid, filed[np.minimum(piece, len(once) - 1)] + inside, -1)
-            own = np.where(valid, best[slot], MOST)
+            slot = slot_of[positions]
+            own = np.where(slot >= 0, best[slot], MOST)
             new = np.flatnonzero(np.append(True, common[1:] < width))
             floor = np.minimum.reduceat(own, new)
             if common[0] >= width:  # goes on from the block before
@@ -124,16 +151,6 @@ def decide(blobs: list, width: int, memory: int) -> Iterator[bytes | None]:
             _lower(best, held, least)
     finally:
         suffixes.close()
-    at = np.searchsorted(marks[once], marks)
-    lo = 0
-    for part in parts:
-        own = np.arange(lo, lo + len(part[0]))
-        lo += len(part[0])
-        n = strings[own]
-        slots = np.repeat(filed[at[own]] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(int(n.sum()))
-        bits = best[slots] < np.repeat(ids[own], n)
-        hit = np.add.reduceat(bits, np.append(0, np.cumsum(n)[:-1])) > 0
-        yield dealing.pack(marks[own][hit], n[hit].astype(np.uint32), np.packbits(bits[np.repeat(hit, n)])) if hit.any() else None
 
 
 def _lower(best: np.ndarray, held: list[np.ndarray], least: int) -> None:
@@ -166,7 +183,7 @@ def repeated_strings(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id"
         for b in range(buckets):
             own = once[cuts[b] : cuts[b + 1]]
             if len(own):
-                yield b, dealing.pack(mark[own], ids[rows[own]], strings[own].astype(np.uint32), cut_out(data, start[own], strings[own] + width - 1))
+                yield b, dealing.pack(mark[own], name[own], ids[rows[own]], strings[own].astype(np.uint32), cut_out(data, start[own], strings[own] + width - 1))
 
     def remove(table: pa.Table, answers: list) -> pa.Table:
         raw, ids, texts = dealing.chunk_of(table)

@@ -23,7 +23,7 @@ def test_strings_in_small_blocks(docs, rows, monkeypatch):
     blobs, ids = [], [5, 3, 9, 1]
     for i, p in zip(ids, pieces, strict=True):
         n = len(p) - 49
-        blobs.append(pa.scalar(dealing.pack(np.array([i * 77], np.uint64), np.array([i]), np.array([n], np.uint32), np.frombuffer(p, np.uint8)), pa.binary()))
+        blobs.append(pa.scalar(dealing.pack(np.array([i * 77], np.uint64), np.array([9], np.uint64), np.array([i]), np.array([n], np.uint32), np.frombuffer(p, np.uint8)), pa.binary()))
     original = suffix_array.SuffixOrder.__init__
     answers = []
     for block in (16, 1 << 20):
@@ -98,9 +98,10 @@ def test_long_lists_in_parts(docs, rows, monkeypatch):
 
 def test_components(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, 101), (101, 102), (200, 100), (7, 7), (500, 501), (500, 501)]
-    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {k: 0 for k in range(1, 31)} | {101: 100, 102: 100, 200: 100, 501: 500}
-    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    for few in (0, 1000):
+        got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long"), few).collect()}
+        assert got == {k: 0 for k in range(1, 31)} | {101: 100, 102: 100, 200: 100, 501: 500}
+        assert components.components(spark.createDataFrame([], "a long, b long"), few).count() == 0
 
 
 def test_empty(empty):
