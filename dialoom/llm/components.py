@@ -1,13 +1,40 @@
-"""Connected components by alternating large and small stars."""
+"""Connected components by alternating large and small stars.
+
+Up to ``FEW`` edges, which are counted first, one task joins them in memory
+instead; the components are the same either way.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialoom.llm.session import cut
 
 MOST_ROUNDS = 60
+FEW = 500_000
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each node's least reachable node, for the edges of one task."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = root(u), root(v)
+            if a != b:
+                up[max(a, b)] = min(a, b)
+                up.setdefault(min(a, b), min(a, b))
+    rows = [(x, r) for x in up if (r := root(x)) != x]
+    yield pa.record_batch([pa.array([x for x, _ in rows], pa.int64()), pa.array([r for _, r in rows], pa.int64())], ["node", "component"])
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -20,13 +47,15 @@ def _stars(edges: DataFrame) -> DataFrame:
     return small.unionByName(own.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, few: int = FEW) -> DataFrame:
     """``node`` and ``component``, the least node that can be reached, for nodes that are not their own.
 
     ``edges``: columns a and b.  Neighbours of a node are never gathered; each
     round is joins and least values, and is written to the shared folder.
     """
     now = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    if now.count() <= few:
+        return now.repartition(1).mapInArrow(_joined, "node long, component long")
     mark = None
     for _ in range(MOST_ROUNDS):
         row = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()

@@ -40,6 +40,8 @@ SHINGLE, COORDINATES, AGREE, LONG = 5, 64, 34, 2048
 PREFIX = COORDINATES - AGREE + 1
 #: Shingles that a group of documents under comparison may hold, were all documents compared.
 GROUP_BYTES = 64 << 20
+#: 8 MB of bits.
+SIEVE_BITS = 1 << 26
 U64 = np.uint64
 _rng = np.random.Generator(np.random.PCG64(77))
 TIMES = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * U64(2) + U64(1)
@@ -244,6 +246,23 @@ def _candidates(blobs: list, trees: bool) -> Iterator[bytes | None]:
         yield dealing.pack(ids[a[own]], ids[b[own]], ids[waits]) if len(own) or len(waits) else None
 
 
+def _with_pairs(table: pa.Table) -> pa.Table:
+    """A chunk's own documents that its answers name."""
+    got = [dealing.unpack(x, np.int64, np.int64, np.int64) for x in table.column("blob")]
+    return pa.table({"id": pa.array(np.unique(np.concatenate([x for p in got for x in (p[0], p[2])])), pa.int64())})
+
+
+def _sifted(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` whose id may be among ``ids``: a Bloom filter of ``SIEVE_BITS``, which bounds what is broadcast.
+
+    What it lets through in error is not asked for later; as it fills, more rows pass.
+    """
+    at = F.pmod(F.xxhash64("id"), F.lit(SIEVE_BITS))
+    word, bit = F.shiftright(at, 6), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {SIEVE_BITS}) % 64 as int))")
+    words = ids.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    return rows.join(F.broadcast(words), word == F.col("__word")).filter(F.col("__bits").bitwiseAND(bit) != 0).select(*rows.columns)
+
+
 def group_of(ids: np.ndarray, groups: int) -> np.ndarray:
     return (mix(ids.astype(np.uint64)) % U64(groups)).astype(np.int64)
 
@@ -289,7 +308,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: id, n_shingles, component_id (least linked id) and kept (whether it is that one)."""
     buckets = partitions(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(dealing.NO_ID))).alias("id"), F.col(text_col).alias("text"))
-    dealt = dealing.deal(rows, "id", "text", by=("id",))
     chunk = F.pmod(F.xxhash64("id"), F.lit(dealing.CHUNKS * buckets)).cast("int")
     signed = cut(rows.select(chunk.alias("chunk"), "id", "text").mapInArrow(_sign, "chunk int, id long, n long, one long, two long, sig binary"))
     some, by = signed.filter("n > 0"), ["n", "one", "two"]
@@ -301,8 +319,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def links(reps: DataFrame, trees: bool) -> DataFrame:
         posted = dealing.send(reps, counted, lambda t, a: _postings(t, a, buckets))
-        pairs = dealing.settle(posted, lambda blobs: _candidates(blobs, trees))
-        travelled = dealing.send(dealt, pairs, lambda t, a: _travel(t, a, groups))
+        pairs = cut(dealing.settle(posted, lambda blobs: _candidates(blobs, trees)))
+        needed = _sifted(rows, pairs.groupBy("chunk").applyInArrow(_with_pairs, "id long"))
+        travelled = dealing.send(dealing.deal(needed, "id", "text", by=("id",)), pairs, lambda t, a: _travel(t, a, groups))
         return travelled.groupBy("bucket").applyInArrow(_confirm, "a long, b long").distinct()
 
     strong = cut(links(classes.withColumn("component", F.col("id")), True).unionByName(members))
