@@ -6,9 +6,9 @@ else have no key and always stay.  A line spreads over the distinct sites
 merged for each line hash; lines whose estimate lies near the threshold get an
 exact count of distinct sites, others keep the sketch's verdict.  A line that
 spreads over ``min_sites`` or more is boilerplate and goes from every document
-but the first (smallest id) that holds it, where it stays once, and but those that consist of such lines for
-more than half: they are copies of documents, which near-duplicate removal is
-for.
+but the first (smallest id) that holds it, where it stays once.  The exception
+is a document whose set of lines spreads, as a whole, over ``min_sites`` sites:
+it is a copy, which near-duplicate removal is for, and keeps its lines.
 
 Sketches are merged in partial aggregates, so a line that a third of all
 documents holds is one sketch a task.  Lines are carried as a 64-bit hash and
@@ -28,11 +28,8 @@ from pyspark.sql import functions as F
 from dialoom.llm.session import cut
 
 MIN_SITES = 10
-#: A document of which more than this part of the lines' characters is boilerplate is a copy of a
-#: document rather than one with boilerplate in it, and keeps its lines.
 #: Registers of a sketch, as a power of two, and the estimates that are settled exactly,
 #: as parts of the threshold: over 20 standard errors (1.04 / 2**6) to either side.
-MOST_OF_TEXT = 0.5
 LG_K, NEAR = 12, (0.5, 1.6)
 
 
@@ -64,11 +61,22 @@ def _cut(docs: DataFrame, min_sites: int, id_col: str, text_col: str, site_col:
     """``docs`` with the removed positions, the text left, the numbers of lines and of removed ones."""
     lines = cut(_lines(docs, id_col, text_col, site_col))
     stock = boilerplate(lines, min_sites)
-    gone = F.col("first").isNotNull() & ~F.struct("id", "body", "pos").eqNullSafe(F.col("first"))
-    gone = (
+    hit = F.col("first").isNotNull() & ~F.struct("id", "body", "pos").eqNullSafe(F.col("first"))
+    found = cut(
         lines.join(stock, ["line", "size"], "left").groupBy("id", "body")
-        .agg(F.sum("size").alias("all"), F.sum(F.when(gone, F.col("size"))).alias("cut"), F.sort_array(F.collect_set(F.when(gone, F.col("pos")))).alias("gone"))
-        .filter(F.col("cut") <= MOST_OF_TEXT * F.col("all"))
+        .agg(
+            F.count_if(F.col("first").isNull()).alias("own"), F.collect_set("site").alias("sites"),
+            F.xxhash64(F.sort_array(F.collect_set(F.when(F.col("first").isNotNull(), F.struct("line", "size"))))).alias("set"),
+            F.sort_array(F.collect_set(F.when(hit, F.col("pos")))).alias("gone"),
+        )
+        .filter((F.col("own") == 0) | (F.size("gone") > 0))
+    )
+    # a set of lines that spreads has no line that does not
+    whole = F.col("own") == 0
+    copied = found.filter(whole).select("set", F.explode("sites").alias("site")).groupBy("set").agg(F.countDistinct("site").alias("n")).filter(F.col("n") >= min_sites)
+    copied = copied.select(F.col("set").alias("copied"))
+    gone = (
+        found.filter(F.size("gone") > 0).join(copied, whole & (F.col("set") == F.col("copied")), "left_anti")
         .select(F.col("id").alias("__id"), F.col("body").alias("__body"), F.col("gone").alias("__gone"))
     )
     joined = docs.join(gone, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__body")), "left")

@@ -55,6 +55,21 @@ def test_lines(spark):
     assert clean.columns == docs.columns and clean.filter("doc_id = 302").first().n_chars == len(got[302].text)
 
 
+def test_lines_of_documents_that_are_mostly_boilerplate(spark):
+    menu, licence = "home products about contact imprint", "all rights reserved, no reproduction"
+    mostly = [(k, f"{menu}\nown {k}\n{licence}", "en", f"s{k}", 9) for k in range(12)]
+    only = [(50, f"{menu}\n{licence}", "en", "s1", 9), (51, f"{licence}\n{menu}", "en", "s2", 9), (52, menu, "en", "s3", 9)]
+    copies = [(100 + k, f"first copied line\n\nsecond copied line {' ' * (k % 2)}", "en", f"s{k}", 9) for k in range(10)]
+    nine = [(200 + k, f"{licence}\n{menu}\n{licence}\nheld by nine", "en", f"s{k}", 9) for k in range(9)]
+    docs = spark.createDataFrame(mostly + only + copies + nine, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in line_dedup.remove_boilerplate(docs).collect()}
+    assert got[0].n_removed == 0, "the first document keeps each line once"
+    assert all((got[k].text, got[k].n_removed) == (f"own {k}", 2) for k in range(1, 12))
+    assert all((got[k].text, got[k].n_removed) == ("", n) for k, n in ((50, 2), (51, 2), (52, 1))), "two alike are no spread"
+    assert all(got[100 + k].n_removed == 0 for k in range(10)), "their set of lines is on ten sites"
+    assert all((got[200 + k].text, got[200 + k].n_removed) == ("held by nine", 3) for k in range(9))
+
+
 def test_lines_with_clashing_columns(docs, empty):
     out = line_dedup.clean(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
