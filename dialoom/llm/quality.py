@@ -6,7 +6,9 @@ deterministic starts (medians with absolute deviations; all rows), each step
 keeping the ``SUBSET`` of rows nearest by Mahalanobis distance; the start with
 the smaller determinant wins, one reweighting follows, and documents further
 than ``CUT`` are rejected.  Groups under ``LEAST_ROWS`` rows take the estimate
-of their language, and languages as small that of all rows.
+of their language, and languages as small that of all rows; these estimates are
+of all rows of the language or the table, those of large groups included, and
+are made only where a small group needs them.
 
 The nearest rows are found from counts of distances in bins of 1/64 of a
 logarithm, so every row counts, the threshold is the same on any machine, and a
@@ -92,10 +94,17 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 
 def _keys(rows: DataFrame) -> DataFrame:
-    """Adds ``key``: language and source, or the language, or nothing, whichever has rows enough."""
+    """Adds ``key``, the estimate a row is judged by: of its language and source, or its language, or all rows, whichever has rows enough; and ``fits``, the estimates the row is part of."""
     fit = rows.filter(~F.col("base_failed"))
-    n = fit.groupBy("lang", "source").count().withColumn("of_lang", F.sum("count").over(W.partitionBy("lang")))
-    n = n.select(F.col("lang").alias("l"), F.col("source").alias("s"), F.when(F.col("count") >= LEAST_ROWS, F.xxhash64(F.lit(2), "lang", "source")).when(F.col("of_lang") >= LEAST_ROWS, F.xxhash64(F.lit(1), "lang")).otherwise(F.lit(0).cast("long")).alias("key"))
+    own, of_lang, of_all = F.xxhash64(F.lit(2), "lang", "source"), F.xxhash64(F.lit(1), "lang"), F.lit(0).cast("long")
+    by_lang = W.partitionBy("lang")
+    n = fit.groupBy("lang", "source").count().withColumns({"in_lang": F.sum("count").over(by_lang), "least": F.min("count").over(by_lang)})
+    n = n.withColumn("key", F.when(F.col("count") >= LEAST_ROWS, own).when(F.col("in_lang") >= LEAST_ROWS, of_lang).otherwise(of_all))
+    n = n.join(F.broadcast(n.agg((F.min("in_lang") < LEAST_ROWS).alias("rare"))), how="cross")
+    fits = F.array_compact(F.array(
+        F.when(F.col("count") >= LEAST_ROWS, own), F.when((F.col("least") < LEAST_ROWS) & (F.col("in_lang") >= LEAST_ROWS), of_lang), F.when(F.col("rare"), of_all),
+    ))
+    n = n.select(F.col("lang").alias("l"), F.col("source").alias("s"), "key", fits.alias("fits"))
     return cut(rows.join(n, rows["lang"].eqNullSafe(n["l"]) & rows["source"].eqNullSafe(n["s"]), "left").drop("l", "s"))
 
 
@@ -155,8 +164,8 @@ def _medians(fit: DataFrame) -> DataFrame:
 
 
 def mahalanobis(rows: DataFrame) -> DataFrame:
-    """Adds ``distance`` by each key's minimum-covariance-determinant estimate."""
-    fit = rows.filter("not base_failed").select("key", *X)
+    """Adds ``distance`` by the minimum-covariance-determinant estimate of each row's key, which all rows with that key among their ``fits`` make."""
+    fit = rows.filter("not base_failed").select(F.explode("fits").alias("key"), *X)
     by = ["key", "start"]
     model = cut(_medians(fit).unionByName(_factor(_moments(fit.withColumn("start", F.lit(1)), by), by, 1.0)))
     both = fit.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))

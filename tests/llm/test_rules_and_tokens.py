@@ -38,6 +38,19 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert quality.keep(docs.limit(0)).count() == 0 and quality.keep(docs).columns == docs.columns
 
 
+def test_small_groups_are_judged_by_all_rows_of_their_language(spark):
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(400)]
+    good = lambda: "\n".join(" ".join(rng.choice(words, 12)) for _ in range(rng.integers(8, 30)))
+    junk = lambda: " ".join("#" * int(rng.integers(3, 9)) + w for w in rng.choice(words, 120))
+    large = [(k, good(), "en", f"s{k % 2}") for k in range(300)]
+    odd = [(1000, junk(), "en", "rare"), (1001, good(), "en", "fine"), (1002, junk(), "xx", "rare"), (1003, good(), "xx", "fine")]
+    pool = [(2000 + k, junk(), "en", f"pool{k % 3}") for k in range(60)]
+    docs = spark.createDataFrame([(i, t, a, b, len(t)) for i, t, a, b in large + odd + pool], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in quality.keep(docs).collect()}
+    assert kept & set(range(1000, 3000)) == {1001, 1003} and len(kept & set(range(300))) >= 294
+
+
 def test_lines(spark):
     sites = [(k, f"own {k} text that is longer than the shared one\nshared line\n\nshared line", "en", f"s{k}", 9) for k in range(12)]
     few = [(100 + k, f"mine {k} is some text\nrare line", "en", f"s{k}", 9) for k in range(9)]
