@@ -134,6 +134,19 @@ def tokens(text: Column) -> Column:
     return F.array_distinct(F.concat(F.regexp_extract_all(low, F.lit(r"[a-z0-9]{2,}"), F.lit(0)), F.regexp_extract_all(low, F.lit("[一-鿿]"), F.lit(0))))
 
 
+def memory_tokens(text: Column) -> Column:
+    """Tokens of the first 400 characters, with runs of white space as one."""
+    return tokens(F.substring(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), 1, 400))
+
+
+def relevance(query: Column, item: Column, age_days: Column) -> Column:
+    """Of two arrays of distinct tokens: 2 for each shared one, 3 more for each that is a number, and up to 1 that falls to 0 in fourteen days."""
+    shared = F.array_intersect(item, query)
+    numbers = F.filter(shared, lambda w: w.rlike("^[0-9]+$"))
+    recency = F.greatest(F.lit(0.0), 1 - F.greatest(F.lit(0.0), age_days) / 14)
+    return 2 * F.size(shared) + 3 * F.size(numbers) + recency
+
+
 def first_match(text: Column, pairs: list[tuple[str, str]], default: str | None = None) -> Column:
     """The label of the first keyword, in the pairs' order, that the text holds."""
     out = F.lit(default)

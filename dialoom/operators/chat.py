@@ -25,6 +25,19 @@ def merge_turns(turns: DataFrame) -> DataFrame:
     return merged.select("conv_id", (F.col("pos") - F.col("first")).alias("pos"), "role", "content")
 
 
+def recall(queries: DataFrame, memories: DataFrame, as_of: Column, k: int = 4) -> DataFrame:
+    """The ``k`` memories of a query's session of most relevance as of a given time, newer ones first among equals.
+
+    ``queries`` has session, query_id and text, ``memories`` session, memory_id, text and updated_at.
+    """
+    q = queries.select("session", "query_id", scalars.memory_tokens(F.col("text")).alias("q"))
+    m = memories.select("session", "memory_id", "updated_at", scalars.memory_tokens(F.col("text")).alias("m"))
+    age = (F.unix_micros(as_of) - F.unix_micros("updated_at")) / 86_400e6
+    scored = q.join(m, "session").withColumn("score", scalars.relevance(F.col("q"), F.col("m"), age))
+    w = W.partitionBy("session", "query_id").orderBy(F.desc("score"), F.desc("updated_at"), "memory_id")
+    return scored.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k).select("session", "query_id", "memory_id", "score", "rank")
+
+
 def turn_samples(merged: DataFrame) -> DataFrame:
     """For each assistant turn after a user turn: the messages up to it."""
     w = W.partitionBy("conv_id").orderBy("pos")

@@ -110,7 +110,7 @@ def tokenise_overlap_topk(spark: SparkSession, d: str) -> DataFrame:
     from pyspark.sql import Window as W
 
     q = table(spark, d, "benchmark").select("item_id", F.explode(scalars.tokens(F.col("text"))).alias("w"))
-    m = table(spark, d, "documents").select("doc_id", F.explode(scalars.tokens(F.col("text"))).alias("w")).filter(F.length("w") > 1)
+    m = table(spark, d, "documents").select("doc_id", F.explode(scalars.tokens(F.col("text"))).alias("w"))
     n = q.join(m, "w").groupBy("item_id", "doc_id").count()
     s = n.select("item_id", "doc_id", (2 * F.col("count") + 3 * F.when(F.col("doc_id") % 2 == 0, 1).otherwise(0)).alias("score"))
     return s.withColumn("rank", F.row_number().over(W.partitionBy("item_id").orderBy(F.desc("score"), F.desc("doc_id"))).cast("long")).filter("rank <= 4")

@@ -63,8 +63,7 @@ def memory_recall(spark: SparkSession, d: str) -> DataFrame:
     from dialoom.functions.scalars import tokens
 
     age = 20 - F.col("turn") % 20
-    latin = F.filter(tokens(F.col("text")), lambda w: F.length(w) >= 2)
-    score = 2 * F.size(latin) + F.when(F.col("text").rlike("[0-9]"), 3).otherwise(0) + F.greatest(F.lit(0.0), (14.0 - F.least(F.lit(14), age)) / 14)
+    score = 2 * F.size(tokens(F.col("text"))) + F.when(F.col("text").rlike("[0-9]"), 3).otherwise(0) + F.greatest(F.lit(0.0), (14.0 - F.least(F.lit(14), age)) / 14)
     m = table(spark, d, "conversations").select("conv_id", "turn", score.alias("score"))
     return intervals_top(m, ["conv_id"], [F.desc("score"), F.desc("turn")], 3)
 

@@ -109,6 +109,28 @@ def test_scalars(spark):
     assert pick(scalars.without_control(text("<think>a</think>b<|x|>"))) == "b"
 
 
+def test_recall_of_chinese_text(spark):
+    at = "timestamp '2024-03-15 00:00:00'"
+    queries = spark.createDataFrame([(1, 1, "我\u3000在北京 2024 ab"), (2, 1, "没有")], "session long, query_id long, text string")
+    memories = [(1, 1, "住在北京", 7), (1, 2, "2024 年 ab", 0), (1, 3, "上海 7", 1), (1, 4, "上海 8", 20), (1, 5, "x" * 400 + " 北京", 28), (3, 6, "北京", 0)]
+    rows = spark.createDataFrame(memories, "session long, memory_id long, text string, age int")
+    rows = rows.withColumn("updated_at", F.expr(f"{at} - make_dt_interval(age)"))
+    got = chat.recall(queries, rows, F.expr(at), 5).orderBy("rank").collect()
+    assert [(r.memory_id, round(r.score, 6)) for r in got] == [(2, 8.0), (1, 6.5), (3, round(13 / 14, 6)), (4, 0.0), (5, 0.0)]
+    assert chat.recall(queries, rows, F.expr(at), 2).count() == 2
+
+
+def test_chinese_queries_find_memories(spark, tmp_path):
+    from dialoom import plans
+
+    spark.createDataFrame([(1, "北京 a"), (2, "a b")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(1, "在北京 a b"), (3, "东京 a")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 0, "你好 ab"), (1, 20, "好")], "conv_id long, turn long, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = plans.load()[0]["tokenise_overlap_topk"](spark, str(tmp_path)).collect()
+    assert sorted((r.item_id, r.doc_id, r.score) for r in got) == [(1, 1, 4), (1, 3, 2)]
+    assert sorted((r.turn, r.score) for r in plans.load()[0]["memory_recall"](spark, str(tmp_path)).collect()) == [(0, 6.0), (20, 2.0)]
+
+
 def test_turn_edges(spark):
     rows = [(1, 0, "assistant", "x"), (1, 1, "user", "a"), (1, 2, "user", "b"), (1, 3, "assistant", "c"), (1, 4, "user", "d"), (2, 0, "assistant", "only")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
