@@ -12,7 +12,8 @@ common prefix passed since the last tuple for the same queue.
 
 Tuples are worked on in blocks.  Beyond ``memory`` bytes the queues' tails lie
 in files of the task's temporary folder, which go when the sort ends, and a text
-of more than that is mapped from a file, so a shard may be larger than memory.
+of more than that is mapped from a file.  Arrays of some words a character are
+in memory all the same, so a shard must be smaller than memory.
 Order and common prefixes are exact to ``DEPTH`` characters.
 """
 
