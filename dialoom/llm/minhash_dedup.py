@@ -3,7 +3,7 @@
 A document's signature is the least of its shingles' hashes under each of
 ``COORDINATES`` functions.  Each coordinate with its value is a term; two
 documents of similarity 0.75 agree in 48 of 64 terms on average, and in
-``AGREE`` or more but for about two cases in 100,000.  Documents that agree in
+``AGREE`` or more but for 4.4 cases in 100,000.  Documents that agree in
 so many share one of the ``COORDINATES - AGREE + 1`` terms that either of them
 has rarest, so only those are posted (the prefix), and terms that no other
 document has are skipped.  In each term's list collisions are counted over the
