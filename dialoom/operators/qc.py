@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -26,6 +27,26 @@ def evaluated(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.withColumn("issues", F.array_compact(F.array(*made)))
 
 
+def turn_issues(turns: DataFrame) -> DataFrame:
+    """Adds ``issues`` of the turn sequence and of turns outside their section.
+
+    ``turns`` has record_id, pos (from 0), turn_index, role, speaker_id, start, end, section_start and section_end.
+    """
+    w = W.partitionBy("record_id").orderBy("pos")
+    ended = F.last("end", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
+    rows = turns.withColumns({"__before": F.lag("role").over(w), "__ended": ended})
+    says = lambda role, speaker: (F.col("role") == role) & ~F.col("speaker_id").eqNullSafe(speaker)
+    return evaluated(rows, [
+        Rule("turn_index_not_sequential", ~F.col("turn_index").eqNullSafe(F.col("pos"))),
+        Rule("role_speaker_mismatch", says("persona", "host") | says("user", "guest")),
+        Rule("turn_time_reversed", F.col("start") > F.col("end")),
+        Rule("adjacent_same_role_turns", F.col("__before") == F.col("role")),
+        Rule("turn_time_overlap", F.col("start") < F.col("__ended") - 1e-6, "warning"),
+        Rule("turn_outside_section", F.col("start") < F.col("section_start") - 1e-6, "warning"),
+        Rule("turn_outside_section", F.col("end") > F.col("section_end") + 1e-6, "warning"),
+    ]).drop("__before", "__ended")
+
+
 def status_of(issues: Column, applicable: Column | None = None) -> Column:
     """fail with an error, warn with a warning, else pass; skip where no rule applies."""
     has = lambda s: F.exists(issues, lambda i: i["severity"] == s)
