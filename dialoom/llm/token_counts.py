@@ -5,8 +5,12 @@ every sequence's lowest-ranked adjacent pair and merges all its occurrences
 (left to right where they overlap) in all sequences at once; sequences with no
 mergeable pair leave the arrays.  What is left are the tokens.
 
-Cases: a null or empty text has 0 bytes and 0 tokens; ids that repeat give one
-row each; columns other than the id and the text are ignored.
+Cases: a null or empty text has 0 bytes and 0 tokens; a text that is not UTF-8
+is read with U+FFFD for what is no character, but ``n_bytes`` counts the bytes
+that are there; a very long text is one sequence of pieces like any other; of
+overlapping pairs of one rank the left one merges; ids that repeat give one row
+each; columns other than the id and the text are ignored; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -187,7 +191,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 while hi < len(ids) and got < 2_000_000:
                     got += len(sizes[hi].as_buffer())
                     hi += 1
-                counts = count_texts(texts.slice(lo, hi - lo).to_pylist(), path)
+                counts = count_texts([x.as_buffer().to_pybytes().decode("utf-8", "replace") for x in sizes.slice(lo, hi - lo)], path)
                 yield pa.record_batch([ids.slice(lo, hi - lo), pa.array(counts, pa.int64())], ["id", "n_tokens"])
                 lo = hi
 

@@ -171,7 +171,7 @@ def test_codec(docs, rows, library):
 def test_any_text_round_trips(library, text):
     ids = np.frombuffer(bpe_transducer.encode_text(text, RANKS), "<u4").tolist()
     assert ids == library.encode_ordinary(text)
-    assert "".join(bpe_transducer.decode_stream(ids, bpe_transducer._vocabulary(RANKS), 1)) == text
+    assert "".join(bpe_transducer.decode_stream(ids, {i: b for b, i in bpe_transducer.load_ranks(RANKS).items()}, 1)) == text
 
 
 @given(st.binary(max_size=40), st.integers(1, 5))
@@ -182,6 +182,25 @@ def test_utf8_stream_is_that_of_the_whole(data, step):
     assert got == data.decode("utf-8", "replace")
 
 
+def test_long_pieces_within_few_bytes(library, monkeypatch):
+    """A machine that forgets in the midst of a piece goes on as if it had not."""
+    monkeypatch.setattr(bpe_transducer, "STATE_BYTES", 20_000)
+    rng = np.random.default_rng(2)
+    text = "".join(rng.choice(list("etaoinshrdlu"), 30_000))
+    machine = bpe_transducer.MergeTransducer(bpe_transducer.load_ranks(RANKS))
+    most, reset = [], machine._reset
+    machine._reset = lambda keep=None: (most.append(machine.held), reset(keep))[1]
+    got = machine.encode_piece(text.encode())
+    assert got == library.encode_ordinary(text) and len(most) > 10 and max(most) < 22_000
+
+
+def test_texts_that_are_not_utf8(spark):
+    docs = spark.sql("select 1L as doc_id, cast(X'61FFC3' as string) as text union all select 2L, 'b'")
+    got = {r.doc_id: r.text for r in bpe_transducer.recode(docs, RANKS).collect()}
+    assert got == {1: "a\ufffd\ufffd", 2: "b"}
+    assert token_counts.count_tokens(docs, JSON).count() == 2
+
+
 def test_scores(spark, docs, rows):
     got = context_tree.score(docs).collect()
     assert len(got) == len(rows)
