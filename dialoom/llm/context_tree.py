@@ -16,9 +16,14 @@ whatever the corpus, is summed and sent to all buckets; and
 the bucket answers the chunk with the log-probability of each string it sent.
 Words are counted in the same rounds for the base score.
 
-Cases: a null or empty text is one end; held-out documents never train; with no
-training documents every probability is uniform; ids that repeat give one row
-each; extra columns are not read.
+Log-probabilities of strings travel as 32-bit floats, so a byte's code length is
+good to about seven digits; sums are 64-bit.
+
+Cases: a null or empty text is one end; a very long text is counted and scored
+in one piece like others, its distinct strings travelling once; held-out
+documents never train; with no training documents every probability is uniform;
+strings and words that tie in number are of equal weight; ids that repeat give
+one row each; extra columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -204,11 +209,6 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, first + np.arange(n + 1)
 
 
-def steps(values: np.ndarray) -> np.ndarray:
-    """Differences of sorted values, the first from 0."""
-    return np.diff(values, prepend=values.dtype.type(0))
-
-
 def bucket_of(codes: np.ndarray, buckets: int) -> np.ndarray:
     """By the two bytes before the coded one."""
     return (mix(codes >> U64(8) & U64(0xFFFF)) % U64(buckets)).astype(np.int64)
@@ -216,8 +216,7 @@ def bucket_of(codes: np.ndarray, buckets: int) -> np.ndarray:
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    buckets = partitions(docs.sparkSession)
-    dealt = dealing.deal(docs, id_col, text_col)
+    dealt, buckets = dealing.deal(docs, id_col, text_col)
 
     def distinct_of(table: pa.Table) -> tuple:
         raw, _, texts = dealing.chunk_of(table)
@@ -231,20 +230,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 out.append(counted(value, np.repeat(train[lo:hi], np.diff(first))))
         return merged(codes), merged(tokens)
 
-    def by_buckets(codes: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Orders of a chunk's strings and words by bucket, and the buckets' bounds in them."""
+    def by_buckets(codes: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The buckets that a chunk has anything for, with its strings and its words there."""
         bucket, of = bucket_of(codes, buckets), (tokens % U64(buckets)).astype(np.int64)
         order, other = np.argsort(bucket, kind="stable"), np.argsort(of, kind="stable")
-        cuts, ends = np.searchsorted(bucket[order], np.arange(buckets + 1)), np.searchsorted(of[other], np.arange(buckets + 1))
-        return order, cuts, other, ends
+        bucket, of = bucket[order], of[other]
+        for b in np.union1d(bucket, of).tolist():
+            yield b, order[np.searchsorted(bucket, b) : np.searchsorted(bucket, b, "right")], other[np.searchsorted(of, b) : np.searchsorted(of, b, "right")]
 
     def ask(table: pa.Table, _: list) -> dealing.Sent:
         (codes, n), (tokens, m) = distinct_of(table)
-        order, cuts, other, ends = by_buckets(codes, tokens)
-        for b in range(buckets):
-            own, mine = order[cuts[b] : cuts[b + 1]], other[ends[b] : ends[b + 1]]
-            if len(own) or len(mine):
-                yield b, dealing.squeezed(steps(codes[own]), n[own].astype(np.uint32), steps(tokens[mine]), m[mine].astype(np.uint32), np.array([b]))
+        for b, own, mine in by_buckets(codes, tokens):
+            yield b, dealing.squeezed(dealing.steps(codes[own]), n[own].astype(np.uint32), dealing.steps(tokens[mine]), m[mine].astype(np.uint32), np.array([b]))
 
     def opened(blobs: list) -> list:
         parts = [dealing.unsqueezed(x, np.uint64, np.uint32, np.uint64, np.uint32, np.int64) for x in blobs]
@@ -276,12 +273,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         raw, _, texts = dealing.chunk_of(table)
         data, offsets = flat(texts)
         (codes, _), (tokens, _) = distinct_of(table)
-        order, cuts, other, ends = by_buckets(codes, tokens)
+        where = {b: (own, mine) for b, own, mine in by_buckets(codes, tokens)}
         logs, seen, total, kinds = np.zeros(len(codes)), np.zeros(len(tokens)), 0, 0
         for x in answers:
             own_logs, own_seen, (b,), (total, kinds) = dealing.unsqueezed(x, np.float32, np.uint32, np.int64, np.int64)
-            logs[order[cuts[b] : cuts[b + 1]]] = own_logs
-            seen[other[ends[b] : ends[b + 1]]] = own_seen
+            logs[where[int(b)][0]] = own_logs
+            seen[where[int(b)][1]] = own_seen
         base_of = np.log10((seen + 0.1) / (total + 0.1 * (kinds + 1)))
         out: list[list] = [[], [], [], []]
         for lo, hi in blocks(offsets, 2 << 20):
@@ -301,7 +298,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         })
 
     # one exchange of questions, which both the sums and the answers read
-    sent = dealing.send(dealt, None, ask).repartition(buckets, "bucket")
+    sent = dealing.send(dealt, None, ask).repartition(partitions(docs.sparkSession), "bucket")
     columns = ("zeros", "ones", "product", "tokens", "kinds")
     sums = sent.groupBy("bucket").applyInArrow(summary, "key long, zeros double, ones double, product double, tokens long, kinds long").groupBy("key").agg(*[F.sum(c).alias(c) for c in columns])
     # at most 256 * 255 nodes and the totals, whatever the corpus

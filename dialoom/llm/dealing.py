@@ -1,11 +1,12 @@
 """Rounds between chunks of documents and buckets of hashes.
 
-Documents are dealt once by a hash into chunks of bounded size.  In a round
-each chunk sends every bucket one packed array of what it holds of it, already
-combined, so that however often one value occurs, a bucket gets it once from
-each chunk; the bucket settles the value over all chunks and answers each chunk
-with one packed array.  The dealt documents are the same exchange in every
-round, which Spark reuses.
+Documents are dealt once by a hash into chunks of about ``CHUNK_BYTES`` of text
+or less, counted first, so that chunks do not grow with the corpus.  In a round
+each chunk sends every bucket that it has anything for one packed array,
+already combined, so that however often one value occurs, a bucket gets it once
+from each chunk; the bucket settles the value over all chunks and answers each
+chunk with one packed array.  There are as many buckets as chunks.  The dealt
+documents are the same exchange in every round, which Spark reuses.
 """
 
 from __future__ import annotations
@@ -19,20 +20,30 @@ from pyspark.sql import functions as F
 
 from dialoom.llm.session import partitions
 
-#: Chunks for each shuffle partition: more even partitions, smaller groups.
+#: Chunks for each shuffle partition, at least: more even partitions, smaller groups.
 CHUNKS = 2
+CHUNK_BYTES = 16 << 20
 NO_ID = np.iinfo(np.int64).min
 
 
-def deal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: tuple[str, ...] = ("id", "text")) -> DataFrame:
-    """``chunk``, ``id`` (bigint) and ``text``, dealt by chunk; ``by``: what decides the chunk."""
-    n = partitions(docs.sparkSession)
+def pieces(docs: DataFrame, text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> int:
+    """The number of chunks, and of buckets: by the session's partitions, and by the bytes there are."""
+    total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
+    return max(partitions(docs.sparkSession), -(-total // chunk_bytes // CHUNKS))
+
+
+def deal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: tuple[str, ...] = ("id", "text"), n: int | None = None) -> tuple[DataFrame, int]:
+    """``chunk``, ``id`` (bigint) and ``text``, dealt by chunk, and the number of buckets; ``by``: what decides the chunk."""
+    n = n or pieces(docs, text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.select(F.pmod(F.xxhash64(*by), F.lit(CHUNKS * n)).cast("int").alias("chunk"), "id", "text").repartition(n, "chunk")
+    dealt = rows.select(F.pmod(F.xxhash64(*by), F.lit(CHUNKS * n)).cast("int").alias("chunk"), "id", "text")
+    return dealt.repartition(partitions(docs.sparkSession), "chunk"), n
 
 
 def chunk_of(table: pa.Table) -> tuple[pa.Array, np.ndarray, pa.ChunkedArray]:
-    """A chunk's ids as they are, as numbers, and its texts."""
+    """A chunk's ids as they are, as numbers, and its texts, by id and text, so that every round sees one order."""
+    if table.num_rows:
+        table = table.sort_by([("id", "ascending"), ("text", "ascending")])
     ids = table.column("id").combine_chunks()
     if isinstance(ids, pa.ChunkedArray):
         ids = pa.concat_arrays(ids.chunks) if ids.num_chunks else pa.array([], pa.int64())
@@ -97,16 +108,35 @@ def settle(sent: DataFrame, decide: Callable[[list], Iterator[bytes | None]]) ->
     return sent.groupBy("bucket").applyInArrow(run, "chunk int, blob binary")
 
 
-def finish(dealt: DataFrame, answers: DataFrame, result: Callable[[pa.Table, list], pa.Table], schema: str) -> DataFrame:
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lambda t, a: result(t, list(a.column("blob"))), schema)
+def finish(dealt: DataFrame, answers: DataFrame | list[DataFrame], result: Callable[..., pa.Table], schema: str) -> DataFrame:
+    """``result`` of each chunk's table and its answers, of one round or of several."""
+    rounds = answers if isinstance(answers, list) else [answers]
+    every = rounds[0].withColumn("round", F.lit(0))
+    for k, one in enumerate(rounds[1:], 1):
+        every = every.unionByName(one.withColumn("round", F.lit(k)))
+
+    n = len(rounds)
 
+    def run(table: pa.Table, got: pa.Table) -> pa.Table:
+        of, blobs = got.column("round").to_pylist(), list(got.column("blob"))
+        return result(table, *([x for r, x in zip(of, blobs, strict=True) if r == k] for k in range(n)))
 
-def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """An order of the keys by bucket, then key, and the bounds of the buckets in it (buckets + 1)."""
-    order = np.argsort(keys)
+    return dealt.groupBy("chunk").cogroup(every.groupBy("chunk")).applyInArrow(run, schema)
+
+
+def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, list[int], list[int]]:
+    """An order of the keys by bucket, then key; the buckets that there are, and their bounds in it (one more)."""
+    order = np.argsort(keys, kind="stable")
     bucket = (keys[order] % np.uint64(buckets)).astype(np.int64)
     again = np.argsort(bucket, kind="stable")
-    return order[again], np.searchsorted(bucket[again], np.arange(buckets + 1))
+    bucket = bucket[again]
+    edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+    return order[again], bucket[edge].tolist(), [*edge.tolist(), len(bucket)]
+
+
+def steps(values: np.ndarray) -> np.ndarray:
+    """Differences of sorted values, the first from 0."""
+    return np.diff(values, prepend=values.dtype.type(0))
 
 
 def shared(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,23 +150,33 @@ def shared(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def send_names(names: np.ndarray, many: np.ndarray, buckets: int) -> Sent:
-    order, cuts = by_bucket(names, buckets)
-    for b in range(buckets):
-        own = order[cuts[b] : cuts[b + 1]]
-        if len(own):
-            yield b, pack(names[own], many[own].astype(np.uint8))
+    """Distinct names, in order, and whether two documents here have each."""
+    order, present, cuts = by_bucket(names, buckets)
+    for b, lo, hi in zip(present, cuts, cuts[1:], strict=False):
+        own = order[lo:hi]
+        yield b, squeezed(steps(names[own]), np.packbits(many[own]), np.array([b]))
 
 
 def shared_names(blobs: list) -> Iterator[bytes | None]:
-    """To each chunk: which of its names another document has, in its chunk or elsewhere."""
-    parts = [unpack(x, np.uint64, np.uint8) for x in blobs]
-    names = np.concatenate([p[0] for p in parts])
-    distinct, count = np.unique(names, return_counts=True)
+    """To each chunk: which of its names another document has, in its chunk or elsewhere, a bit for each."""
+    parts = [unsqueezed(x, np.uint64, np.uint8, np.int64) for x in blobs]
+    parts = [(np.cumsum(own, dtype=np.uint64), np.unpackbits(many, count=len(own)) > 0, b) for own, many, b in parts]
+    distinct, count = np.unique(np.concatenate([own for own, _, _ in parts]), return_counts=True)
     often = distinct[count > 1]
-    for own, many in parts:
-        near = np.minimum(np.searchsorted(often, own), max(len(often) - 1, 0))
-        hit = own[(many > 0) | (often[near] == own)] if len(often) else own[many > 0]
-        yield hit.tobytes() if len(hit) else None
+    for own, many, b in parts:
+        hit = many | found(own, often)
+        yield squeezed(np.packbits(hit), b) if hit.any() else None
+
+
+def answered(names: np.ndarray, answers: list, buckets: int) -> np.ndarray:
+    """Of the distinct names that were sent, those that the answers say are shared, in order."""
+    order, present, cuts = by_bucket(names, buckets)
+    where, out = {b: order[lo:hi] for b, lo, hi in zip(present, cuts, cuts[1:], strict=False)}, []
+    for x in answers:
+        bits, (b,) = unsqueezed(x, np.uint8, np.int64)
+        own = where[int(b)]
+        out.append(names[own[np.unpackbits(bits, count=len(own)) > 0]])
+    return np.sort(np.concatenate(out)) if out else names[:0]
 
 
 def found(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
@@ -144,8 +184,3 @@ def found(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
     if not len(among):
         return np.zeros(len(keys), bool)
     return among[np.minimum(np.searchsorted(among, keys), len(among) - 1)] == keys
-
-
-def answered(answers: list) -> np.ndarray:
-    """All names of the answers, sorted."""
-    return np.sort(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in answers])) if answers else np.zeros(0, np.uint64)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from dialoom.llm import dealing
 from dialoom.llm.components import components
-from dialoom.llm.session import cut, partitions
+from dialoom.llm.session import cut
 from dialoom.llm.text import LOWER, WORD, blocks, flat, mix, spans, windows, word_hashes
 
 SHINGLE, COORDINATES, AGREE, LONG = 5, 64, 34, 2048
@@ -93,11 +93,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _term_counts(table: pa.Table, _: list, buckets: int) -> dealing.Sent:
     terms = terms_of(_signatures(table)).ravel()
     distinct, n = np.unique(terms, return_counts=True)
-    order, cuts = dealing.by_bucket(distinct, buckets)
-    for b in range(buckets):
-        own = order[cuts[b] : cuts[b + 1]]
-        if len(own):
-            yield b, dealing.pack(distinct[own], n[own].astype(np.uint32))
+    order, present, cuts = dealing.by_bucket(distinct, buckets)
+    for b, lo, hi in zip(present, cuts, cuts[1:], strict=False):
+        own = order[lo:hi]
+        yield b, dealing.pack(distinct[own], n[own].astype(np.uint32))
 
 
 def _signatures(table: pa.Table) -> np.ndarray:
@@ -143,15 +142,14 @@ def _postings(table: pa.Table, answers: list, buckets: int) -> dealing.Sent:
     low, high = np.minimum(part[copies], other), np.maximum(part[copies], other)
     lists = np.where(parts[copies] > 1, mix(picked[copies] + mix((low << 32 | high).astype(np.uint64))), picked[copies])
     rows = rows[copies]
-    order, cuts = dealing.by_bucket(lists, buckets)
+    order, present, cuts = dealing.by_bucket(lists, buckets)
     small = sigs.astype(np.uint16)  # of equal coordinates these are equal too
     chunk = table.column("chunk")[0].as_py()
-    for b in range(buckets):
-        own = order[cuts[b] : cuts[b + 1]]
-        if len(own):
-            # a document's signature once for each bucket
-            docs, place = np.unique(rows[own], return_inverse=True)
-            yield b, dealing.pack(lists[own], place.astype(np.uint32), ids[docs], joined[docs], sizes[docs], small[docs], np.array([chunk]))
+    for b, lo, hi in zip(present, cuts, cuts[1:], strict=False):
+        own = order[lo:hi]
+        # a document's signature once for each bucket
+        docs, place = np.unique(rows[own], return_inverse=True)
+        yield b, dealing.pack(lists[own], place.astype(np.uint32), ids[docs], joined[docs], sizes[docs], small[docs], np.array([chunk]))
 
 
 def _pairs(lists: np.ndarray, docs: np.ndarray, ids: np.ndarray, joined: np.ndarray, sizes: np.ndarray, sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -306,7 +304,7 @@ def _confirm(table: pa.Table) -> pa.Table:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id (least linked id) and kept (whether it is that one)."""
-    buckets = partitions(docs.sparkSession)
+    buckets = dealing.pieces(docs, text_col)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(dealing.NO_ID))).alias("id"), F.col(text_col).alias("text"))
     chunk = F.pmod(F.xxhash64("id"), F.lit(dealing.CHUNKS * buckets)).cast("int")
     signed = cut(rows.select(chunk.alias("chunk"), "id", "text").mapInArrow(_sign, "chunk int, id long, n long, one long, two long, sig binary"))
@@ -321,7 +319,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         posted = dealing.send(reps, counted, lambda t, a: _postings(t, a, buckets))
         pairs = cut(dealing.settle(posted, lambda blobs: _candidates(blobs, trees)))
         needed = _sifted(rows, pairs.groupBy("chunk").applyInArrow(_with_pairs, "id long"))
-        travelled = dealing.send(dealing.deal(needed, "id", "text", by=("id",)), pairs, lambda t, a: _travel(t, a, groups))
+        travelled = dealing.send(dealing.deal(needed, "id", "text", by=("id",), n=buckets)[0], pairs, lambda t, a: _travel(t, a, groups))
         return travelled.groupBy("bucket").applyInArrow(_confirm, "a long, b long").distinct()
 
     strong = cut(links(classes.withColumn("component", F.col("id")), True).unionByName(members))

@@ -1,43 +1,45 @@
 """Repeated word passages by recompression.
 
-A document's words are symbols.  A round names runs of one symbol and then
-pairs, whose first and second halves a bit of the symbols' names tells apart.
-Names are 64-bit hashes of what they stand for, so all machines give equal
-words equal names without asking each other.  A symbol depends only on words
-near it, which are tracked exactly: where a window holds all words a symbol
-depends on, any equal window has the same symbol at the same place.
+A document's words are symbols.  A round of recompression names runs of one
+symbol and then pairs, whose first and second halves a bit of the symbols'
+names tells apart.  Names are 64-bit hashes of what they stand for, so all
+machines give equal words equal names.  A symbol depends only on words near it,
+which are tracked exactly: where a window holds all words a symbol depends on,
+any equal window has the same symbol at the same place.
 
 Each 50-word window is filed under the least such symbol's name after
 ``ROUNDS`` rounds.  Spark finds the names that two documents or more have;
-windows under other names occur nowhere else.  The rest are verified: equal
-windows of all documents meet under a 64-bit hash of their 50 words (beside
-the name, another 64 bits), and the smallest document id that holds one decides
-which are removed.
+windows under other names occur nowhere else.  The words of the rest meet under
+their names and are verified: words are numbered by their bytes, and windows
+are equal when their 50 numbers are.  The smallest document id that holds a
+window decides which are removed.  Names and hashes that are confused cost time
+alone.
 
 Runs of over ``LONGEST_RUN`` equal symbols stay single symbols, so that a long
 run looks the same everywhere inside; a window in which no symbol is settled is
 filed under its own hash.
 
-Cases: a null or empty text has no words; a null id sorts before all others; of
-rows with one id none is smaller, so they do not remove each other's words;
-extra columns are not read; an empty table gives no rows.
+Cases: a null or empty text has no words; a very long text is cut by names like
+others, windows at a time; of equal windows the one with the smallest id stays;
+a null id sorts before all others; of rows with one id none is smaller, so they
+do not remove each other's words; extra columns are not read; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.llm import dealing
-from dialoom.llm.session import partitions
-from dialoom.llm.text import WORD, blocks, flat, mix, spans, windows, word_hashes
+from dialoom.llm.repeats import NAME_BITS, Stretches, classes, cut_out, inner, least_of, repeated, several_under, spans_of
+from dialoom.llm.text import BYTE_BASE, BYTE_VALUES, WORD, between, blocks, flat, mix, prefix, spans, windows, word_hashes
 
 WIDTH, ROUNDS, LONGEST_RUN = 50, 3, 4
 U64 = np.uint64
+#: Bytes of stretches whose windows are compared at a time, unless one name needs more.
+SHARD = 4 << 20
 
 
 def recompress(names: np.ndarray, first: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,103 +111,96 @@ def least(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return out
 
 
-def filed(texts: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all windows: row of the document, first word in it, hash, name filed under; and words of each row."""
+def filed(words: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows: row of the document, first word, and name filed under."""
+    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    at = np.flatnonzero(doc[: max(len(doc) - width + 1, 0)] == doc[width - 1 :])
+    symbols, left, right = recompress(words, first)
+    begin, end = np.searchsorted(left, at), np.searchsorted(right, at + width, "right")
+    some = np.flatnonzero(begin < end)
+    name = windows(words, width)[at]
+    name[some] = least(symbols, begin[some], end[some])
+    return doc[at], at, name
+
+
+def spaced(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words, each with a space after it, and where each begins (words + 1)."""
+    room = ends - starts + 1
+    begin = np.append(0, np.cumsum(room))
+    out = data[np.minimum(inner(starts, room), max(len(data) - 1, 0))]
+    out[begin[1:] - 1] = 0x20
+    return out, begin
+
+
+def gather(texts: pa.ChunkedArray, width: int, bits: int) -> Stretches:
     data, offsets = flat(texts)
-    rows, ats, hashes, names, counts = [], [], [], [], []
+    parts, counts, text, n_bytes, n_words = [], [], [], 0, 0
     for lo, hi in blocks(offsets):
-        own = offsets[lo : hi + 1] - offsets[lo]
-        piece = data[offsets[lo] : offsets[hi]]
+        piece, own = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         starts, ends, first = spans(piece, own, WORD)
-        words = word_hashes(piece, starts, ends)
+        row, at, name = filed(word_hashes(piece, starts, ends), first, width)
+        head = np.flatnonzero(np.append(True, (name[1:] != name[:-1]) | (row[1:] != row[:-1]))) if len(row) else row
+        strings = np.diff(np.append(head, len(row)))
+        joined, begin = spaced(piece, starts, ends)
+        start = begin[at[head]]
+        end = begin[at[head] + strings + width - 1]
+        mark = mix(between(prefix(BYTE_VALUES[joined], BYTE_BASE), start, end, BYTE_BASE) ^ strings.astype(np.uint64))
+        parts.append((row[head] + lo, at[head] + n_words, strings, start + n_bytes, end - start, name[head] >> U64(64 - bits), mark >> U64(64 - bits)))
         counts.append(np.diff(first))
-        doc = np.repeat(np.arange(hi - lo), counts[-1])
-        hashed = windows(words, width)
-        at = np.flatnonzero(doc[: len(hashed)] == doc[width - 1 :]) if len(hashed) else np.zeros(0, np.int64)
-        symbols, left, right = recompress(words, first)
-        begin, end = np.searchsorted(left, at), np.searchsorted(right, at + width, "right")
-        some = np.flatnonzero(begin < end)
-        name = hashed[at].copy()
-        name[some] = least(symbols, begin[some], end[some])
-        rows.append(doc[at] + lo)
-        ats.append(at - first[doc[at]])
-        hashes.append(hashed[at])
-        names.append(name)
-    empty = np.zeros(0, np.int64)
-    join = lambda parts, kind: np.concatenate(parts) if parts else empty.astype(kind)
-    return join(rows, np.int64), join(ats, np.int64), join(hashes, np.uint64), join(names, np.uint64), join(counts, np.int64)
-
-
-def smaller_elsewhere(blobs: list) -> Iterator[bytes | None]:
-    """To each chunk: which of its window hashes a smaller document id has in another chunk."""
-    parts = [unpack for unpack in (dealing.unpack(x, np.uint64, np.int64) for x in blobs)]
-    hashes, ids = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    order = np.argsort(hashes, kind="stable")
-    hashes, ids = hashes[order], ids[order]
-    edge = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
-    distinct, smallest = hashes[edge], np.minimum.reduceat(ids, edge)
-    for own, mine in parts:
-        hit = own[smallest[np.searchsorted(distinct, own)] < mine]
-        yield hit.tobytes() if len(hit) else None
-
-
-def smallest_here(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes, the smallest id of each, and the place of every hash in the first."""
-    distinct, place = np.unique(hashes, return_inverse=True)
-    smallest = np.full(len(distinct), np.iinfo(np.int64).max)
-    np.minimum.at(smallest, place, ids)
-    return distinct, smallest, place
-
-
-def repeated_passages(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_words, ``removed`` (word spans, end excluded) and ``kept`` (the words left, joined by a space)."""
-    buckets = partitions(docs.sparkSession)
-    dealt = dealing.deal(docs, id_col, text_col)
-
-    def names(table: pa.Table, _: list) -> dealing.Sent:
-        _, ids, texts = dealing.chunk_of(table)
-        rows, _, _, name, _ = filed(texts, width)
-        change = np.flatnonzero(np.append(True, (name[1:] != name[:-1]) | (rows[1:] != rows[:-1]))) if len(name) else rows
-        return dealing.send_names(*dealing.shared(name[change], ids[rows[change]]), buckets)
-
-    def verify(table: pa.Table, answers: list) -> dealing.Sent:
-        _, ids, texts = dealing.chunk_of(table)
-        rows, _, hashes, name, _ = filed(texts, width)
-        at = np.flatnonzero(dealing.found(name, dealing.answered(answers)))
-        distinct, smallest, _ = smallest_here(hashes[at], ids[rows[at]])
-        order, cuts = dealing.by_bucket(distinct, buckets)
-        for b in range(buckets):
-            own = order[cuts[b] : cuts[b + 1]]
-            if len(own):
-                yield b, dealing.pack(distinct[own], smallest[own])
-
-    def remove(table: pa.Table, answers: list) -> pa.Table:
-        raw, ids, texts = dealing.chunk_of(table)
-        rows, ats, hashes, _, counts = filed(texts, width)
-        distinct, smallest, place = smallest_here(hashes, ids[rows])
-        gone = (ids[rows] > smallest[place]) | dealing.found(hashes, dealing.answered(answers))
-        begin = np.append(0, np.cumsum(counts))
-        cover = np.zeros(begin[-1] + 1, np.int32)
-        at = begin[rows[gone]] + ats[gone]
-        np.add.at(cover, at, 1)
-        np.add.at(cover, at + width, -1)
-        out = np.cumsum(cover[:-1]) > 0
-        spans_of, kept = [], []
-        for k, text in enumerate(texts):
-            words, mask = (text.as_buffer().to_pybytes() if text.is_valid else b"").split(), out[begin[k] : begin[k + 1]]
-            if mask.any():
-                edges = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]])))
-                spans_of.append([{"start": a, "end": b} for a, b in edges.reshape(-1, 2).tolist()])
-                words = [words[i] for i in np.flatnonzero(~mask).tolist()]
-            else:
-                spans_of.append([])
-            kept.append(b" ".join(words))
-        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        return pa.table({"id": raw, "n_words": pa.array(counts, pa.int64()), "removed": pa.array(spans_of, span), "kept": pa.array(kept, pa.binary()).cast(pa.string())})
-
-    answers = dealing.settle(dealing.send(dealt, None, names), dealing.shared_names)
-    answers = dealing.settle(dealing.send(dealt, answers, verify), smaller_elsewhere)
-    return dealing.finish(dealt, answers, remove, "id long, n_words long, removed array<struct<start:bigint,end:bigint>>, kept string").withColumnRenamed("id", id_col)
+        text.append(joined)
+        n_bytes += len(joined)
+        n_words += len(starts)
+    kinds = (np.int64,) * 5 + (np.uint64,) * 2
+    of = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, k) for k in kinds]
+    units = np.append(0, np.cumsum(np.concatenate(counts))) if counts else np.zeros(1, np.int64)
+    return Stretches(np.concatenate(text) if text else np.zeros(0, np.uint8), units, *of)
+
+
+def lower(best: np.ndarray, filed_at: np.ndarray, strings: np.ndarray, names: np.ndarray, begin: np.ndarray, size: np.ndarray, source: np.ndarray, width: int) -> None:
+    """Compares the windows of a bucket's stretches, some names at a time."""
+    by_name, group = several_under(names)
+    upto, lo = np.cumsum(size[by_name]), 0
+    while lo < len(by_name):
+        hi = int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + SHARD, "right"))
+        hi = int(np.searchsorted(group, group[max(hi - 1, lo)], "right"))
+        own = by_name[lo:hi]
+        text = cut_out(source, begin[own], size[own])
+        starts, ends, first = spans(text, np.append(0, np.cumsum(size[own])), WORD)
+        hashes = word_hashes(text, starts, ends)
+        # words by their bytes, windows by their words
+        word = classes(text, starts, ends - starts, hashes)
+        at = inner(first[:-1], strings[own])
+        kind = classes(word, at, np.full(len(at), width), windows(hashes, width)[at])
+        slot = inner(filed_at[own], strings[own])
+        best[slot] = least_of(best[slot], kind)
+        lo = hi
+
+
+def repeated_passages(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", bits: int = NAME_BITS) -> DataFrame:
+    """One row per document: id, n_words, ``removed`` (word spans, end excluded) and ``kept`` (the words left, joined by a space).
+
+    ``bits`` of hashes, which decide nothing.
+    """
+
+    def result(raw: pa.Array, texts: pa.ChunkedArray, own: Stretches, gone: np.ndarray) -> dict:
+        # bytes of the words left, each with its space but the last
+        starts = np.append(0, np.flatnonzero(own.data == 0x20) + 1)[: len(gone) + 1]
+        room = np.diff(starts)
+        stay, doc = ~gone, np.repeat(np.arange(len(raw)), np.diff(own.units))
+        last = np.zeros(len(gone), bool)
+        kept_at = np.flatnonzero(stay)
+        last[kept_at[np.append(doc[kept_at][1:] != doc[kept_at][:-1], True)] if len(kept_at) else kept_at] = True
+        keep = np.repeat(stay, room)
+        keep[starts[1:][last] - 1] = False
+        left = np.append(0, np.cumsum(keep))[starts[own.units]]
+        kept = pa.Array.from_buffers(pa.large_binary(), len(raw), [None, pa.py_buffer(left.astype(np.int64).tobytes()), pa.py_buffer(own.data[keep].tobytes())])
+        parts = [kept.slice(lo, hi - lo).cast(pa.binary()).cast(pa.string()) for lo, hi in blocks(left, 1 << 30)]
+        return {"n_words": pa.array(np.diff(own.units), pa.int64()), "removed": spans_of(gone, own.units), "kept": pa.chunked_array(parts, pa.string())}
+
+    return repeated(
+        docs, width, lambda texts: gather(texts, width, bits), lambda *bucket: lower(*bucket, width), result,
+        "n_words long, removed array<struct<start:bigint,end:bigint>>, kept string", id_col, text_col,
+    )
 
 
 def n_removed(spans_col: str = "removed"):

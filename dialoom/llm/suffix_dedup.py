@@ -2,18 +2,25 @@
 
 Every ``width``-byte string of a document is filed under the least hash of the
 ``GRAM``-byte strings within it, so equal strings are filed alike wherever they
-stand.  Names that one document alone has hold no repeats.  For the others, the
-stretch of bytes that consecutive strings under one name cover goes to the
-name's shard, equal stretches of a chunk once, with the smallest document id.
-A shard's stretches, equal ones again once, are put in suffix order with common
-prefixes by ``suffix_array``, which works outside memory; neighbours that share
+stand.  Names that one document alone has hold no repeats; a round of messages
+finds them.  For the others, the stretch of bytes that consecutive strings
+under one name cover goes to the name's bucket, equal stretches of a chunk
+once, with the smallest document id.  A bucket's stretches, equal ones again
+once, are dealt to shards by name and put in suffix order with common prefixes
+by ``suffix_array``, which works outside memory; neighbours that share
 ``width`` bytes or more are one string, and the smallest id among them decides
 which documents lose it.
 
-Cases: a null or empty text has no bytes; strings never cross documents; a null
-id sorts before all others; rows with one id do not remove each other's bytes;
-bytes left may not be whole characters, so the kept text is binary; extra
-columns are not read; an empty table gives no rows.
+Hashes only say what may be equal: stretches count as equal when their bytes
+are, and strings when the suffix order says so.  Only names go by hash, and two
+that are confused cost time alone.
+
+Cases: a null or empty text has no bytes; strings never cross documents; a very
+long text is one more row of its chunk, cut by names like others; of equal
+strings the one with the smallest id stays; a null id sorts before all others;
+rows with one id do not remove each other's bytes; bytes left may not be whole
+characters, so the kept text is binary; extra columns are not read; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,20 +32,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.llm import dealing
-from dialoom.llm.session import partitions
+from dialoom.llm.repeats import MOST, NAME_BITS, Stretches, cut_out, inner, repeated, several_under, spans_of
 from dialoom.llm.suffix_array import MEMORY, SuffixOrder
 from dialoom.llm.text import BYTE_BASE, BYTE_VALUES, between, blocks, flat, mix, prefix
 
 WIDTH, GRAM = 50, 16
 U64 = np.uint64
-MOST = np.iinfo(np.int64).max
 #: Bytes of the shards that a bucket's names are dealt to; a name alone may need more.
 SHARD = 1 << 20
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray, width: int, block: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """By block: row, first byte (in ``data``), strings, name, and a hash of name and bytes, of each stretch."""
+    """By block: row, first byte (in ``data``), strings, name, and a hash of the bytes, of each stretch."""
     slots = width - GRAM + 1
     for lo, hi in blocks(offsets, block):
         own = offsets[lo : hi + 1] - offsets[lo]
@@ -61,7 +66,7 @@ def stretches(data: np.ndarray, offsets: np.ndarray, width: int, block: int = 1
         head = np.flatnonzero(np.append(True, (name[1:] != name[:-1]) | (row[1:] != row[:-1]))) if len(row) else row
         strings = np.diff(np.append(head, len(row)))
         start = at[head]
-        mark = mix(between(sums, start, start + strings + width - 1, BYTE_BASE) ^ (name[head] * U64(3) + strings.astype(np.uint64)))
+        mark = mix(between(sums, start, start + strings + width - 1, BYTE_BASE) ^ strings.astype(np.uint64))
         yield row[head] + lo, start + offsets[lo], strings, name[head], mark
 
 
@@ -71,49 +76,22 @@ def gathered(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarr
     return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, k) for k in kinds]
 
 
-def cut_out(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The bytes of the spans, one after another."""
-    at = np.repeat(start - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(int(size.sum()))
-    return data[at]
-
-
-def decide(blobs: list, width: int, memory: int) -> Iterator[bytes | None]:
-    """To each chunk: for its stretches with strings that a smaller id has, the mark, the number of strings, and a bit for each."""
-    parts = [dealing.unpack(x, np.uint64, np.uint64, np.int64, np.uint32, np.uint8) for x in blobs]
-    marks, names, ids, strings = (np.concatenate([p[k] for p in parts]) for k in range(4))
-    strings = strings.astype(np.int64)
-    begin = np.append(0, np.cumsum(strings + width - 1))
-    source = np.concatenate([*(p[4] for p in parts), np.zeros(1, np.uint8)])
-    order = np.lexsort((ids, marks))
-    once = order[np.append(True, marks[order][1:] != marks[order][:-1])]
-    # the smallest id of each distinct stretch's strings, to be lowered
-    filed = np.append(0, np.cumsum(strings[once]))
-    best = np.repeat(ids[once], strings[once])
-    # stretches with one name go together; one alone under its name shares nothing with any other
-    by_name = np.argsort(names[once], kind="stable")
-    sorted_names = names[once][by_name]
-    edge = np.flatnonzero(np.append(True, sorted_names[1:] != sorted_names[:-1]))
-    group = np.repeat(np.arange(len(edge)), np.diff(np.append(edge, len(by_name))))
-    several = np.bincount(group)[group] > 1
-    by_name, group = by_name[several], group[several]
-    upto = np.cumsum(strings[once][by_name] + width)
-    lo = 0
+def gather(texts: pa.ChunkedArray, width: int, bits: int) -> Stretches:
+    data, offsets = flat(texts)
+    rows, start, strings, name, mark = gathered(data, offsets, width)
+    return Stretches(data, offsets, rows, start, strings, start, strings + width - 1, name >> U64(64 - bits), mark >> U64(64 - bits))
+
+
+def lower(best: np.ndarray, filed: np.ndarray, strings: np.ndarray, names: np.ndarray, begin: np.ndarray, size: np.ndarray, source: np.ndarray, width: int, memory: int, shard: int) -> None:
+    """Puts a bucket's stretches in suffix order, shard by shard; stretches with one name go together."""
+    by_name, group = several_under(names)
+    source, upto, lo = np.append(source, np.uint8(0)), np.cumsum(size[by_name] + 1), 0
     while lo < len(by_name):
-        hi = int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + SHARD, "right"))
+        hi = int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + shard, "right"))
         hi = int(np.searchsorted(group, group[max(hi - 1, lo)], "right"))
         own = by_name[lo:hi]
-        _lower_shard(best, filed[own], strings[once][own], begin[once[own]], source, width, memory)
+        _lower_shard(best, filed[own], strings[own], begin[own], source, width, memory)
         lo = hi
-    at = np.searchsorted(marks[once], marks)
-    lo = 0
-    for part in parts:
-        own = np.arange(lo, lo + len(part[0]))
-        lo += len(part[0])
-        n = strings[own]
-        slots = np.repeat(filed[at[own]] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(int(n.sum()))
-        bits = best[slots] < np.repeat(ids[own], n)
-        hit = np.add.reduceat(bits, np.append(0, np.cumsum(n)[:-1])) > 0
-        yield dealing.pack(marks[own][hit], n[hit].astype(np.uint32), np.packbits(bits[np.repeat(hit, n)])) if hit.any() else None
 
 
 def _lower_shard(best: np.ndarray, filed: np.ndarray, strings: np.ndarray, begin: np.ndarray, source: np.ndarray, width: int, memory: int) -> None:
@@ -124,7 +102,7 @@ def _lower_shard(best: np.ndarray, filed: np.ndarray, strings: np.ndarray, begin
     slot_of = np.full(len(text) + 1, -1)
     starts = np.repeat(where[:-1] - np.append(0, np.cumsum(strings)[:-1]), strings) + np.arange(int(strings.sum()))
     slot_of[starts] = np.repeat(filed - np.append(0, np.cumsum(strings)[:-1]), strings) + np.arange(int(strings.sum()))
-    suffixes = SuffixOrder(text, where[1:] - 1, memory)
+    suffixes = SuffixOrder(text, where[1:] - 1, memory, limit=width)
     try:
         held: list[np.ndarray] = []
         least = MOST
@@ -158,75 +136,25 @@ def _lower(best: np.ndarray, held: list[np.ndarray], least: int) -> None:
     best[slots[slots >= 0]] = least
 
 
-def repeated_strings(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", memory: int = MEMORY) -> DataFrame:
-    """One row per document: id, n_bytes, ``removed`` (byte spans, end excluded) and ``kept`` (the bytes left)."""
+def repeated_strings(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", memory: int = MEMORY, shard: int = SHARD, bits: int = NAME_BITS) -> DataFrame:
+    """One row per document: id, n_bytes, ``removed`` (byte spans, end excluded) and ``kept`` (the bytes left).
+
+    ``memory``: bytes that the sort of a shard may hold; ``shard``: bytes of a shard, unless one name needs more;
+    ``bits`` of hashes, which decide nothing.
+    """
     if width < GRAM:
         raise ValueError(f"strings must have {GRAM} bytes or more")
-    buckets = partitions(docs.sparkSession)
-    dealt = dealing.deal(docs, id_col, text_col)
-
-    def names(table: pa.Table, _: list) -> dealing.Sent:
-        _, ids, texts = dealing.chunk_of(table)
-        rows, _, _, name, _ = gathered(*flat(texts), width)
-        return dealing.send_names(*dealing.shared(name, ids[rows]), buckets)
-
-    def sort(table: pa.Table, answers: list) -> dealing.Sent:
-        _, ids, texts = dealing.chunk_of(table)
-        data, offsets = flat(texts)
-        rows, start, strings, name, mark = gathered(data, offsets, width)
-        at = np.flatnonzero(dealing.found(name, dealing.answered(answers)))
-        order = at[np.lexsort((ids[rows[at]], mark[at]))]
-        once = order[np.append(True, mark[order][1:] != mark[order][:-1])] if len(order) else order
-        bucket = (name[once] % U64(buckets)).astype(np.int64)
-        once = once[np.argsort(bucket, kind="stable")]
-        cuts = np.searchsorted(np.sort(bucket), np.arange(buckets + 1))
-        for b in range(buckets):
-            own = once[cuts[b] : cuts[b + 1]]
-            if len(own):
-                yield b, dealing.pack(mark[own], name[own], ids[rows[own]], strings[own].astype(np.uint32), cut_out(data, start[own], strings[own] + width - 1))
-
-    def remove(table: pa.Table, answers: list) -> pa.Table:
-        raw, ids, texts = dealing.chunk_of(table)
-        data, offsets = flat(texts)
-        rows, start, strings, _, mark = gathered(data, offsets, width)
-        distinct, place = np.unique(mark, return_inverse=True)
-        smallest = np.full(len(distinct), MOST)
-        np.minimum.at(smallest, place, ids[rows])
-        cover = np.zeros(len(data) + 1, np.int32)
-        # stretches that a smaller id of this chunk has too
-        at = np.flatnonzero(ids[rows] > smallest[place])
-        np.add.at(cover, start[at], 1)
-        np.add.at(cover, start[at] + strings[at] + width - 1, -1)
-        parts = [dealing.unpack(x, np.uint64, np.uint32, np.uint8) for x in answers]
-        if parts:
-            marks, sizes = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]).astype(np.int64)
-            bits = np.concatenate([np.unpackbits(p[2], count=int(p[1].sum())) for p in parts]).astype(bool)
-            begin = np.append(0, np.cumsum(sizes)[:-1])
-            order = np.argsort(marks)
-            near = np.minimum(np.searchsorted(marks[order], mark), len(order) - 1)
-            of = np.flatnonzero(marks[order][near] == mark)
-            from_, n = begin[order[near[of]]], strings[of]
-            inner = np.arange(int(n.sum())) - np.repeat(np.append(0, np.cumsum(n)[:-1]), n)
-            at = (np.repeat(start[of], n) + inner)[bits[np.repeat(from_, n) + inner]]
-            np.add.at(cover, at, 1)
-            np.add.at(cover, at + width, -1)
-        gone = np.cumsum(cover[:-1]) > 0
-        edge = np.zeros(len(data) + 1, bool)
-        edge[offsets] = True
-        padded = np.concatenate([[False], gone, [False]])
-        begin = np.flatnonzero(gone & (edge[:-1] | ~padded[:-2]))
-        end = np.flatnonzero(gone & (edge[1:] | ~padded[2:])) + 1
-        cuts = np.searchsorted(begin, offsets)
-        shift = offsets[np.searchsorted(offsets, begin, "right") - 1]
-        span = pa.StructArray.from_arrays([pa.array(begin - shift, pa.int64()), pa.array(end - shift, pa.int64())], ["start", "end"])
-        left = np.append(0, np.cumsum(~gone))[offsets]
-        kept = pa.Array.from_buffers(pa.large_binary(), len(raw), [None, pa.py_buffer(left.astype(np.int64).tobytes()), pa.py_buffer(data[~gone].tobytes())]).cast(pa.binary())
-        return pa.table({"id": raw, "n_bytes": pa.array(np.diff(offsets), pa.int64()), "removed": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), span), "kept": kept})
-
-    answers = dealing.settle(dealing.send(dealt, None, names), dealing.shared_names)
-    answers = dealing.settle(dealing.send(dealt, answers, sort), lambda blobs: decide(blobs, width, memory))
-    out = dealing.finish(dealt, answers, remove, "id long, n_bytes long, removed array<struct<start:bigint,end:bigint>>, kept binary")
-    return out.withColumnRenamed("id", id_col)
+
+    def result(raw: pa.Array, _: pa.ChunkedArray, own: Stretches, gone: np.ndarray) -> dict:
+        left = np.append(0, np.cumsum(~gone))[own.units]
+        kept = pa.Array.from_buffers(pa.large_binary(), len(raw), [None, pa.py_buffer(left.astype(np.int64).tobytes()), pa.py_buffer(own.data[~gone].tobytes())])
+        parts = [kept.slice(lo, hi - lo).cast(pa.binary()) for lo, hi in blocks(left, 1 << 30)]
+        return {"n_bytes": pa.array(np.diff(own.units), pa.int64()), "removed": spans_of(gone, own.units), "kept": pa.chunked_array(parts, pa.binary())}
+
+    return repeated(
+        docs, width, lambda texts: gather(texts, width, bits), lambda *bucket: lower(*bucket, width, memory, shard), result,
+        "n_bytes long, removed array<struct<start:bigint,end:bigint>>, kept binary", id_col, text_col,
+    )
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

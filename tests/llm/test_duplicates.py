@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from dialoom.llm import components, dealing, minhash_dedup, substring_dedup, suffix_array, suffix_dedup, text
+from dialoom.llm import components, minhash_dedup, repeats, substring_dedup, suffix_array, suffix_dedup, text
 from tests.llm import brute
 from tests.llm.conftest import same
 
@@ -17,47 +17,48 @@ def test_strings(docs, rows):
     same(suffix_dedup.digest(suffix_dedup.repeated_strings(docs)).collect(), brute.strings(rows))
 
 
-def test_strings_in_small_blocks(docs, rows, monkeypatch):
-    monkeypatch.setattr(suffix_array, "BLOCK", 64)
-    pieces = [b"abc" * 40, b"xabc" * 30, b"abcabc" * 25, b"q" * 90]
-    blobs, ids = [], [5, 3, 9, 1]
-    for i, p in zip(ids, pieces, strict=True):
-        n = len(p) - 49
-        blobs.append(pa.scalar(dealing.pack(np.array([i * 77], np.uint64), np.array([9], np.uint64), np.array([i]), np.array([n], np.uint32), np.frombuffer(p, np.uint8)), pa.binary()))
-    original = suffix_array.SuffixOrder.__init__
-    answers = []
-    for block in (16, 1 << 20):
-        monkeypatch.setattr(suffix_array.SuffixOrder, "__init__", lambda self, d, e, m, b=block: original(self, d, e, 4096, b))
-        answers.append(list(suffix_dedup.decide(blobs, 50, 4096)))
-    assert answers[0] == answers[1]
-    for i, p, got in zip(ids, pieces, answers[0], strict=True):
-        want = [any(p[k : k + 50] in q for j, q in zip(ids, pieces, strict=True) if j < i) for k in range(len(p) - 49)]
-        bits = [False] * len(want)
-        if got:
-            bits = np.unpackbits(dealing.unpack(pa.scalar(got, pa.binary()), np.uint64, np.uint32, np.uint8)[2], count=len(want)).astype(bool).tolist()
-        assert bits == want
-
-
-@pytest.mark.parametrize("memory,block", [(1 << 20, 1 << 16), (2000, 7)])
+@pytest.mark.parametrize("width", [16, 80, 100])
+def test_strings_of_other_widths(docs, rows, width):
+    same(suffix_dedup.digest(suffix_dedup.repeated_strings(docs, width)).collect(), brute.strings(rows, width))
+
+
+def test_strings_with_little_memory_and_poor_hashes(docs, rows):
+    """Shards ten times their memory, queues and arrays in files; hashes of 16 bits decide nothing."""
+    got = suffix_dedup.repeated_strings(docs, memory=20_000, shard=200_000, bits=16)
+    same(suffix_dedup.digest(got).collect(), brute.strings(rows))
+
+
+def test_spans_with_equal_hashes_are_compared():
+    data = np.frombuffer(b"abcabdabcxyzabd", np.uint8)
+    start, size = np.arange(0, 15, 3), np.full(5, 3)
+    assert repeats.classes(data, start, size, np.zeros(5, np.uint64)).tolist() == [0, 1, 0, 3, 1]
+
+
+@pytest.mark.parametrize("memory,block", [(1 << 20, 1 << 16), (2000, 7), (400, 64)])
 def test_suffix_order(memory, block):
     rng = random.Random(3)
-    for _ in range(15):
-        letters = rng.choice([b"ab", b"abcdef", b"a"])
+    for turn in range(15):
+        letters = rng.choice([b"ab", b"abcdef", b"a", b"\0\1"])
         base = bytes(rng.choice(letters) for _ in range(150))
         pieces = [base[(k := rng.randrange(100)) : k + rng.randrange(1, 100)] for _ in range(rng.randrange(1, 5))]
+        if turn == 0:  # repeats far longer than the limit of common prefixes
+            pieces = [b"abc" * 200, b"bc" + b"abc" * 180 + b"x", b"abc" * 200]
         data = np.frombuffer(b"".join(p + b"\0" for p in pieces), np.uint8)
         ends = np.cumsum([len(p) + 1 for p in pieces]) - 1
-        order = suffix_array.SuffixOrder(data, ends, memory, block)
+        order = suffix_array.SuffixOrder(data, ends, memory, block, limit=90)
         positions, common = (np.concatenate(x).tolist() for x in zip(*order, strict=True))
+        assert order.spilled > 0 or memory > 2000 or turn > 0
         order.close()
-        plain = [1 if i in ends else int(x) + 2 for i, x in enumerate(data)] + [0]
-        keys = [plain[i : i + 60] for i in positions]
+        plain = [-1 if i in ends else int(x) for i, x in enumerate(data)]
+        cut = lambda i: plain[i : next((int(e) for e in ends if e >= i), len(plain))]
+        keys = [cut(i) for i in positions]
         assert keys == sorted(keys, reverse=True) and len(set(positions)) == len(positions) >= len(data)
         for k in range(1, len(positions)):
             a, b = keys[k - 1], keys[k]
             n = next((j for j, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
-            if 1 not in a[: n + 1] + b[: n + 1] and 0 not in a[: n + 1] + b[: n + 1]:
-                assert min(common[k], 50) == min(n, 50)
+            if a and b:
+                assert min(common[k], n) == min(n, 90), (a, b, common[k])
+                assert common[k] == min(n, 90) or n == min(len(a), len(b))
 
 
 def test_passages(docs, rows):
@@ -66,6 +67,8 @@ def test_passages(docs, rows):
     found = substring_dedup.repeated_passages(docs)
     got = found.select("doc_id", "n_words", substring_dedup.n_removed().alias("n"), F.sha2(F.encode("kept", "UTF-8"), 256))
     same(got.collect(), brute.passages(rows))
+    poor = substring_dedup.repeated_passages(docs, bits=16)
+    same(poor.select("doc_id", "n_words", substring_dedup.n_removed().alias("n"), F.sha2(F.encode("kept", "UTF-8"), 256)).collect(), brute.passages(rows))
 
 
 def test_equal_windows_are_filed_alike():
@@ -73,7 +76,11 @@ def test_equal_windows_are_filed_alike():
     for _ in range(20):
         core = [rng.choice("abc") for _ in range(60)]
         texts = [" ".join([rng.choice("abcd") for _ in range(rng.randrange(40))] + core + [rng.choice("abcd") for _ in range(rng.randrange(40))]) for _ in range(2)]
-        rows, _, hashes, names, _ = substring_dedup.filed(pa.chunked_array([pa.array(texts)]), 50)
+        data, offsets = text.flat(pa.chunked_array([pa.array(texts)]))
+        starts, ends, first = text.spans(data, offsets, text.WORD)
+        words = text.word_hashes(data, starts, ends)
+        rows, at, names = substring_dedup.filed(words, first, 50)
+        hashes = text.windows(words, 50)[at]
         by = [dict(zip(hashes[rows == r].tolist(), names[rows == r].tolist(), strict=True)) for r in (0, 1)]
         both = set(by[0]) & set(by[1])
         assert len(both) >= 11 or len(set(core)) < 3
@@ -98,10 +105,9 @@ def test_long_lists_in_parts(docs, rows, monkeypatch):
 
 def test_components(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, 101), (101, 102), (200, 100), (7, 7), (500, 501), (500, 501)]
-    for few in (0, 1000):
-        got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long"), few).collect()}
-        assert got == {k: 0 for k in range(1, 31)} | {101: 100, 102: 100, 200: 100, 501: 500}
-        assert components.components(spark.createDataFrame([], "a long, b long"), few).count() == 0
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {k: 0 for k in range(1, 31)} | {101: 100, 102: 100, 200: 100, 501: 500}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_empty(empty):
