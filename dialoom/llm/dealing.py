@@ -5,8 +5,8 @@ or less, counted first, so that chunks do not grow with the corpus.  In a round
 each chunk sends every bucket that it has anything for one packed array,
 already combined, so that however often one value occurs, a bucket gets it once
 from each chunk; the bucket settles the value over all chunks and answers each
-chunk with one packed array.  There are as many buckets as chunks.  The dealt
-documents are the same exchange in every round, which Spark reuses.
+chunk with one packed array.  There are half as many buckets as chunks.  The
+dealt documents are the same exchange in every round, which Spark reuses.
 """
 
 from __future__ import annotations
@@ -20,16 +20,16 @@ from pyspark.sql import functions as F
 
 from dialoom.llm.session import partitions
 
-#: Chunks for each shuffle partition, at least: more even partitions, smaller groups.
+#: Chunks for each bucket: more even partitions, smaller groups.
 CHUNKS = 2
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES, LEAST_BYTES = 16 << 20, 1 << 20
 NO_ID = np.iinfo(np.int64).min
 
 
 def pieces(docs: DataFrame, text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> int:
-    """The number of chunks, and of buckets: by the session's partitions, and by the bytes there are."""
+    """The number of buckets, and half that of chunks: one for each partition if there is a MB for it, more as the bytes ask for."""
     total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
-    return max(partitions(docs.sparkSession), -(-total // chunk_bytes // CHUNKS))
+    return max(1, min(partitions(docs.sparkSession), -(-total // LEAST_BYTES)), -(-total // (CHUNKS * chunk_bytes)))
 
 
 def deal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: tuple[str, ...] = ("id", "text"), n: int | None = None) -> tuple[DataFrame, int]:

@@ -105,23 +105,27 @@ def test_leaks(spark, docs, rows):
     assert decontamination.decontaminate(docs.limit(0), items).count() == 0
 
 
-def test_leaks_by_slices(spark, rows, monkeypatch):
-    monkeypatch.setattr(decontamination, "SLICE_BYTES", 40)
-    every = rows[:30] + [(400, "alpha beta gamma w0 w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 zz top 9")] * 2
-    got = decontamination.decontaminate(table(spark, every), spark.createDataFrame(ITEMS, "item_id long, text string"))
-    same(got.select("doc_id", "n_words", "n_hit", F.size("items")).collect(), [x[:4] for x in brute.leaks(every, ITEMS)])
+def test_items_that_share_an_id_count_once(spark):
+    docs = spark.createDataFrame([(1, "alpha beta and gamma delta"), (2, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(5, "alpha beta"), (5, "gamma delta"), (7, "alpha beta")], "item_id long, text string")
+    got = {r.doc_id: (r.items, r.n_hit) for r in decontamination.decontaminate(docs, items).collect()}
+    assert got == {1: (["5", "7"], 4), 2: ([], 0)}
 
 
-def test_proximity():
-    import pyarrow as pa
+def test_proximity(spark):
+    texts = ["a x x b", "a b", "b x x x x a", "a", None, "B a"]
+    index = decontamination.build_index(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).cache()
+    queries = spark.createDataFrame([(1, "a b"), (2, "b A"), (3, "a zz"), (4, ""), (5, "x")], "query int, text string")
+    for within, want in ((2, {1, 5}), (4, {0, 1, 5}), (6, {0, 1, 2, 5})):
+        got = {(r.query, r.id) for r in decontamination.search_near(index, queries, within).collect()}
+        assert got == {(q, d) for q in "12" for d in want} | {("5", 0), ("5", 2)}
 
-    data, offsets = decontamination.flat(pa.array(["a x x b", "a b", "b x x x x a", "a"]))
-    hashes, first = decontamination.words_of(data, offsets)
-    order = np.argsort(hashes, kind="stable")
-    edge = np.flatnonzero(np.append(True, np.diff(hashes[order].view(np.int64)) != 0))
-    block = decontamination.Block(first.astype(np.uint32).tobytes(), hashes[order][edge].tobytes(), np.append(edge, len(order)).astype(np.uint32).tobytes(), order.astype(np.uint32).tobytes())
-    ab = np.array([hashes[0], hashes[3]])
-    assert block.near(ab, 4).tolist() == [0, 1] and block.near(ab, 2).tolist() == [1] and block.near(ab, 6).tolist() == [0, 1, 2]
+
+def test_many_buckets(spark, rows, monkeypatch):
+    monkeypatch.setattr(decontamination, "BUCKET_BYTES", 2000)
+    every = rows[:40] + [(400, "alpha beta gamma w0 w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 zz top 9")] * 2
+    got = decontamination.decontaminate(table(spark, every), spark.createDataFrame(ITEMS, "item_id long, text string"))
+    same(got.select("doc_id", "n_words", "n_hit", F.size("items")).collect(), [x[:4] for x in brute.leaks(every, ITEMS)])
 
 
 def test_shards(docs, rows):
