@@ -6,18 +6,21 @@ else have no key and always stay.  A line spreads over the distinct sites
 merged for each line hash; lines whose estimate lies near the threshold get an
 exact count of distinct sites, others keep the sketch's verdict.  A line that
 spreads over ``min_sites`` or more is boilerplate and goes from every document
-but the first (smallest id) that holds it, where it stays once.  The exception
-is a document whose set of lines spreads, as a whole, over ``min_sites`` sites:
-it is a copy, which near-duplicate removal is for, and keeps its lines.
+but the first (smallest id) that holds it, where it stays once.  With
+``keep_copies`` a document whose set of lines spreads, as a whole, over
+``min_sites`` sites keeps its lines: it is a copy, which near-duplicate removal
+after this one is for, and which this one would leave empty.
 
 Sketches are merged in partial aggregates, so a line that a third of all
 documents holds is one sketch a task.  Lines are carried as a 64-bit hash and
 length.
 
 Cases: a null text has no lines and stays null; a null site counts as no site;
-the lines' hashes are written once, to the shared folder; documents that repeat an id are told apart by their text's hash, and rows equal
-in both share their fate; extra columns pass through unchanged; an empty table
-gives no rows.
+a very long text has its lines counted one by one like others; of documents
+that tie for the first, by id, the one with the smaller hash of its text counts;
+documents that repeat an id are told apart by that hash, and rows equal in both
+share their fate; extra columns pass through unchanged; an empty table gives no
+rows.  The lines' hashes are written once, to the shared folder.
 """
 
 from __future__ import annotations
@@ -57,28 +60,29 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return sure.select("line", "size", "first").unionByName(near.join(exact, ["line", "size"]).select("line", "size", "first"))
 
 
-def _cut(docs: DataFrame, min_sites: int, id_col: str, text_col: str, site_col: str) -> tuple[DataFrame, Column, Column, Column]:
+def _copies(lines: DataFrame, stock: DataFrame, min_sites: int) -> DataFrame:
+    """``id`` and ``body`` of documents whose set of lines is on ``min_sites`` sites; no line of such a set is on fewer."""
+    sets = (
+        lines.join(stock.select("line", "size", F.lit(True).alias("wide")), ["line", "size"], "left").groupBy("id", "body")
+        .agg(F.bool_and(F.coalesce("wide", F.lit(False))).alias("whole"), F.collect_set("site").alias("sites"), F.xxhash64(F.sort_array(F.collect_set(F.struct("line", "size")))).alias("set"))
+        .filter("whole").drop("whole")
+    )
+    spread = sets.select("set", F.explode("sites").alias("site")).groupBy("set").agg(F.countDistinct("site").alias("n")).filter(F.col("n") >= min_sites)
+    return sets.join(spread, "set", "left_semi").select("id", "body")
+
+
+def _cut(docs: DataFrame, min_sites: int, id_col: str, text_col: str, site_col: str, keep_copies: bool) -> tuple[DataFrame, Column, Column, Column]:
     """``docs`` with the removed positions, the text left, the numbers of lines and of removed ones."""
     lines = cut(_lines(docs, id_col, text_col, site_col))
     stock = boilerplate(lines, min_sites)
-    hit = F.col("first").isNotNull() & ~F.struct("id", "body", "pos").eqNullSafe(F.col("first"))
-    found = cut(
-        lines.join(stock, ["line", "size"], "left").groupBy("id", "body")
-        .agg(
-            F.count_if(F.col("first").isNull()).alias("own"), F.collect_set("site").alias("sites"),
-            F.xxhash64(F.sort_array(F.collect_set(F.when(F.col("first").isNotNull(), F.struct("line", "size"))))).alias("set"),
-            F.sort_array(F.collect_set(F.when(hit, F.col("pos")))).alias("gone"),
-        )
-        .filter((F.col("own") == 0) | (F.size("gone") > 0))
-    )
-    # a set of lines that spreads has no line that does not
-    whole = F.col("own") == 0
-    copied = found.filter(whole).select("set", F.explode("sites").alias("site")).groupBy("set").agg(F.countDistinct("site").alias("n")).filter(F.col("n") >= min_sites)
-    copied = copied.select(F.col("set").alias("copied"))
-    gone = (
-        found.filter(F.size("gone") > 0).join(copied, whole & (F.col("set") == F.col("copied")), "left_anti")
-        .select(F.col("id").alias("__id"), F.col("body").alias("__body"), F.col("gone").alias("__gone"))
-    )
+    if keep_copies:
+        stock = cut(stock)
+    hit = ~F.struct("id", "body", "pos").eqNullSafe(F.col("first"))
+    gone = lines.join(stock, ["line", "size"]).filter(hit).groupBy("id", "body").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
+    if keep_copies:
+        copies = _copies(lines, stock, min_sites).select(F.col("id").alias("c"), F.col("body").alias("d"))
+        gone = gone.join(copies, F.col("id").eqNullSafe(F.col("c")) & (F.col("body") == F.col("d")), "left_anti")
+    gone = gone.select(F.col("id").alias("__id"), F.col("body").alias("__body"), F.col("gone").alias("__gone"))
     joined = docs.join(gone, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__body")), "left")
     parts, none = F.split(docs[text_col], "\n"), F.col("__gone").isNull()
     # lines between two removed ones stay as they are: as many slices as removed lines, and one
@@ -89,16 +93,16 @@ def _cut(docs: DataFrame, min_sites: int, id_col: str, text_col: str, site_col:
     return joined, F.when(none, docs[text_col]).otherwise(kept), n_lines, F.when(none, 0).otherwise(F.size("__gone")).cast("long")
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
+def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", keep_copies: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines cut from the text, and ``n_lines``, ``n_removed``, which take the place of columns so named."""
-    joined, text, n_lines, n_removed = _cut(docs, min_sites, id_col, text_col, site_col)
+    joined, text, n_lines, n_removed = _cut(docs, min_sites, id_col, text_col, site_col, keep_copies)
     own = [text.alias(c) if c == text_col else docs[c] for c in docs.columns if c not in ("n_lines", "n_removed")]
     return joined.select(*own, n_lines.alias("n_lines"), n_removed.alias("n_removed"))
 
 
-def clean(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", size_col: str = "n_chars") -> DataFrame:
+def clean(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", size_col: str = "n_chars", keep_copies: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines cut from the text; ``size_col``, if there is one, follows a text that was cut."""
-    joined, text, _, n_removed = _cut(docs, min_sites, id_col, text_col, site_col)
+    joined, text, _, n_removed = _cut(docs, min_sites, id_col, text_col, site_col, keep_copies)
     follow = {text_col: text}
     if size_col in docs.columns:
         follow[size_col] = F.when(n_removed > 0, F.length(text).cast(docs.schema[size_col].dataType)).otherwise(docs[size_col])

@@ -14,8 +14,9 @@ The nearest rows are found from counts of distances in bins of 1/64 of a
 logarithm, so every row counts, the threshold is the same on any machine, and a
 group with a third of all rows is aggregated in parts like any other.
 
-Cases: a null or empty text has no words and fails the base rules; a null
-language or source is a group of its own; ids that repeat give one row each,
+Cases: a null or empty text has no words and fails the base rules; a very long
+text is counted whole; rows that tie in distance are in or out of a subset
+together, since their bin is; a null language or source is a group of its own; ids that repeat give one row each,
 judged alike if their texts are; extra columns pass ``keep`` unchanged; an empty table gives no rows.
 """
 
@@ -38,6 +39,8 @@ SUBSET, STEPS, LEAST_ROWS = 0.75, 4, 50
 CONSISTENT, REWEIGHTED, POINT_975 = 1.41, 1.06, 12.83
 #: Distance from which a document is rejected.
 CUT = 7.0
+#: Models of so many groups are sent to all tasks: some 300 bytes each.
+FEW_GROUPS = 50_000
 SPACE = r"\x20\x09-\x0D"
 
 
@@ -127,6 +130,11 @@ def _factor(moments: DataFrame, by: list[str], scale: float) -> DataFrame:
     return df.select(*by, *[F.col(f"m_{x}") for x in X], *[F.col(f"l_{i}{j}") for i, j in PAIRS], det.alias("logdet"))
 
 
+def _small(groups: DataFrame) -> DataFrame:
+    """One row for each group, broadcast if they are counted and few."""
+    return F.broadcast(groups) if groups.count() <= FEW_GROUPS else groups
+
+
 def _squared(rows: DataFrame) -> DataFrame:
     """Adds the squared Mahalanobis distance ``d2`` from the factor's columns in the row."""
     for i in range(DIMS):
@@ -143,7 +151,7 @@ def _nearest(rows: DataFrame, by: list[str]) -> DataFrame:
     upto = W.partitionBy(*by).orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
     bins = rows.groupBy(*by, "bin").count().withColumns({"before": F.coalesce(F.sum("count").over(upto), F.lit(0)), "all": F.sum("count").over(W.partitionBy(*by))})
     last = bins.filter(F.col("before") < SUBSET * F.col("all")).groupBy(*by).agg(F.max("bin").alias("last"))
-    return rows.join(last, by).filter("bin <= last")
+    return rows.join(_small(cut(last)), by).filter("bin <= last")
 
 
 def _medians(fit: DataFrame) -> DataFrame:
@@ -170,12 +178,12 @@ def mahalanobis(rows: DataFrame) -> DataFrame:
     model = cut(_medians(fit).unionByName(_factor(_moments(fit.withColumn("start", F.lit(1)), by), by, 1.0)))
     both = fit.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
     for _ in range(STEPS):
-        near = _nearest(_squared(both.join(model, by)).select(*by, *X, "d2"), by)
+        near = _nearest(_squared(both.join(_small(model), by)).select(*by, *X, "d2"), by)
         model = cut(_factor(_moments(near, by), by, CONSISTENT))
     best = model.withColumn("rank", F.row_number().over(W.partitionBy("key").orderBy("logdet", "start"))).filter("rank = 1").drop("rank", "start")
-    inner = _squared(fit.join(best, "key")).filter(F.col("d2") <= POINT_975).select("key", *X)
+    inner = _squared(fit.join(_small(best), "key")).filter(F.col("d2") <= POINT_975).select("key", *X)
     model = cut(_factor(_moments(inner, ["key"]), ["key"], REWEIGHTED))
-    return _squared(rows.join(model, "key", "left")).withColumn("distance", F.sqrt("d2"))
+    return _squared(rows.join(_small(model), "key", "left")).withColumn("distance", F.sqrt("d2"))
 
 
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

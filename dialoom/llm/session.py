@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests on one machine) a temporary
-    folder is made and set.
+    Only on one machine, where the session names none (tests), a temporary
+    folder is made and set; a cluster must name one.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="dialoom-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", path)
     context = spark.sparkContext

@@ -11,9 +11,12 @@ Law ``rows``: shard sizes differ by one at most.  Equal rows may part; where
 they lie is decided by their order alone, and any order of equal rows gives
 the same result.
 
-Cases: a null text has no bytes, so size 16 and crc32 0; a null id is an id
-like others; an empty table gives no rows; clashing or extra columns are not
-read.  The matrix has buckets x shards cells, neither of which is rows.
+Cases: a null text has no bytes, so size 16 and crc32 0; an empty text likewise;
+a very long text is a row like others, of which only size and crc32 travel; a
+null id is an id like others; rows that tie in all that decides are equal, so
+their order is no matter; an empty table gives no rows; clashing or extra
+columns are not read.  The matrix has buckets x shards cells, neither of which
+is rows.
 """
 
 from __future__ import annotations
@@ -27,23 +30,30 @@ from dialoom.llm.session import partitions
 
 #: Sub-buckets of a shard for the second permutation, for each shuffle partition.
 FINE = 2
-#: numpy's exact draw takes up to so many; beyond, draws of 2**20 at a time are binomial,
-#: which from so many rows differs from the exact law by under one part in a thousand.
-EXACT = 10**9
+#: numpy's exact draw takes populations of less than so many.
+NUMPY = 10**9
+#: Standard deviations to either side of the mode beyond which the law has under 1e-60 of its weight.
+REACH = 18
+
+
+def inverted(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
+    """A draw by inversion: weights from the mode outwards by the exact ratio of neighbours, so no factorials are needed."""
+    total, lo, hi = good + bad, max(0, drawn - bad), min(good, drawn)
+    if lo == hi:
+        return lo
+    mode = min(max((good + 1) * (drawn + 1) // (total + 2), lo), hi)
+    spread = (drawn * (good / total) * (bad / total) * ((total - drawn) / (total - 1))) ** 0.5
+    reach = int(REACH * spread) + 200
+    above, below = np.arange(mode, min(hi, mode + reach), dtype=np.float64), np.arange(mode, max(lo, mode - reach), -1, dtype=np.float64)
+    up = np.cumprod((good - above) * (drawn - above) / ((above + 1) * (bad - drawn + above + 1)))
+    down = np.cumprod(below * (bad - drawn + below) / ((good - below + 1) * (drawn - below + 1)))
+    weights = np.cumsum(np.concatenate([down[::-1], [1.0], up]))
+    return mode - len(down) + int(np.searchsorted(weights, rng.random() * weights[-1], "right"))
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
-    """Successes in ``drawn`` draws without return from ``good`` + ``bad``."""
-    if good + bad < EXACT:
-        return int(rng.hypergeometric(good, bad, drawn))
-    # numpy draws from up to 10**9; the law of a larger draw is that of draws in parts
-    out = 0
-    while drawn > 0 and good + bad >= EXACT:
-        share = min(drawn, 1 << 20)
-        k = int(rng.binomial(share, good / (good + bad)))
-        k = max(share - bad, min(k, good))
-        out, good, bad, drawn = out + k, good - k, bad - (share - k), drawn - share
-    return out + (int(rng.hypergeometric(good, bad, drawn)) if drawn else 0)
+    """Successes in ``drawn`` draws without return from ``good`` + ``bad``, exactly, whatever their number."""
+    return int(rng.hypergeometric(good, bad, drawn)) if good + bad < NUMPY else inverted(rng, good, bad, drawn)
 
 
 def communication_matrix(rows: dict[int, int], sizes: list[int], seed: int) -> dict[int, list[int]]:

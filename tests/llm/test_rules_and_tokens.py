@@ -57,13 +57,16 @@ def test_lines(spark):
     copies = [(200 + k, "copied first line\ncopied second line", "en", f"s{k}", 9) for k in range(12)]
     odd = [(300, None, "en", "s0", None), (301, "", "en", None, 0), (302, "  shared line  \nand a good deal of other text here", "en", "s3", 9)]
     docs = spark.createDataFrame(sites + few + copies + odd, "doc_id long, text string, lang string, source string, n_chars long")
-    got = {r.doc_id: r for r in line_dedup.remove_boilerplate(docs).collect()}
+    got = {r.doc_id: r for r in line_dedup.remove_boilerplate(docs, keep_copies=True).collect()}
     assert got[0].n_removed == 1 and got[0].text == "own 0 text that is longer than the shared one\nshared line\n"
     assert all(got[k].n_removed == 2 and got[k].text == f"own {k} text that is longer than the shared one\n" for k in range(1, 12))
     assert all(got[100 + k].n_removed == 0 for k in range(9)), "nine sites are under the threshold"
     assert all(got[200 + k].n_removed == 0 for k in range(12)), "copies keep their lines"
     assert (got[300].text, got[300].n_lines, got[301].text, got[302].n_removed) == (None, 0, "", 1)
     assert got[302].text == "and a good deal of other text here"
+    bare = {r.doc_id: r for r in line_dedup.remove_boilerplate(docs).collect()}
+    assert bare[200].text == copies[0][1] and all((bare[200 + k].text, bare[200 + k].n_removed) == ("", 2) for k in range(1, 12)), "copies are no exception"
+    assert all(bare[k].text == got[k].text for k in range(12))
     clean = line_dedup.clean(docs)
     assert clean.columns == docs.columns and clean.filter("doc_id = 302").first().n_chars == len(got[302].text)
 
@@ -75,7 +78,7 @@ def test_lines_of_documents_that_are_mostly_boilerplate(spark):
     copies = [(100 + k, f"first copied line\n\nsecond copied line {' ' * (k % 2)}", "en", f"s{k}", 9) for k in range(10)]
     nine = [(200 + k, f"{licence}\n{menu}\n{licence}\nheld by nine", "en", f"s{k}", 9) for k in range(9)]
     docs = spark.createDataFrame(mostly + only + copies + nine, "doc_id long, text string, lang string, source string, n_chars long")
-    got = {r.doc_id: r for r in line_dedup.remove_boilerplate(docs).collect()}
+    got = {r.doc_id: r for r in line_dedup.remove_boilerplate(docs, keep_copies=True).collect()}
     assert got[0].n_removed == 0, "the first document keeps each line once"
     assert all((got[k].text, got[k].n_removed) == (f"own {k}", 2) for k in range(1, 12))
     assert all((got[k].text, got[k].n_removed) == ("", n) for k, n in ((50, 2), (51, 2), (52, 1))), "two alike are no spread"
@@ -138,6 +141,25 @@ def test_shards(docs, rows):
     assert sharding.shard_rows(docs.limit(0), 7).count() == 0
 
 
+def test_draws_beyond_what_numpy_takes():
+    """Exact at any size: against numpy's law where it has one, and the first moments beyond."""
+    from math import comb
+
+    rng = np.random.default_rng(1)
+    for good, bad, drawn in ((5, 7, 4), (30, 2, 10), (0, 5, 3), (5, 0, 3), (4, 4, 8), (3, 9, 0)):
+        lo, hi = max(0, drawn - bad), min(good, drawn)
+        draws = np.bincount([sharding.inverted(rng, good, bad, drawn) for _ in range(3000)], minlength=hi + 1)
+        law = [comb(good, k) * comb(bad, drawn - k) / comb(good + bad, drawn) for k in range(hi + 1)]
+        assert draws[:lo].sum() == 0 and len(draws) == hi + 1 and np.abs(draws / 3000 - law).max() < 0.035
+    good, bad, drawn = 50_000_000, 1_950_000_000, 40_000_000
+    k = np.array([sharding.hypergeometric(rng, good, bad, drawn) for _ in range(300)])
+    mean, var = drawn * 0.025, drawn * 0.025 * 0.975 * (2e9 - drawn) / (2e9 - 1)
+    assert abs(k.mean() - mean) < 4 * (var / 300) ** 0.5 and 0.7 < k.var() / var < 1.35
+    rows, sizes = {b: 500_000_000 for b in range(5)}, [625_000_000] * 4
+    m = sharding.communication_matrix(rows, sizes, 3)
+    assert [sum(x) for x in m.values()] == list(rows.values()) and [sum(x) for x in zip(*m.values(), strict=True)] == sizes
+
+
 def test_matrix_margins_and_mean():
     rows, sizes = {0: 1000, 1: 10, 2: 0, 3: 500}, [504, 503, 503]
     m = sharding.communication_matrix(rows, sizes, 1)
