@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows it gets.  All but
 the last return the columns of ``documents``; the last returns one row of ids
 for each document left.
+
+Cases, besides those of the operators: a null or empty text fails the quality
+rules and goes there; what a later stage leaves empty stays, with no words, no
+links and no ids; a null id is an id like others; very long texts are worked on
+whole; rows that repeat an id and a text share their fate, and rows that repeat
+an id alone are one document to the near-duplicate stage and several to the
+others; ties are settled by the smallest id; columns besides those of
+``documents`` pass through whatever their names; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -21,8 +29,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that many sites share; ``n_chars`` follows the text."""
-    return line_dedup.clean(docs)
+    """Documents without lines that many sites share; ``n_chars`` follows the text.  Whole copies wait for the next stage."""
+    return line_dedup.clean(docs, keep_copies=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
