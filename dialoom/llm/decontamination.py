@@ -5,7 +5,8 @@ block of documents numbers its words through; its postings, for each term the
 positions where it occurs, are dealt by term to ``buckets`` of terms, one packed
 row for each block and bucket, so that a frequent term is split by blocks and a
 bucket's size follows from the number of buckets.  One more row holds a block's
-documents.
+documents.  The rows are written as they are made; a search shuffles them once,
+by bucket.
 
 A query is a table of terms.  Test terms meet the index by bucket, and only
 their postings go on.  Counted over all blocks they tell each window's rarest
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialoom.llm import dealing
-from dialoom.llm.session import cut, partitions, store
+from dialoom.llm.session import cut, store
 from dialoom.llm.text import ALNUM, LOWER, blocks, flat, spans, word_hashes
 
 WIDTH, BLOCK_BYTES = 10, 2 << 20
@@ -93,8 +94,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 ], ["bucket", "block", "buckets", "blob", "ids"])
                 number += 1
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"bucket int, block long, buckets int, blob binary, ids array<{kind}>")
-    return rows.repartition(partitions(docs.sparkSession), "bucket", F.pmod("block", F.lit(16)))
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"bucket int, block long, buckets int, blob binary, ids array<{kind}>")
 
 
 def opened(blob: pa.BinaryScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
