@@ -12,9 +12,9 @@ from dialoom.operators import islands
 SEED, DEV_SHARE = "20260327", 0.05
 
 
-def merge_turns(turns: DataFrame) -> DataFrame:
-    """Turns of user and assistant: blanks dropped, neighbours of one role joined by a blank line, cut to begin with user and end with assistant."""
-    roles = F.when(F.col("role").isin("persona", "assistant"), "assistant").when(F.col("role") == "user", "user")
+def merge_turns(turns: DataFrame, answering: tuple[str, ...] = ("assistant",)) -> DataFrame:
+    """Turns of user and assistant (whatever is called so, ``answering``): blanks dropped, neighbours of one role joined by a blank line, cut to begin with user and end with assistant."""
+    roles = F.when(F.col("role").isin(*answering), "assistant").when(F.col("role") == "user", "user")
     rows = turns.select("conv_id", "turn", roles.alias("role"), F.trim("text").alias("text")).filter("role is not null and text <> ''")
     rows = islands.runs(rows, ["conv_id"], ["turn"], ["role"])
     parts = F.sort_array(F.collect_list(F.struct("turn", "text")))

@@ -27,18 +27,23 @@ def evaluated(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.withColumn("issues", F.array_compact(F.array(*made)))
 
 
-def turn_issues(turns: DataFrame) -> DataFrame:
+def by_record():
+    return W.partitionBy("record_id").orderBy("pos")
+
+
+def turn_issues(turns: DataFrame, lead: str = "lead") -> DataFrame:
     """Adds ``issues`` of the turn sequence and of turns outside their section.
 
-    ``turns`` has record_id, pos (from 0), turn_index, role, speaker_id, start, end, section_start and section_end.
+    ``turns`` has record_id, pos (from 0), turn_index, role, speaker_id, start, end, section_start and section_end;
+    ``lead``: the role whose turns the host speaks.
     """
-    w = W.partitionBy("record_id").orderBy("pos")
+    w = by_record()
     ended = F.last("end", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
     rows = turns.withColumns({"__before": F.lag("role").over(w), "__ended": ended})
     says = lambda role, speaker: (F.col("role") == role) & ~F.col("speaker_id").eqNullSafe(speaker)
     return evaluated(rows, [
         Rule("turn_index_not_sequential", ~F.col("turn_index").eqNullSafe(F.col("pos"))),
-        Rule("role_speaker_mismatch", says("persona", "host") | says("user", "guest")),
+        Rule("role_speaker_mismatch", says(lead, "host") | says("user", "guest")),
         Rule("turn_time_reversed", F.col("start") > F.col("end")),
         Rule("adjacent_same_role_turns", F.col("__before") == F.col("role")),
         Rule("turn_time_overlap", F.col("start") < F.col("__ended") - 1e-6, "warning"),
@@ -63,34 +68,54 @@ def all_safe(issues: Column, safe: list[str]) -> Column:
     return (F.size(issues) > 0) & F.forall(issues, lambda i: i["code"].isin(safe))
 
 
-def schema_rules(schema: dict, raw: str, path: str = "$") -> list[Rule]:
-    """Rules of a JSON Schema (required, type, const, enum, minimum, minItems, uniqueItems) on a column of JSON text.
+KIND_PATTERNS = {"integer": r"^-?\d+$", "number": r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$", "boolean": "^(true|false)$", "array": r"^\[", "object": r"^\{"}
+
+
+def schema_rules(schema: dict, raw: str, path: str = "$", root: dict | None = None) -> list[Rule]:
+    """Rules of a JSON Schema on a column of JSON text.
 
-    A property that is null counts as absent; messages are not those of any validator.
+    Known: required, properties, additionalProperties false, type, const, enum, minimum, maximum, minLength, pattern,
+    minItems, uniqueItems, oneOf over properties of one object, and $ref into $defs of the schema.  A property that is
+    null counts as absent; messages are not those of any validator.
     """
+    root = root or schema
+    follow = lambda s: root["$defs"][s["$ref"].rsplit("/", 1)[-1]] if "$ref" in s else s
+    schema = follow(schema)
     value = lambda p: F.get_json_object(F.col(raw), p)
-    out = [Rule("schema_validation_error", value(f"{path}.{name}").isNull(), path=f"{path}.{name}: required") for name in schema.get("required", [])]
-    kinds = {"integer": r"^-?\d+$", "number": r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$", "boolean": "^(true|false)$", "array": r"^\[", "object": r"^\{"}
+    there = F.lit(True) if path == "$" else value(path).isNotNull()
+    out = [Rule("schema_validation_error", there & value(f"{path}.{name}").isNull(), path=f"{path}.{name}: required") for name in schema.get("required", [])]
+    if schema.get("additionalProperties") is False:
+        keys = F.json_object_keys(F.col(raw) if path == "$" else value(path))
+        known = F.array(*[F.lit(k) for k in schema.get("properties", {})])
+        out.append(Rule("schema_validation_error", F.size(F.array_except(keys, known)) > 0, path=f"{path}: additionalProperties"))
+    if "oneOf" in schema:
+        holds = [~_any(schema_rules(one, raw, path, root)) for one in schema["oneOf"]]
+        out.append(Rule("schema_validation_error", there & (sum((h.cast("int") for h in holds), F.lit(0)) != 1), path=f"{path}: oneOf"))
     for name, own in schema.get("properties", {}).items():
-        at = f"{path}.{name}"
+        own, at = follow(own), f"{path}.{name}"
         v = value(at)
-
-        def broken(what: str, when: Column, at: str = at, v: Column = v) -> Rule:
-            return Rule("schema_validation_error", v.isNotNull() & F.coalesce(when, F.lit(False)), path=f"{at}: {what}")
-
-        if own.get("type") in kinds:
-            out.append(broken("type", ~v.rlike(kinds[own["type"]])))
-        if "const" in own:
-            out.append(broken("const", v != str(own["const"])))
-        if "enum" in own:
-            out.append(broken("enum", ~v.isin([str(x) for x in own["enum"]])))
-        if "minimum" in own:
-            out.append(broken("minimum", v.try_cast("double") < own["minimum"]))
-        if "minItems" in own:
-            out.append(broken("minItems", F.json_array_length(v) < own["minItems"]))
-        if own.get("uniqueItems"):
-            items = F.from_json(v, "array<string>")
-            out.append(broken("uniqueItems", F.size(F.array_distinct(items)) < F.size(items)))
+        items = F.from_json(v, "array<string>")
+        checks = {
+            "type": lambda k, v=v: ~v.rlike(KIND_PATTERNS[k]) if k in KIND_PATTERNS else F.lit(False),
+            "const": lambda k, v=v: v != str(k),
+            "enum": lambda k, v=v: ~v.isin([str(x) for x in k]),
+            "minimum": lambda k, v=v: v.try_cast("double") < k,
+            "maximum": lambda k, v=v: v.try_cast("double") > k,
+            "minLength": lambda k, v=v: F.length(v) < k,
+            "pattern": lambda k, v=v: ~v.rlike(k),
+            "minItems": lambda k, v=v: F.json_array_length(v) < k,
+            "uniqueItems": lambda k, items=items: F.size(F.array_distinct(items)) < F.size(items) if k else F.lit(False),
+        }
+        for what, made in checks.items():
+            if what in own:
+                out.append(Rule("schema_validation_error", v.isNotNull() & F.coalesce(made(own[what]), F.lit(False)), path=f"{at}: {what}"))
         if own.get("type") == "object":
-            out += [Rule(r.code, v.isNotNull() & r.when, r.severity, r.path) for r in schema_rules(own, raw, at)]
+            out += schema_rules(own, raw, at, root)
     return out
+
+
+def _any(rules: list[Rule]) -> Column:
+    hit = F.lit(False)
+    for r in rules:
+        hit = hit | F.coalesce(r.when, F.lit(False))
+    return hit

@@ -10,7 +10,7 @@ from dialoom.operators import chat as ops
 from dialoom.plans.base import query
 from dialoom.sources.tables import CHAT_SQL, chat, table
 
-MERGED_SQL = CHAT_SQL + """, r AS (SELECT conv_id, turn, CASE WHEN role IN ('persona', 'assistant') THEN 'assistant' WHEN role = 'user' THEN 'user' END AS role, trim(text) AS text FROM chat),
+MERGED_SQL = CHAT_SQL + """, r AS (SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN 'assistant' WHEN role = 'user' THEN 'user' END AS role, trim(text) AS text FROM chat),
 k AS (SELECT *, CASE WHEN role = lag(role) OVER (PARTITION BY conv_id ORDER BY turn) THEN 0 ELSE 1 END AS c FROM r WHERE role IS NOT NULL AND text <> ''),
 i AS (SELECT *, CAST(sum(c) OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS p FROM k),
 m AS (SELECT conv_id, p, role, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS content FROM i GROUP BY conv_id, p, role),

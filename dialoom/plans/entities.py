@@ -161,8 +161,8 @@ def prompt_normalise(spark: SparkSession, d: str) -> DataFrame:
     """A service's port from its name; messages with a system message put before them where there is none."""
     from dialoom.functions.scalars import code_point_sum
 
-    given = F.when(F.col("doc_id") % 2 == 0, F.array(F.struct(F.lit("user").alias("role"), F.col("lang").alias("content")))).otherwise(F.array(F.struct(F.lit("persona").alias("role"), F.col("lang").alias("content"))))
-    mapped = F.transform(given, lambda m: F.struct(F.when(m["role"] == "persona", "assistant").otherwise(m["role"]).alias("role"), m["content"].alias("content")))
+    given = F.when(F.col("doc_id") % 2 == 0, F.array(F.struct(F.lit("user").alias("role"), F.col("lang").alias("content")))).otherwise(F.array(F.struct(F.lit("answer").alias("role"), F.col("lang").alias("content"))))
+    mapped = F.transform(given, lambda m: F.struct(F.when(m["role"] == "answer", "assistant").otherwise(m["role"]).alias("role"), m["content"].alias("content")))
     system = F.array(F.struct(F.lit("system").alias("role"), F.lit("s").alias("content")))
     full = F.when(F.exists(mapped, lambda m: m["role"] == "user"), F.concat(system, mapped)).otherwise(mapped)
     return table(spark, d, "documents").select("doc_id", (18080 + code_point_sum(F.col("source")) % 1000).cast("long").alias("port"), F.element_at(full, -1)["role"].alias("role"), F.size(full).alias("n"))

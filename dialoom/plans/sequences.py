@@ -82,7 +82,7 @@ def sentence_final_merge(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""{SEGMENTS_SQL}, r AS (SELECT * FROM {ROLE_SQL} WHERE role <> 'unknown'),
 a AS (SELECT *, CASE WHEN role = lag(role) OVER (PARTITION BY file_id ORDER BY seg_idx) THEN 0 ELSE 1 END AS c FROM r),
 b AS (SELECT *, sum(c) OVER (PARTITION BY file_id ORDER BY seg_idx) - 1 AS turn_index FROM a),
-t AS (SELECT file_id, CAST(turn_index AS BIGINT) AS turn_index, CASE role WHEN 'host' THEN 'persona' ELSE 'user' END AS role, arg_min(start_s, seg_idx) AS start_s, max(end_s) AS end_s, min(seg_idx) AS sentence_start_idx, max(seg_idx) AS sentence_end_idx FROM b GROUP BY file_id, turn_index, role),
+t AS (SELECT file_id, CAST(turn_index AS BIGINT) AS turn_index, CASE role WHEN 'host' THEN 'lead' ELSE 'user' END AS role, arg_min(start_s, seg_idx) AS start_s, max(end_s) AS end_s, min(seg_idx) AS sentence_start_idx, max(seg_idx) AS sentence_end_idx FROM b GROUP BY file_id, turn_index, role),
 m AS (SELECT *, max(greatest(start_s, end_s)) OVER (PARTITION BY file_id ORDER BY turn_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end FROM t)
 SELECT file_id, turn_index, role, greatest(start_s, coalesce(prev_end, start_s)) AS start_s, greatest(start_s, end_s, coalesce(prev_end, end_s)) AS end_s, sentence_start_idx, sentence_end_idx, coalesce(start_s < prev_end, false) AS overlapped FROM m""")
 def sentence_turns(spark: SparkSession, d: str) -> DataFrame:
@@ -91,7 +91,7 @@ def sentence_turns(spark: SparkSession, d: str) -> DataFrame:
         F.min_by("start_s", "seg_idx").alias("start_s"), F.max("end_s").alias("end_s"), F.min("seg_idx").alias("sentence_start_idx"), F.max("seg_idx").alias("sentence_end_idx"))
     before = F.max(F.greatest("start_s", "end_s")).over(W.partitionBy("file_id").orderBy("island").rowsBetween(W.unboundedPreceding, -1))
     return bounds.withColumn("prev_end", before).select(
-        "file_id", F.col("island").cast("long").alias("turn_index"), F.when(F.col("role") == "host", "persona").otherwise("user").alias("role"),
+        "file_id", F.col("island").cast("long").alias("turn_index"), F.when(F.col("role") == "host", "lead").otherwise("user").alias("role"),
         F.greatest("start_s", "prev_end").alias("start_s"), F.greatest("start_s", "end_s", "prev_end").alias("end_s"),
         "sentence_start_idx", "sentence_end_idx", F.coalesce(F.col("start_s") < F.col("prev_end"), F.lit(False)).alias("overlapped"),
     )

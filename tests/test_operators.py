@@ -111,8 +111,8 @@ def test_scalars(spark):
 
 def test_turn_sequence_and_section(spark):
     rows = [
-        (1, 0, 0, "user", "guest", 0.0, 5.0), (1, 1, 1, "persona", "host", 5.0, 9.0),
-        (2, 0, 1, "user", "host", -1.0, 5.0), (2, 1, 1, "user", "guest", 4.0, None), (2, 2, 2, "persona", None, 4.5, 4.0), (2, 3, None, "user", "guest", None, 30.0),
+        (1, 0, 0, "user", "guest", 0.0, 5.0), (1, 1, 1, "lead", "host", 5.0, 9.0),
+        (2, 0, 1, "user", "host", -1.0, 5.0), (2, 1, 1, "user", "guest", 4.0, None), (2, 2, 2, "lead", None, 4.5, 4.0), (2, 3, None, "user", "guest", None, 30.0),
     ]
     turns = spark.createDataFrame([(*r, 0.0, 20.0) for r in rows], "record_id long, pos long, turn_index long, role string, speaker_id string, start double, end double, section_start double, section_end double")
     got = {(r.record_id, r.pos): [i.code for i in r.issues] for r in qc.turn_issues(turns).collect()}
