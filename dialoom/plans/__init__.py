@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("sequences", "chat", "intervals", "aggregates", "quality_checks", "evaluation", "machines", "speakers", "streams", "entities", "annotations")
+AREAS = ("sequences", "chat", "intervals", "aggregates", "quality_checks", "evaluation", "machines", "speakers", "streams", "entities", "annotations", "reports")
 
 
 def load() -> tuple[dict, dict]:
