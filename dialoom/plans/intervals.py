@@ -49,16 +49,6 @@ def midpoint_vote(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("file_id", "w_start").agg(F.sum(F.when(is_host, weight).otherwise(0)).alias("host"), F.sum(F.when(~is_host, weight).otherwise(0)).alias("guest"))
 
 
-@query(f"""{SEGMENTS_SQL} SELECT a.file_id, a.seg_idx, count(*) > 0 AS suspected, count(*) AS others FROM seg a JOIN seg b ON a.file_id = b.file_id AND a.speaker <> b.speaker
-AND least(a.end_s, b.end_s) - greatest(a.start_s, b.start_s) >= 0.12 GROUP BY 1, 2""")
-def overlap_suspected(spark: SparkSession, d: str) -> DataFrame:
-    """Segments that overlap one of another speaker by 0.12 s or more."""
-    s = segments(spark, d)
-    other = s.select("file_id", F.col("start_s").alias("o_start"), F.col("end_s").alias("o_end"), F.col("speaker").alias("o_speaker"))
-    rows = ops.overlap_join(s, other, "file_id", SEG, ("o_start", "o_end")).filter((F.col("speaker") != F.col("o_speaker")) & (ops.overlap_seconds("start_s", "end_s", "o_start", "o_end") >= 0.12))
-    return rows.groupBy("file_id", "seg_idx").agg((F.count("*") > 0).alias("suspected"), F.count("*").alias("others"))
-
-
 @query(f"""{SEGMENTS_SQL} SELECT w.file_id, w.w_start, min(s.seg_idx) AS seg_idx FROM win w LEFT JOIN seg s ON s.file_id = w.file_id AND s.start_s <= w.w_start AND w.w_start < s.end_s GROUP BY 1, 2""")
 def current_subtitle_at(spark: SparkSession, d: str) -> DataFrame:
     """The first segment that holds a point of time, start included and end not."""
@@ -67,19 +57,6 @@ def current_subtitle_at(spark: SparkSession, d: str) -> DataFrame:
     return w.join(hit, ["file_id", "w_start"], "left")
 
 
-@query(f"""{SEGMENTS_SQL}, c AS (SELECT s.file_id, s.seg_idx, s.speaker, w.w_start, 1 / (1 + greatest(0, w.w_start - s.end_s, s.start_s - w.w_end) / 300) * {OVER} AS weight, row_number() OVER (PARTITION BY s.file_id, s.seg_idx ORDER BY {OVER} DESC, w.w_start) AS r FROM seg s JOIN win w ON {ON}),
-v AS (SELECT file_id, speaker, sum(weight) AS t FROM c WHERE r <= 6 GROUP BY 1, 2)
-SELECT file_id, speaker, t >= greatest(0.8, 0.2 * max(t) OVER (PARTITION BY file_id)) AS kept FROM v""")
-def weighted_reference_vote(spark: SparkSession, d: str) -> DataFrame:
-    """Each segment's votes by its six closest tiles; speakers with a fifth of the most are kept."""
-    from pyspark.sql import Window as W
-
-    rank = F.row_number().over(W.partitionBy("file_id", "seg_idx").orderBy(F.desc("o"), "w_start"))
-    gap = F.greatest(F.lit(0.0), F.col("w_start") - F.col("end_s"), F.col("start_s") - F.col("w_end"))
-    c = _pairs(spark, d).withColumn("r", rank).filter("r <= 6").groupBy("file_id", "speaker").agg(F.sum(1 / (1 + gap / 300) * F.col("o")).alias("t"))
-    return c.select("file_id", "speaker", (F.col("t") >= F.greatest(F.lit(0.8), 0.2 * F.max("t").over(W.partitionBy("file_id")))).alias("kept"))
-
-
 @query(f"""{SEGMENTS_SQL} SELECT CASE WHEN w.w_start % 60 = 0 THEN 'host' ELSE 'guest' END AS role, s.speaker, sum({OVER}) AS seconds FROM win w JOIN seg s ON {ON} GROUP BY 1, 2""")
 def role_overlap_matrix(spark: SparkSession, d: str) -> DataFrame:
     role = F.when(F.col("w_start") % 60 == 0, "host").otherwise("guest")

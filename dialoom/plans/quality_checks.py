@@ -74,18 +74,6 @@ def repair_routing(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("file_id", F.when(F.array_contains(codes, "sentence_count_mismatch"), "normalise").when(qc.all_safe(F.col("issues"), ["sentence_outside_section"]), "expand").otherwise("keep").alias("route"))
 
 
-@query(FORMAL_SQL + """, x AS (SELECT m.*, (SELECT min(start_s) FROM seg s WHERE s.file_id = m.file_id) AS a, (SELECT max(end_s) FROM seg s WHERE s.file_id = m.file_id) AS b FROM m)
-SELECT file_id, least(start, a) AS all_start, greatest("end", b) AS all_end, CASE WHEN start - a < 2 THEN least(start, a) ELSE start END AS near_start, CASE WHEN b - "end" < 1 THEN greatest("end", b) ELSE "end" END AS near_end,
-CASE WHEN greatest(start - a, b - "end") > 0 AND greatest(start - a, b - "end") <= 3 THEN least(start, a) ELSE start END AS small_start FROM x""")
-def boundary_expansion(spark: SparkSession, d: str) -> DataFrame:
-    """Bounds moved to their sentences: always, only over gaps under a limit on each side, or where the larger gap is at most 3 s."""
-    span = segments(spark, d).groupBy("file_id").agg(F.min("start_s").alias("a"), F.max("end_s").alias("b"))
-    x = _formal(spark, d).join(span, "file_id").withColumns({"ga": F.col("start") - F.col("a"), "gb": F.col("b") - F.col("end")})
-    lo, hi, most = F.least("start", "a"), F.greatest("end", "b"), F.greatest("ga", "gb")
-    return x.select("file_id", lo.alias("all_start"), hi.alias("all_end"), F.when(F.col("ga") < 2, lo).otherwise(F.col("start")).alias("near_start"), F.when(F.col("gb") < 1, hi).otherwise(F.col("end")).alias("near_end"),
-        F.when((most > 0) & (most <= 3), lo).otherwise(F.col("start")).alias("small_start"))
-
-
 @query(f"""{SEGMENTS_SQL}, c AS (SELECT *, greatest(0.0, start_s - 3) AS s2 FROM seg WHERE trim(text) <> '' AND seg_idx % 7 <> 0)
 SELECT file_id, min(s2) AS start, max(greatest(s2, end_s - 2)) AS "end", count(*) AS sentence_count, string_agg(DISTINCT CASE speaker WHEN 'SPEAKER_00' THEN 'host' WHEN 'UNKNOWN' THEN 'unknown' ELSE 'guest' END, ',' ORDER BY CASE speaker WHEN 'SPEAKER_00' THEN 'host' WHEN 'UNKNOWN' THEN 'unknown' ELSE 'guest' END) AS speakers FROM c GROUP BY file_id""")
 def normalise_sections(spark: SparkSession, d: str) -> DataFrame:
@@ -98,14 +86,6 @@ def normalise_sections(spark: SparkSession, d: str) -> DataFrame:
     return usable.groupBy("file_id").agg(F.min("s").alias("start"), F.max(F.greatest(F.col("s"), F.col("end_s") - 2)).alias("end"), F.count("*").alias("sentence_count"), F.array_join(F.sort_array(F.collect_set("role")), ",").alias("speakers"))
 
 
-@query("""SELECT l.doc_id, CASE WHEN d.doc_id IS NULL THEN 'missing' WHEN d.text LIKE '%ing%' THEN 'already_reverted' WHEN l.quality = 1 THEN 'revert' ELSE 'conflict' END AS outcome FROM labels l LEFT JOIN documents d USING (doc_id)""")
-def patch_revert_status(spark: SparkSession, d: str) -> DataFrame:
-    """An optimistic check of patches against the current text."""
-    docs = table(spark, d, "documents").select("doc_id", "text", F.lit(True).alias("there"))
-    out = F.when(F.col("there").isNull(), "missing").when(F.col("text").contains("ing"), "already_reverted").when(F.col("quality") == 1, "revert").otherwise("conflict")
-    return table(spark, d, "labels").join(docs, "doc_id", "left").select("doc_id", out.alias("outcome"))
-
-
 @query("""SELECT event_id, CASE WHEN event_type = 'error' AND EXISTS (SELECT 1 FROM events r WHERE r.user_id = e.user_id AND r.event_type = 'purchase' AND r.ts > e.ts) THEN 'repaired' WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS state FROM events e""")
 def job_reconciliation(spark: SparkSession, d: str) -> DataFrame:
     """A failed job counts as repaired once a later rerun succeeded; the newest success of each owner decides."""
@@ -153,13 +133,6 @@ def reject_reasons(spark: SparkSession, d: str) -> DataFrame:
     return c.select("file_id", F.when(F.col("h") == 0, "no_host_sentences").when(F.col("g") == 0, "no_guest_sentences").when(F.col("n") < 70, "turn_count_lt_70").when(F.col("u"), "unexpected_speaker_id").alias("reason"))
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 3600 > 3000 AND event_id % 3 = 2 THEN 'failed' WHEN event_id % 3600 > 3000 THEN 'retry' ELSE 'running' END AS decision FROM events""")
-def job_watchdog(spark: SparkSession, d: str) -> DataFrame:
-    """Jobs over their time are tried again, and have failed at the third attempt."""
-    late = F.col("event_id") % 3600 > 3000
-    return table(spark, d, "events").select("event_id", F.when(late & (F.col("event_id") % 3 == 2), "failed").when(late, "retry").otherwise("running").alias("decision"))
-
-
 @query("""SELECT text AS key, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY source = 'src0', source, doc_id) AS r FROM documents) WHERE r = 1""")
 def canonical_counterpart(spark: SparkSession, d: str) -> DataFrame:
     """Of rows with one key the best ranked: not of the backup source, then by source and id."""
