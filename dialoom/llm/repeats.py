@@ -26,6 +26,8 @@ from dialoom.llm import dealing
 MOST = np.iinfo(np.int64).max
 #: Bits of a name that travel: what they confuse is sent in vain.
 NAME_BITS = 48
+#: Values of spans that are compared at a time.
+BLOCK = 1 << 20
 
 
 class Stretches(NamedTuple):
@@ -74,7 +76,7 @@ def classes(data: np.ndarray, start: np.ndarray, size: np.ndarray, mark: np.ndar
         own, of = left[follow], first[follow]
         equal, upto, lo = np.ones(len(own), bool), np.cumsum(size[own]), 0
         while lo < len(own):
-            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + (1 << 22), "right")))
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + BLOCK, "right")))
             n = size[own[lo:hi]]
             differ = cut_out(data, start[own[lo:hi]], n) != cut_out(data, start[of[lo:hi]], n)
             if differ.any():
@@ -108,6 +110,7 @@ def decide(blobs: list, lower: Lower) -> Iterator[bytes | None]:
     names = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
     marks, ids, strings, size, source = (np.concatenate([p[k] for p in parts]) for k in range(1, 6))
     strings, size = strings.astype(np.int64), size.astype(np.int64)
+    parts = [(len(p[0]), p[6]) for p in parts]  # the bytes are held once
     begin = np.append(0, np.cumsum(size)[:-1])
     kind = classes(source, begin, size, marks)
     once = np.unique(kind)
@@ -116,17 +119,18 @@ def decide(blobs: list, lower: Lower) -> Iterator[bytes | None]:
     best = np.repeat(least_of(ids, kind)[once], strings[once])
     lower(best, filed[:-1], strings[once], names[once], begin[once], size[once], source)
     lo = 0
-    for part in parts:
-        own = np.arange(lo, lo + len(part[0]))
-        lo += len(own)
+    for count, tag in parts:
+        own = np.arange(lo, lo + count)
+        lo += count
         n = strings[own]
         bits = best[inner(filed[at[own]], n)] < np.repeat(ids[own], n)
-        yield dealing.squeezed(np.packbits(bits), part[6]) if bits.any() else None
+        yield dealing.squeezed(np.packbits(bits), tag) if bits.any() else None
 
 
 def repeated(docs: DataFrame, width: int, gather: Callable[[pa.ChunkedArray], Stretches], lower: Lower, result: Callable[[pa.Array, pa.ChunkedArray, Stretches, np.ndarray], dict], schema: str, id_col: str, text_col: str) -> DataFrame:
     """One row per document: id and what ``result`` makes of the chunk's ids, texts and units that go."""
     dealt, buckets = dealing.deal(docs, id_col, text_col)
+    buckets *= dealing.CHUNKS  # a bucket holds spans that overlap, so more bytes than a chunk
 
     def names(table: pa.Table, _: list) -> dealing.Sent:
         _, ids, texts = dealing.chunk_of(table)

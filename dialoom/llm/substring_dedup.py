@@ -39,7 +39,7 @@ from dialoom.llm.text import BYTE_BASE, BYTE_VALUES, WORD, between, blocks, flat
 WIDTH, ROUNDS, LONGEST_RUN = 50, 3, 4
 U64 = np.uint64
 #: Bytes of stretches whose windows are compared at a time, unless one name needs more.
-SHARD = 4 << 20
+SHARD = 1 << 20
 
 
 def recompress(names: np.ndarray, first: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
