@@ -47,7 +47,10 @@ def recompress(names: np.ndarray, first: np.ndarray, rounds: int = ROUNDS) -> tu
 
     ``first``: each document's first word (documents + 1).  A symbol that
     depends on where its document begins or ends reaches over that edge.
+    The top bits of a name tell how often it was joined, most first: symbols
+    of many words are rare, and single common words are named last.
     """
+    joined_in = np.zeros(len(names), np.uint64)
     left, right = np.arange(len(names)), np.arange(len(names)) + 1
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     for turn in range(rounds):
@@ -72,7 +75,8 @@ def recompress(names: np.ndarray, first: np.ndarray, rounds: int = ROUNDS) -> tu
         over = last[end] & (hi > end)
         reach_right = np.where(over, first[doc + 1] + 1, right[np.minimum(hi, n - 1)])
         named = np.where(short & (size[run] > 1), mix(names * U64(0xD6E8FEB86659FD93) + size[run].astype(np.uint64)), names)
-        names, left, right, doc = named[keep], reach_left[keep], reach_right[keep], doc[keep]
+        joined_in = joined_in + (short & (size[run] > 1))
+        names, left, right, doc, joined_in = named[keep], reach_left[keep], reach_right[keep], doc[keep], joined_in[keep]
         # pairs
         n = len(names)
         last = np.append(doc[1:] != doc[:-1], True)
@@ -91,8 +95,11 @@ def recompress(names: np.ndarray, first: np.ndarray, rounds: int = ROUNDS) -> tu
         named[at] = mix(names[at] * U64(0x8EBC6AF09C88C6E3) + names[at + 1] * U64(0x589965CC75374CC3) + U64(turn))
         new_right[at] = np.maximum(right[at], right[at + 1])
         new_left[at] = np.minimum(left[at], left[at + 1])
-        names, left, right, doc = named[~joined], new_left[~joined], new_right[~joined], doc[~joined]
+        depth = joined_in.copy()
+        depth[at] = np.maximum(joined_in[at], joined_in[at + 1]) + U64(1)
+        names, left, right, doc, joined_in = named[~joined], new_left[~joined], new_right[~joined], doc[~joined], depth[~joined]
     # of two symbols the later depends on nothing earlier, so that a window's symbols are neighbours
+    names = (U64(3) - np.minimum(joined_in, U64(3))) << U64(62) | names >> U64(2)
     return names, np.maximum.accumulate(left), np.minimum.accumulate(right[::-1])[::-1]
 
 
@@ -118,7 +125,7 @@ def filed(words: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray,
     symbols, left, right = recompress(words, first)
     begin, end = np.searchsorted(left, at), np.searchsorted(right, at + width, "right")
     some = np.flatnonzero(begin < end)
-    name = windows(words, width)[at]
+    name = windows(words, width)[at] | U64(3) << U64(62)
     name[some] = least(symbols, begin[some], end[some])
     return doc[at], at, name
 
@@ -164,12 +171,16 @@ def lower(best: np.ndarray, filed_at: np.ndarray, strings: np.ndarray, names: np
         hi = int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + SHARD, "right"))
         hi = int(np.searchsorted(group, group[max(hi - 1, lo)], "right"))
         own = by_name[lo:hi]
-        text = cut_out(source, begin[own], size[own])
-        starts, ends, first = spans(text, np.append(0, np.cumsum(size[own])), WORD)
-        hashes = word_hashes(text, starts, ends)
+        text, offsets = cut_out(source, begin[own], size[own]), np.append(0, np.cumsum(size[own]))
+        parts, words = [], 0
+        for a, b in blocks(offsets):  # one name alone may need more than a block
+            at, to, of = spans(text[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], WORD)
+            parts.append((at + offsets[a], to + offsets[a], word_hashes(text[offsets[a] : offsets[b]], at, to), of[:-1] + words))
+            words += len(at)
+        starts, ends, hashes, first = (np.concatenate(x) for x in zip(*parts, strict=True))
         # words by their bytes, windows by their words
         word = classes(text, starts, ends - starts, hashes)
-        at = inner(first[:-1], strings[own])
+        at = inner(first, strings[own])
         kind = classes(word, at, np.full(len(at), width), windows(hashes, width)[at])
         slot = inner(filed_at[own], strings[own])
         best[slot] = least_of(best[slot], kind)
