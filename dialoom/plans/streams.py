@@ -7,30 +7,27 @@ from pyspark.sql import functions as F
 
 from dialoom.plans.base import query
 from dialoom.sources import writers
-from dialoom.sources.tables import SEGMENTS_SQL, segments, table
+from dialoom.sources.tables import SEGMENTS_SQL, epoch_seconds, segments, table
 from dialoom.streaming import events as ops
 
 
 def _epoch(c: str):
-    return F.unix_seconds(F.col(c))
+    return epoch_seconds(F.col(c))
 
 
 @query("SELECT epoch_us(ts) // 1000000 // 3600 AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def tumbling_counts(spark: SparkSession, d: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return ops.tumbling_counts(table(spark, d, "events")).select(F.floor(_epoch("w.start") / 3600).alias("hour"), "event_type", "n")
 
 
 @query("SELECT (epoch_us(ts) // 1000000 // 1800 - k) AS half_hour, event_type, count(*) AS n FROM events, (VALUES (0), (1)) v(k) GROUP BY 1, 2")
 def sliding_counts(spark: SparkSession, d: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return ops.tumbling_counts(table(spark, d, "events"), "1 hour", "30 minutes").select(F.floor(_epoch("w.start") / 1800).alias("half_hour"), "event_type", "n")
 
 
 @query("""WITH a AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS c FROM events), b AS (SELECT *, sum(c) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM a)
 SELECT user_id, epoch_us(min(ts)) // 1000000 AS start, count(*) AS n FROM b GROUP BY user_id, i""")
 def session_gaps(spark: SparkSession, d: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return ops.sessions(table(spark, d, "events"), "2 hours").select("user_id", _epoch("w.start").alias("start"), "n")
 
 
