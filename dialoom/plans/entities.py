@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dialoom.functions import tags
-from dialoom.operators import intervals
+from dialoom.operators import intervals, links
 from dialoom.plans.base import query
 from dialoom.sources.tables import SEGMENTS_SQL, segments, table
 
@@ -56,15 +56,17 @@ def intro_tags(spark: SparkSession, d: str) -> DataFrame:
     return j.filter(tags.any_of(F.col("t"), ["博士", "硕士", "本科"])).select("user_id", F.concat(F.get(parts, F.lit(0)), F.lit("_"), F.get(parts, F.lit(1))).alias("head"))
 
 
-@query("""WITH m AS (SELECT conv_id, turn, 14.0 - least(14, 20 - turn % 20) AS recency, len(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]{2,}'))) AS n, regexp_matches(text, '[0-9]') AS num FROM conversations)
-SELECT conv_id, turn, 2 * n + CASE WHEN num THEN 3 ELSE 0 END + greatest(0.0, recency / 14) AS score FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY 2 * n + CASE WHEN num THEN 3 ELSE 0 END + greatest(0.0, recency / 14) DESC, turn DESC) AS r FROM m) WHERE r <= 3""")
+@query("""WITH w AS (SELECT conv_id, turn, max(turn) OVER (PARTITION BY conv_id) AS last, list_distinct(list_concat(regexp_extract_all(lower(text), '[a-z0-9]{2,}'), regexp_extract_all(lower(text), '[一-鿿]'))) AS t FROM (SELECT conv_id, turn, substr(trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')), 1, 400) AS text FROM conversations)),
+q AS (SELECT conv_id, t AS asked FROM w WHERE turn = last), m AS (SELECT conv_id, turn, list_intersect(t, asked) AS shared, greatest(0.0, 1 - (last - turn) / 14) AS recency FROM w JOIN q USING (conv_id) WHERE turn < last),
+s AS (SELECT conv_id, turn, 2 * len(shared) + 3 * len(list_filter(shared, lambda x: regexp_matches(x, '^[0-9]+$'))) + recency AS score FROM m)
+SELECT conv_id, turn, score FROM s QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, turn DESC) <= 3""")
 def memory_recall(spark: SparkSession, d: str) -> DataFrame:
-    """Three memories of each session by relevance: words, numbers and fourteen days of recency as of a given day."""
-    from dialoom.functions.scalars import tokens
+    """Three memories of each session by relevance to its last turn: shared words, shared numbers, and recency, a turn counting as a day."""
+    from dialoom.functions.scalars import memory_tokens, relevance
 
-    age = 20 - F.col("turn") % 20
-    score = 2 * F.size(tokens(F.col("text"))) + F.when(F.col("text").rlike("[0-9]"), 3).otherwise(0) + F.greatest(F.lit(0.0), (14.0 - F.least(F.lit(14), age)) / 14)
-    m = table(spark, d, "conversations").select("conv_id", "turn", score.alias("score"))
+    w = table(spark, d, "conversations").select("conv_id", "turn", memory_tokens(F.coalesce("text", F.lit(""))).alias("t"))
+    q = w.groupBy("conv_id").agg(F.max("turn").alias("last"), F.max_by("t", "turn").alias("asked"))
+    m = w.join(q, "conv_id").filter("turn < last").select("conv_id", "turn", relevance(F.col("asked"), F.col("t"), F.col("last") - F.col("turn")).alias("score"))
     return intervals_top(m, ["conv_id"], [F.desc("score"), F.desc("turn")], 3)
 
 
@@ -85,6 +87,30 @@ def fallback_chain(spark: SparkSession, d: str) -> DataFrame:
     return x.select("doc_id", F.coalesce("l", "b", "n", F.lit(-1)).alias("source_id"), via.alias("via"))
 
 
+PARTS_SQL = """WITH parts AS (SELECT doc_id AS part_id, CAST(2022 + doc_id % 3 AS VARCHAR) AS year, 'x/d' || (doc_id % 700) || CASE WHEN doc_id % 2 = 0 THEN '_processed' ELSE '' END AS folder,
+ CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'd' || (doc_id * 7 % 900) || '.json' END AS source_file, CASE WHEN doc_id % 11 > 0 THEN '2024-01-' || lpad(CAST(doc_id % 31 AS VARCHAR), 2, '0') END AS day FROM documents),
+audio AS (SELECT DISTINCT 'raw/' || y || '/d' || n || '.mp3' AS path, y, 'd' || n AS stem, CASE WHEN n % 5 > 0 THEN '2024-01-' || lpad(CAST(n % 29 AS VARCHAR), 2, '0') END AS day
+ FROM (SELECT CAST(2023 + user_id % 2 AS VARCHAR) AS y, user_id * 3 % 500 AS n FROM events)),
+p AS (SELECT *, regexp_replace(source_file, '\\.json$', '') AS f, regexp_replace(split_part(folder, '/', 2), '_processed$', '') AS g FROM parts)
+"""
+
+
+@query(PARTS_SQL + """, r AS (SELECT part_id, (SELECT min(path) FROM audio a WHERE p.f <> '' AND a.y = p.year AND a.stem = p.f) AS l1, (SELECT min(path) FROM audio a WHERE p.f <> '' AND a.stem = p.f) AS l2,
+ (SELECT min(path) FROM audio a WHERE a.y = p.year AND a.stem = p.g) AS l3, (SELECT min(path) FROM audio a WHERE a.stem = p.g) AS l4, (SELECT min(path) FROM audio a WHERE a.day = p.day AND a.y = p.year) AS l5, (SELECT min(path) FROM audio a WHERE a.day = p.day) AS l6 FROM p)
+SELECT part_id, coalesce(l1, l2, l3, l4, l5, l6) AS path, CASE WHEN l1 IS NOT NULL THEN 'year and file' WHEN l2 IS NOT NULL THEN 'file' WHEN l3 IS NOT NULL THEN 'year and folder' WHEN l4 IS NOT NULL THEN 'folder' WHEN l5 IS NOT NULL THEN 'day and year' WHEN l6 IS NOT NULL THEN 'day' END AS via FROM r""")
+def source_audio_chain(spark: SparkSession, d: str) -> DataFrame:
+    """The recording of each part by the first of six links that has one."""
+    i = F.col("doc_id")
+    day = lambda n: F.concat(F.lit("2024-01-"), F.lpad(n.cast("string"), 2, "0"))
+    parts = table(spark, d, "documents").select(
+        i.alias("part_id"), (2022 + i % 3).cast("string").alias("year"), F.concat(F.lit("x/d"), i % 700, F.when(i % 2 == 0, "_processed").otherwise("")).alias("folder"),
+        F.when(i % 3 == 1, "").when(i % 3 == 2, F.concat(F.lit("d"), i * 7 % 900, F.lit(".json"))).alias("source_file"), F.when(i % 11 > 0, day(i % 31)).alias("day"))
+    n = F.col("n")
+    audio = table(spark, d, "events").select((2023 + F.col("user_id") % 2).alias("y"), (F.col("user_id") * 3 % 500).alias("n")).distinct()
+    audio = audio.select(F.concat(F.lit("raw/"), "y", F.lit("/d"), "n", F.lit(".mp3")).alias("path"), F.when(n % 5 > 0, day(n % 29)).alias("day"))
+    return links.source_audio(parts, audio)
+
+
 @query(f"""{SEGMENTS_SQL}, s AS (SELECT file_id, w_start, lag(w_end) OVER w AS prev_end, lead(w_start) OVER w AS next_start FROM win WINDOW w AS (PARTITION BY file_id ORDER BY w_start)) SELECT file_id, w_start, w_start - prev_end AS gap_before, next_start - w_start - 30 AS gap_after FROM s""")
 def adjacent_sections(spark: SparkSession, d: str) -> DataFrame:
     from dialoom.sources.tables import windows
