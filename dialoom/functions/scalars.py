@@ -160,6 +160,13 @@ def estimated_tokens(lengths: Column) -> Column:
     return F.greatest(F.lit(1), F.ceil(F.aggregate(lengths, F.lit(0).cast("long"), lambda n, x: n + x + 8) / 4))
 
 
+def occurrences(text: Column, phrases: list[str]) -> Column:
+    """How often the phrases stand in a text, each counted for itself and without overlaps; a null text has none."""
+    t = F.coalesce(text, F.lit(""))
+    one = lambda p: ((F.length(t) - F.length(F.replace(t, F.lit(p), F.lit("")))) / len(p)).cast("long")
+    return sum((one(p) for p in phrases[1:]), one(phrases[0]))
+
+
 # Numbers
 
 
@@ -194,11 +201,18 @@ def stable_id(key: Column, prefix: str = "", size: int = 16) -> Column:
     return F.concat(F.lit(prefix), F.substring(F.sha1(key), 1, size))
 
 
+def characters(text: Column) -> Column:
+    """Each character, those beyond the basic plane whole."""
+    n = F.length(text)
+    return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: F.substr(text, k, F.lit(1)))).when(n == 0, F.array().cast("array<string>"))
+
+
 def fnv32(text: Column) -> Column:
-    """FNV-1a over code points, 32 bits."""
-    chars = F.filter(F.split(text, ""), lambda c: c != "")
-    step = lambda h, c: ((h.bitwiseXOR(F.ascii(c).cast("long"))) * 16777619).bitwiseAND(F.lit(0xFFFFFFFF))
-    return F.aggregate(chars, F.lit(2166136261), step)
+    """FNV-1a, 32 bits, over the first UTF-16 unit of each character: its code point, or beyond the basic plane the high surrogate."""
+    point = lambda c: F.ascii(c).cast("long")
+    unit = lambda c: F.when(point(c) > 0xFFFF, F.shiftright(point(c) - 0x10000, 10) + 0xD800).otherwise(point(c))
+    step = lambda h, c: ((h.bitwiseXOR(unit(c))) * 16777619).bitwiseAND(F.lit(0xFFFFFFFF))
+    return F.aggregate(characters(text), F.lit(2166136261), step)
 
 
 def code_point_sum(text: Column) -> Column:

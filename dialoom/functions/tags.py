@@ -20,6 +20,7 @@ PROFESSIONS = [
 IDENTITIES = [("博士后", "博士后"), ("博士", "博士"), ("硕士", "硕士"), ("研究生", "硕士"), ("本科", "本科"), ("投资", "投资人"), ("媒体", "媒体人"), ("国企", "国企员工"), ("离异", "离异"), ("离婚", "离异")]
 CITIES = ["北京", "上海", "广州", "深圳", "杭州", "成都", "南京", "武汉", "西安", "重庆"]
 GREETINGS = ["你好", "哈喽"]
+HOST_PHRASES = ["哈喽", "你好", "来下一个", "下一位", "拜拜", "欢迎", "谢谢"]
 GOODBYES = ["拜拜", "谢谢", "再见"]
 #: Ages that count, and the year from which a birth year is taken.
 AGES, BORN_FROM = (18, 70), 2025

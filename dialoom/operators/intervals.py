@@ -41,3 +41,10 @@ def first_by(df: DataFrame, by: list[str], *order: Column) -> DataFrame:
 
 def overlap_seconds(ls: str, le: str, rs: str, re: str) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.col(le), F.col(re)) - F.greatest(F.col(ls), F.col(rs)))
+
+
+def whole_sentences(segments: DataFrame, host: str) -> DataFrame:
+    """Segments with text, trimmed, and ``speaker_id``: host, guest, or unknown for UNKNOWN and speakers that are null."""
+    who = F.coalesce("speaker", F.lit("UNKNOWN"))
+    role = F.when(who == host, "host").when(who == "UNKNOWN", "unknown").otherwise("guest")
+    return segments.withColumn("text", F.trim("text")).filter(F.col("text") != "").withColumn("speaker_id", role)

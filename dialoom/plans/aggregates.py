@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from dialoom.functions import scalars, tags
 from dialoom.operators.intervals import first_by
 from dialoom.plans.base import query
-from dialoom.sources.tables import SEGMENTS_SQL, UNKNOWN, segments, table
+from dialoom.sources.tables import HOST, SEGMENTS_SQL, UNKNOWN, segments, table
 
 DUR = "greatest(0.0, end_s - start_s)"
 
@@ -22,9 +23,17 @@ def speaker_durations(spark: SparkSession, d: str) -> DataFrame:
     return segments(spark, d).filter(F.col("speaker") != UNKNOWN).groupBy("file_id", "speaker").agg(F.sum(_duration()).alias("seconds"), F.count("*").alias("n"), F.min("start_s").alias("first_start"), F.max_by("end_s", "seg_idx").alias("last_end"))
 
 
-def _pick(spark: SparkSession, d: str, score) -> DataFrame:
-    s = segments(spark, d).groupBy("file_id", "speaker").agg(score.alias("score"), F.min("seg_idx").alias("f"))
-    return first_by(s, ["file_id"], F.desc("score"), F.asc("f")).select("file_id", F.col("speaker").alias("host"), "score")
+def host_of(said: DataFrame, score: Column, files: DataFrame | None = None) -> DataFrame:
+    """The speaker of each file with the highest score, of equals the first seen; ``files`` adds those without segments, by the default host."""
+    s = said.groupBy("file_id", "speaker").agg(score.alias("score"), F.min("seg_idx").alias("f"))
+    best = first_by(s, ["file_id"], F.desc("score"), F.asc("f")).select("file_id", F.col("speaker").alias("host"), "score")
+    if files is None:
+        return best
+    return files.select("file_id").distinct().join(best, "file_id", "left").select("file_id", F.coalesce("host", F.lit(HOST)).alias("host"), "score")
+
+
+def _pick(spark: SparkSession, d: str, score: Column) -> DataFrame:
+    return host_of(segments(spark, d), score)
 
 
 def _pick_sql(score: str) -> str:
@@ -43,11 +52,19 @@ def host_by_score(spark: SparkSession, d: str) -> DataFrame:
     return _pick(spark, d, F.sum(F.when(F.col("text").contains('"1'), 100).otherwise(0)) + F.count("*") + F.sum(F.col("end_s") - F.col("start_s")) / 10)
 
 
-@query(_pick_sql("CAST(sum((length(text) - length(replace(text, 'ew', ''))) / 2) AS BIGINT)"))
+_GREETED = "CASE seg_idx % 4 WHEN 0 THEN '哈喽你好，' WHEN 1 THEN '来下一个下一位' WHEN 2 THEN '谢谢谢谢' ELSE '' END || CASE event_id % 3 WHEN 0 THEN '拜拜' WHEN 1 THEN '欢迎' ELSE text END"
+_COUNTED = " + ".join(f"(length(g) - length(replace(g, '{p}', ''))) // {len(p)}" for p in tags.HOST_PHRASES)
+
+
+@query(f"""{SEGMENTS_SQL}, g AS (SELECT *, {_GREETED} AS g FROM seg), s AS (SELECT file_id, speaker, CAST(sum({_COUNTED}) AS BIGINT) AS score, min(seg_idx) AS f FROM g GROUP BY 1, 2)
+SELECT file_id, speaker AS host, score FROM s QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY score DESC, f) = 1""")
 def host_by_greetings(spark: SparkSession, d: str) -> DataFrame:
-    """Occurrences of a phrase, not overlapping; of equals, or with none, the first seen."""
-    n = (F.length("text") - F.length(F.replace("text", F.lit("ew"), F.lit("")))) / 2
-    return _pick(spark, d, F.sum(n).cast("long"))
+    """Occurrences of seven phrases, not overlapping; of equals, or with none, the first seen, speakers without a name included."""
+    k = F.col("seg_idx") % 4
+    head = F.when(k == 0, "哈喽你好，").when(k == 1, "来下一个下一位").when(k == 2, "谢谢谢谢").otherwise("")
+    e = F.col("event_id") % 3
+    said = segments(spark, d).withColumn("text", F.concat(head, F.when(e == 0, "拜拜").when(e == 1, "欢迎").otherwise(F.col("text"))))
+    return host_of(said, F.sum(scalars.occurrences(F.col("text"), tags.HOST_PHRASES)))
 
 
 @query(_pick_sql("CAST(sum(CASE WHEN seg_idx < 1000 AND contains(text, '7') THEN 10 ELSE 0 END) + count(*) FILTER (WHERE seg_idx < 1000) AS BIGINT)"))

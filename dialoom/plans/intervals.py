@@ -111,3 +111,11 @@ def first_six_per_speaker(spark: SparkSession, d: str) -> DataFrame:
 
     k = segments(spark, d).filter("end_s - start_s >= 1.2 and length(text) >= 6").withColumn("r", F.row_number().over(W.partitionBy("file_id", "speaker").orderBy("seg_idx")))
     return k.filter("r <= 6").select("file_id", "speaker", "seg_idx")
+
+
+@query(f"""{SEGMENTS_SQL}, t AS (SELECT *, CASE WHEN event_id % 6 = 0 THEN '  ' ELSE ' ' || text || ' ' END AS said FROM seg)
+SELECT file_id, seg_idx, CASE speaker WHEN 'SPEAKER_02' THEN 'host' WHEN 'UNKNOWN' THEN 'unknown' ELSE 'guest' END AS speaker_id, start_s, end_s, trim(said) AS text FROM t WHERE trim(said) <> ''""")
+def segment_sentences(spark: SparkSession, d: str) -> DataFrame:
+    """Whole segments as sentences, those without text left out, by a role for each speaker."""
+    said = F.when(F.col("event_id") % 6 == 0, "  ").otherwise(F.concat(F.lit(" "), "text", F.lit(" ")))
+    return ops.whole_sentences(segments(spark, d).withColumn("text", said), "SPEAKER_02").select("file_id", "seg_idx", "speaker_id", "start_s", "end_s", "text")

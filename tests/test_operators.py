@@ -94,6 +94,10 @@ def test_scalars(spark):
     text = F.lit
     assert pick(scalars.parse_clock(text("01:02:03.5"))) == 3723.5
     assert pick(scalars.parse_clock(text("02:03"))) == 123
+    assert pick(scalars.occurrences(text("谢谢谢谢谢你好"), ["谢谢", "你好"])) == 3
+    assert pick(scalars.occurrences(F.lit(None).cast("string"), ["谢谢", "你好"])) == 0
+    assert pick(scalars.fnv32(text(""))) == 2166136261
+    assert pick(scalars.fnv32(text("a😀"))) == (((2166136261 ^ 97) * 16777619 % 2**32) ^ 0xD83D) * 16777619 % 2**32
     assert pick(scalars.parse_clock(text("x"))) == 0
     assert pick(scalars.hhmmss(F.lit(3661.9))) == "010101"
     assert pick(scalars.clock(F.lit(-5.0))) == "00:00:00"
