@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm import bpe_transducer, context_tree, decontamination, line_dedup, minhash_dedup, quality, sharding, substring_dedup, suffix_dedup, token_counts
+from dialoom.llm import bpe_transducer, context_tree, decontamination, filter_audit, line_dedup, minhash_dedup, quality, sharding, spelling, substring_dedup, suffix_dedup, token_counts
 from dialoom.llm.session import documents
 
 
@@ -63,6 +63,15 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.round_trip(documents(spark, sf_dir), _tokenizer("byte_bpe_multi_50k.tiktoken"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return filter_audit.audit(filter_audit.labelled(filter_audit.flags(documents(spark, sf_dir)), labels))
+
+
 OP6_SQL = r"""
 WITH l AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL),
 k AS (SELECT *, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS key FROM l),
@@ -74,7 +83,26 @@ FROM j GROUP BY doc_id
 UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """
 
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+m AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT d.part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+  map {'A': len(words) < 100, 'B': 100 * list_unique(words) < 80 * len(words), 'C': 100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 10 * length(d.text),
+    'D': regexp_matches(d.text, '[#$%&*|]'), 'E': coalesce(d.doc_id > m.least, false)} AS fails
+  FROM d JOIN m ON d.text = m.text LEFT JOIN l ON d.doc_id = l.doc_id),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (SELECT [a.c, b.c, e.c, g.c, h.c] AS letters FROM x a, x b, x e, x g, x h WHERE len(list_distinct([a.c, b.c, e.c, g.c, h.c])) = 5),
+r AS (SELECT part, good, toxic, array_to_string(letters, '') AS filter_order, list_transform(letters, lambda c: fails[c]) AS failed FROM f, o),
+s AS (SELECT *, coalesce(list_position(failed, true), 6) AS first, len(list_filter(failed, lambda b: b)) AS n_fails FROM r),
+e AS (SELECT *, unnest([1, 2, 3, 4, 5]) AS step FROM s),
+n AS (SELECT part, filter_order, step, count(*) FILTER (WHERE first > step) AS kept, count(*) FILTER (WHERE first = step) AS removed,
+  count(*) FILTER (WHERE failed[step] AND first < step) AS redundant, count(*) FILTER (WHERE failed[step] AND n_fails = 1) AS unique_fails,
+  count(*) FILTER (WHERE first = step AND good) AS good_lost, count(*) FILTER (WHERE first = step AND toxic) AS toxic_lost FROM e GROUP BY ALL)
+SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley FROM n
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_array_dedup, op2_minhash_dedup, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_line_dedup, op7_decontamination, op8_sharding, op9_context_tree_scores, op10_bpe_codec)
+    f.__name__: f for f in (op1_suffix_array_dedup, op2_minhash_dedup, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_line_dedup, op7_decontamination, op8_sharding, op9_context_tree_scores, op10_bpe_codec, op11_spelling_variants, op13_filter_audit)
 }
-ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL, "op13_filter_audit": OP13_SQL}
