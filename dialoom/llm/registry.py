@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm import bpe_transducer, context_tree, decontamination, filter_audit, line_dedup, minhash_dedup, quality, sharding, spelling, substring_dedup, suffix_dedup, token_counts
+from dialoom.llm import bpe_transducer, context_tree, decontamination, filter_audit, fingerprints, line_dedup, minhash_dedup, quality, sharding, spelling, substring_dedup, suffix_dedup, token_counts
 from dialoom.llm.session import documents
 
 
@@ -67,6 +67,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_audit(documents(spark, sf_dir))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return filter_audit.audit(filter_audit.labelled(filter_audit.flags(documents(spark, sf_dir)), labels))
@@ -103,6 +107,6 @@ SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGI
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_array_dedup, op2_minhash_dedup, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_line_dedup, op7_decontamination, op8_sharding, op9_context_tree_scores, op10_bpe_codec, op11_spelling_variants, op13_filter_audit)
+    f.__name__: f for f in (op1_suffix_array_dedup, op2_minhash_dedup, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_line_dedup, op7_decontamination, op8_sharding, op9_context_tree_scores, op10_bpe_codec, op11_spelling_variants, op12_fingerprints, op13_filter_audit)
 }
 ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL, "op13_filter_audit": OP13_SQL}
