@@ -73,3 +73,31 @@ def with_positions(items: DataFrame, progress: DataFrame, key: str) -> DataFrame
     known = progress.select(F.explode("positions").alias(key, "position")).filter(F.col("position").isNotNull() & ~F.isnan("position") & (F.abs("position") != float("inf")))
     known = known.groupBy(key).agg(F.max("position").alias("position"))
     return items.join(known, key, "left").withColumn("position", F.coalesce("position", F.lit(0.0)))
+
+
+def greedy_names(local: DataFrame, known: DataFrame, key: str, window: tuple[float, float], who: str = "speaker") -> DataFrame:
+    """Local speakers matched one-to-one to known ones by falling overlap inside ``window``; the others get new names.
+
+    A pair's score is the longest overlap of a row of the one with a row of the
+    other; equal scores go by falling names.  New names are SPEAKER_nn from the
+    number of known speakers of the key on, in order of the local names.  Scores
+    are combined to one row a pair before they meet, so a key's fold runs over
+    speakers, not over rows.
+    """
+    from dialoom.operators.intervals import overlap_join
+
+    lo, hi = window
+    inside = (F.least("end_s", F.lit(hi)) > F.greatest("start_s", F.lit(lo)))
+    a = local.filter(inside).select(key, F.col(who).alias("local"), F.col("start_s").alias("ls"), F.col("end_s").alias("le"))
+    b = known.filter(inside).select(key, F.col(who).alias("known"), F.col("start_s").alias("rs"), F.col("end_s").alias("re"))
+    both = overlap_join(a, b, key, ("ls", "le"), ("rs", "re")).withColumn("o", F.least("le", "re") - F.greatest("ls", "rs")).filter("o > 0")
+    scores = both.groupBy(key, "local", "known").agg(F.max("o").alias("o")).groupBy(key).agg(F.reverse(F.array_sort(F.collect_list(F.struct("o", "local", "known")))).alias("pairs"))
+    taken = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    free = lambda m, x: ~F.map_contains_key(m, x.local) & ~F.array_contains(F.map_values(m), x.known)
+    fold = F.aggregate("pairs", taken, lambda m, x: F.when(free(m, x), F.map_concat(m, F.create_map(x.local, x.known))).otherwise(m))
+    names = local.groupBy(key).agg(F.array_sort(F.collect_set(who)).alias("names"))
+    count = known.groupBy(key).agg(F.count_distinct(who).alias("n_known"))
+    matched = names.join(scores.select(key, fold.alias("found")), key, "left").join(count, key, "left").select(key, "names", F.coalesce("found", taken).alias("found"), F.coalesce("n_known", F.lit(0)).alias("n_known"))
+    fresh = matched.withColumn("fresh", F.filter("names", lambda x: ~F.map_contains_key("found", x)))
+    new = F.concat(F.lit("SPEAKER_"), F.lpad((F.col("n_known") + F.array_position("fresh", F.col("local")) - 1).cast("string"), 2, "0"))
+    return fresh.select(key, "found", "n_known", "fresh", F.explode("names").alias("local")).select(key, "local", F.coalesce(F.try_element_at("found", F.col("local")), new).alias("global"), F.map_contains_key("found", F.col("local")).alias("matched"))

@@ -119,3 +119,17 @@ def segment_sentences(spark: SparkSession, d: str) -> DataFrame:
     """Whole segments as sentences, those without text left out, by a role for each speaker."""
     said = F.when(F.col("event_id") % 6 == 0, "  ").otherwise(F.concat(F.lit(" "), "text", F.lit(" ")))
     return ops.whole_sentences(segments(spark, d).withColumn("text", said), "SPEAKER_02").select("file_id", "seg_idx", "speaker_id", "start_s", "end_s", "text")
+
+
+@query(f"""{SEGMENTS_SQL}, tiles AS (SELECT file_id, CAST(w AS BIGINT) AS seg_idx, CAST(w AS DOUBLE) AS s, CAST(w + 5 AS DOUBLE) AS e FROM (SELECT file_id, unnest(range(CAST(min(start_s) AS BIGINT), CAST(max(end_s) AS BIGINT) + 1, 5)) AS w FROM seg GROUP BY file_id)),
+p AS (SELECT t.file_id, t.seg_idx, g.speaker, sum(least(t.e, g.end_s) - greatest(t.s, g.start_s)) AS o, min(g.seg_idx) AS f FROM tiles t JOIN seg g ON g.file_id = t.file_id AND least(t.e, g.end_s) > greatest(t.s, g.start_s) GROUP BY 1, 2, 3),
+b AS (SELECT file_id, seg_idx, arg_min(speaker, (-o, f)) AS speaker, max(o) AS seconds FROM p GROUP BY 1, 2),
+n AS (SELECT t.file_id, t.seg_idx, arg_min(g.speaker, (least(abs(g.start_s - t.s), abs(g.end_s - t.e)), g.seg_idx)) AS speaker, min(least(abs(g.start_s - t.s), abs(g.end_s - t.e))) AS distance
+  FROM tiles t JOIN seg g ON g.file_id = t.file_id WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.file_id = t.file_id AND b.seg_idx = t.seg_idx) GROUP BY 1, 2)
+SELECT t.file_id, t.seg_idx AS w_start, coalesce(b.speaker, n.speaker) AS speaker, b.seconds, n.distance FROM tiles t LEFT JOIN b ON b.file_id = t.file_id AND b.seg_idx = t.seg_idx LEFT JOIN n ON n.file_id = t.file_id AND n.seg_idx = t.seg_idx""")
+def dominant_or_nearest_speaker(spark: SparkSession, d: str) -> DataFrame:
+    """Each five seconds of a file: the speaker of most overlap in all, or of the nearest bound where nobody speaks."""
+    seg = segments(spark, d)
+    tiles = seg.groupBy("file_id").agg(F.explode(F.sequence(F.min("start_s").cast("long"), F.max("end_s").cast("long"), F.lit(5).cast("long"))).alias("w_start"))
+    tiles = tiles.withColumns({"start_s": F.col("w_start").cast("double"), "end_s": (F.col("w_start") + 5).cast("double")})
+    return ops.dominant_or_nearest(tiles, seg, "file_id", "w_start", "seg_idx")

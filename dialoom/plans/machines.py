@@ -1,51 +1,54 @@
-"""Boundary machines and smoothing; held against plain Python in the tests."""
+"""Boundary machines and smoothing, held against recursive SQL that takes one step a row."""
 
 from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from dialoom.operators import intervals, islands, links
 from dialoom.operators import machines as ops
+from dialoom.plans import machines_sql as q
 from dialoom.plans.base import query
-from dialoom.sources.tables import segments
+from dialoom.sources.tables import SEGMENTS_SQL, segments
 
 
-@query()
+@query(q.CONVERSATION_BOUNDARIES)
 def conversation_boundaries(spark: SparkSession, d: str) -> DataFrame:
     return ops.per_file(segments(spark, d), ops.conversation_boundaries)
 
 
-@query()
+@query(q.SHORT_PAIR_MERGE)
 def short_pair_merge(spark: SparkSession, d: str) -> DataFrame:
     return ops.per_file(segments(spark, d), lambda pdf: ops.merge_short_pairs(list(ops.conversation_boundaries(pdf, least=0))))
 
 
-@query()
+@query(q.OPENING_CALL_COMMENT)
 def opening_call_comment(spark: SparkSession, d: str) -> DataFrame:
     return ops.per_file(segments(spark, d), lambda pdf: ops.opening_call_comment(pdf, "1", "7"))
 
 
-@query()
+@query(q.GREETED_CALLS)
 def greeted_calls(spark: SparkSession, d: str) -> DataFrame:
     return ops.per_file(segments(spark, d), lambda pdf: ops.greeted_calls(pdf, "99", "1", "7"))
 
 
-@query()
+@query(q.GUEST_RUN_CALLS)
 def guest_run_calls(spark: SparkSession, d: str) -> DataFrame:
     return ops.per_file(segments(spark, d), ops.guest_run_calls)
 
 
-@query()
+@query(q.LOOKED_AHEAD)
 def looked_ahead_guests(spark: SparkSession, d: str) -> DataFrame:
     return ops.per_file(segments(spark, d), ops.looked_ahead_guests)
 
 
-@query()
+@query(q.SWITCHES)
 def substantial_guest_switches(spark: SparkSession, d: str) -> DataFrame:
     return ops.per_file(segments(spark, d), lambda pdf: ops.substantial_guest_switches(pdf, 8))
 
 
-@query()
+@query(q.CAPPED_MERGE)
 def capped_role_merge(spark: SparkSession, d: str) -> DataFrame:
     return ops.per_file(segments(spark, d), ops.capped_merge)
 
@@ -58,51 +61,57 @@ def _relabel(pdf: pd.DataFrame, f) -> pd.DataFrame:
 LABELS = "file_id long, seg_idx long, label string"
 
 
-@query()
+@query(q.SMOOTH_IN_PLACE)
 def smooth_in_place(spark: SparkSession, d: str) -> DataFrame:
     short = lambda p: ops.smoothed_in_place(p.speaker.tolist(), (p.end_s - p.start_s <= 1.0).to_numpy())
     return segments(spark, d).groupBy("file_id").applyInPandas(lambda p: _relabel(p, short), LABELS)
 
 
-@query()
+@query(q.SHORT_RUNS_MERGED)
 def short_runs_merged(spark: SparkSession, d: str) -> DataFrame:
     return segments(spark, d).groupBy("file_id").applyInPandas(lambda p: _relabel(p, lambda q: ops.merged_short_runs(q.speaker.tolist())), LABELS)
 
 
-@query()
-def split_text_by_overlap(spark: SparkSession, d: str) -> DataFrame:
-    """Each segment's text dealt over the 30-second tiles it covers, in whole characters."""
+TURNS_SQL = """c AS (SELECT *, CASE WHEN speaker = lag(speaker) OVER (PARTITION BY file_id ORDER BY seg_idx) THEN 0 ELSE 1 END AS edge FROM seg),
+u AS (SELECT *, CAST(sum(edge) OVER (PARTITION BY file_id ORDER BY seg_idx) - 1 AS BIGINT) AS island FROM c),
+turns AS (SELECT file_id, island, speaker, arg_min(start_s, seg_idx) AS rs, arg_max(end_s, seg_idx) AS re FROM u GROUP BY ALL)"""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for r in pdf.itertuples():
-            tiles = range(int(r.start_s // 30), int(r.end_s // 30) + 1)
-            seconds = [max(0.0, min(r.end_s, (t + 1) * 30) - max(r.start_s, t * 30)) for t in tiles]
-            at = 0
-            for t, n in zip(tiles, ops.largest_remainders(len(r.text), seconds), strict=True):
-                if n:
-                    out.append((r.file_id, r.seg_idx, t * 30, r.text[at : at + n]))
-                at += n
-        return pd.DataFrame(out, columns=["file_id", "seg_idx", "w_start", "piece"])
 
-    return segments(spark, d).mapInPandas(lambda it: map(run, it), "file_id long, seg_idx long, w_start long, piece string")
+@query(f"""{SEGMENTS_SQL}, {TURNS_SQL},
+p AS (SELECT s.file_id, s.seg_idx, s.start_s AS ls, s.end_s AS le, trim(s.text) AS text, t.island, t.rs, t.re, t.speaker, least(s.end_s, t.re) - greatest(s.start_s, t.rs) AS o FROM seg s JOIN turns t ON t.file_id = s.file_id AND least(s.end_s, t.re) > greatest(s.start_s, t.rs)),
+x AS (SELECT *, o / sum(o) OVER (PARTITION BY file_id, seg_idx) * length(text) AS exact, row_number() OVER (PARTITION BY file_id, seg_idx ORDER BY rs, island) - 1 AS part, count(*) OVER (PARTITION BY file_id, seg_idx) AS k FROM p),
+y AS (SELECT *, length(text) - sum(floor(exact)) OVER (PARTITION BY file_id, seg_idx) AS spare, row_number() OVER (PARTITION BY file_id, seg_idx ORDER BY exact - floor(exact) DESC, part DESC) AS place FROM x),
+n AS (SELECT *, CAST(floor(exact) + CASE WHEN place <= spare THEN 1 ELSE 0 END AS BIGINT) AS n FROM y),
+a AS (SELECT *, CAST(coalesce(sum(n) OVER (PARTITION BY file_id, seg_idx ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS from_ FROM n)
+SELECT file_id, seg_idx, CAST(part AS INT) AS part, speaker, CASE WHEN k = 1 THEN text ELSE trim(substring(text, from_ + 1, n)) END AS piece, greatest(ls, rs) AS start_s, least(le, re) AS end_s FROM a
+UNION ALL SELECT file_id, seg_idx, 0, 'UNKNOWN', trim(text), start_s, end_s FROM seg s WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.file_id = s.file_id AND p.seg_idx = s.seg_idx)""")
+def split_text_by_overlap(spark: SparkSession, d: str) -> DataFrame:
+    """Each segment's text dealt over the speakers' turns that it overlaps."""
+    seg = segments(spark, d)
+    return intervals.split_by_overlap(seg, islands.merge_speaker_runs(seg), "file_id", "seg_idx", "island")
 
 
-@query()
-def greedy_speaker_match(spark: SparkSession, d: str) -> DataFrame:
-    """Speakers of even rows matched one-to-one to those of odd rows by shared tiles."""
+NAMES_SQL = """loc AS (SELECT file_id, start_s, end_s, 'SPEAKER_0' || CAST(event_id % 7 AS VARCHAR) AS speaker FROM seg WHERE start_s >= 1800),
+known AS (SELECT * FROM seg WHERE start_s < 2100),
+p AS (SELECT a.file_id, a.speaker AS l, b.speaker AS g, max(least(a.end_s, b.end_s) - greatest(a.start_s, b.start_s)) AS o FROM loc a JOIN known b ON a.file_id = b.file_id AND least(a.end_s, b.end_s) > greatest(a.start_s, b.start_s)
+  WHERE least(a.end_s, 2100) > greatest(a.start_s, 1800) AND least(b.end_s, 2100) > greatest(b.start_s, 1800) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY o DESC, l DESC, g DESC) AS k FROM p),
+m AS (SELECT file_id, CAST(0 AS BIGINT) AS k, CAST([] AS VARCHAR[]) AS ls, CAST([] AS VARCHAR[]) AS gs FROM (SELECT DISTINCT file_id FROM loc)
+  UNION ALL SELECT file_id, k, CASE WHEN ok THEN list_append(ls, l) ELSE ls END, CASE WHEN ok THEN list_append(gs, g) ELSE gs END FROM (SELECT r.file_id, r.k, r.l, r.g, m.ls, m.gs, NOT list_contains(m.ls, r.l) AND NOT list_contains(m.gs, r.g) AS ok FROM m JOIN r ON r.file_id = m.file_id AND r.k = m.k + 1)),
+f AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY k DESC) = 1),
+n AS (SELECT d.file_id, d.speaker AS "local", list_position(f.ls, d.speaker) AS place, f.gs, coalesce(c.n, 0) AS n FROM (SELECT DISTINCT file_id, speaker FROM loc) d JOIN f ON f.file_id = d.file_id LEFT JOIN (SELECT file_id, count(DISTINCT speaker) AS n FROM known GROUP BY 1) c ON c.file_id = d.file_id)"""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        tiles = pdf.assign(t=pdf.start_s // 30)
-        a, b = tiles[tiles.seg_idx % 2 == 0], tiles[tiles.seg_idx % 2 == 1]
-        n = a.merge(b, on="t").groupby(["speaker_x", "speaker_y"]).size()
-        got = ops.greedy_pairs([(float(v), *k) for k, v in n.items()])
-        return pd.DataFrame([(int(pdf.file_id.iloc[0]), *x) for x in sorted(got.items())], columns=["file_id", "local", "global"])
 
-    return segments(spark, d).groupBy("file_id").applyInPandas(run, "file_id long, local string, global string")
+@query(f"""{q.RECURSIVE}, {NAMES_SQL}
+SELECT file_id, "local", CASE WHEN place > 0 THEN gs[place] ELSE 'SPEAKER_' || lpad(CAST(n + row_number() OVER (PARTITION BY file_id, coalesce(place, 0) > 0 ORDER BY "local") - 1 AS VARCHAR), 2, '0') END AS global, coalesce(place, 0) > 0 AS matched FROM n""")
+def greedy_speaker_match(spark: SparkSession, d: str) -> DataFrame:
+    """Speakers of a second part of each file matched to those of the first by the five minutes that both cover."""
+    seg = segments(spark, d)
+    local = seg.filter("start_s >= 1800").withColumn("speaker", F.concat(F.lit("SPEAKER_0"), (F.col("event_id") % 7).cast("string")))
+    return links.greedy_names(local, seg.filter("start_s < 2100"), "file_id", (1800.0, 2100.0))
 
 
-@query()
+@query(q.TYPED_GROUPS)
 def typed_window_groups(spark: SparkSession, d: str) -> DataFrame:
     """Windows of 120 s by type, neighbours joined unless a call follows the host."""
 
