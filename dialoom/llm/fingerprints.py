@@ -35,12 +35,13 @@ from pyspark.sql import functions as F
 
 from dialoom.llm.session import cut, partitions
 
-SAMPLES = 64
-WHITE = " \t\n\x0b\x0c\r"
+SAMPLES = 48
+#: The 16 bits that stand for each sample of a text without words.
+NO_WORDS = 0
 SPACES = r"[\x20\x09-\x0D]+"
 KEY = ["k1", "k2"]
 #: Sides of a word: the same weight in both forms, or a weight of the text's or of the edited text's own.
-BOTH, TEXT, EDITED, NEITHER = 0, 1, 2, 3
+BOTH, TEXT, EDITED = 0, 1, 2
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -66,24 +67,20 @@ def _links(documents: DataFrame) -> DataFrame:
     return cut(ranked.join(following, "rank").drop("rank"))
 
 
-def _tagged(text: str, tag: int) -> Column:
-    """A number for each word: 63 bits of its hash, and ``tag``."""
-    bare = F.btrim(text, F.lit(WHITE))
-    number = lambda w: F.shiftleft(F.xxhash64(w), 1).bitwiseOR(F.lit(tag).cast("long"))
-    return F.when(bare == "", F.array().cast("array<bigint>")).otherwise(F.transform(F.split(bare, SPACES), number))
+def weighted_terms(forms: DataFrame, by: list[str]) -> DataFrame:
+    """``by``, ``term`` (a hash of the word), ``n`` and ``side`` of each weight that a word has in ``text`` and ``edited``.
 
-
-def weighted_terms(forms: DataFrame) -> DataFrame:
-    """``forms`` without ``text`` and ``edited``, and a row for each term and weight in them: ``term``, ``n``, ``side``; one of nulls where there is none."""
-    own = [c for c in forms.columns if c not in ("text", "edited")]
-    # equal numbers lie together, and a term's number in the text before that in the edited text
-    sorted_ = forms.select(*own, F.sort_array(F.concat(_tagged("text", 0), _tagged("edited", 1))).alias("all"))
-    starts = sorted_.withColumn("starts", F.expr("if(size(all) = 0, array(), filter(sequence(0, size(all) - 1), i -> i = 0 or all[i] <> all[i - 1]))"))
-    runs = starts.select(*own, F.expr("transform(starts, (i, k) -> struct(all[i] as code, coalesce(get(starts, k + 1), size(all)) - i as n))").alias("runs"))
-    side = f"""case when (x.code & 1) = 0 then if(get(runs, k + 1).code = x.code + 1 and get(runs, k + 1).n = x.n, {BOTH}, {TEXT})
-                    when get(runs, k - 1).code = x.code - 1 and get(runs, k - 1).n = x.n then {NEITHER} else {EDITED} end"""
-    sided = runs.select(*own, F.expr(f"transform(runs, (x, k) -> struct(shiftright(x.code, 1) as term, x.n as n, {side} as side))").alias("terms"))
-    return sided.select(*own, F.explode_outer("terms").alias("x")).select(*own, "x.term", "x.n", "x.side").filter(f"side is null or side <> {NEITHER}")
+    ``forms`` is partitioned by ``by``, so counting needs no shuffle.
+    """
+    form = F.explode(F.array(F.struct("text", F.lit(1).alias("own")), F.struct(F.col("edited").alias("text"), F.lit(0).alias("own")))).alias("form")
+    words = forms.select(*by, form).select(*by, "form.own", F.explode(F.split("form.text", SPACES)).alias("word")).filter("word <> ''")
+    counts = words.select(*by, F.xxhash64("word").alias("term"), "own").groupBy(*by, "term").agg(F.sum("own").alias("t"), F.sum(1 - F.col("own")).alias("e"))
+    weight = lambda c, side: F.struct(F.col(c).alias("n"), F.lit(side).alias("side"))
+    weights = (
+        F.when(F.col("t") == F.col("e"), F.array(weight("t", BOTH))).when(F.col("e") == 0, F.array(weight("t", TEXT)))
+        .when(F.col("t") == 0, F.array(weight("e", EDITED))).otherwise(F.array(weight("t", TEXT), weight("e", EDITED)))
+    )
+    return counts.select(*by, "term", F.explode(weights).alias("w")).select(*by, "term", "w.n", "w.side")
 
 
 def _least(k: int) -> Column:
@@ -97,25 +94,23 @@ def _least(k: int) -> Column:
 
 
 def signatures(terms: DataFrame, by: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``by`` and the ``samples`` least values of each side, as arrays ``signature`` (of the text) and ``edited_signature``."""
+    """``by``, ``fingerprint`` (of the text) and ``edited_fingerprint``: four digits for the least value of each sample."""
     weighed = terms.withColumn("ln_n", F.ln("n"))
+    # ``least`` leaves nulls out, which stand for sides that a document lacks
     least = weighed.groupBy(*by, "side").agg(*[F.min(_least(k)).alias(f"m{k}") for k in range(samples)])
     sides = least.select(*by, F.struct("side", F.array(*[f"m{k}" for k in range(samples)]).alias("m")).alias("s")).groupBy(*by).agg(F.collect_list("s").alias("sides"))
     none = F.array_repeat(F.lit(None).cast("double"), samples)
     of = lambda side: F.coalesce(F.get(F.filter("sides", lambda s: s.side == side), F.lit(0)).m, none)
     found = sides.select(*by, of(BOTH).alias("both"), of(TEXT).alias("text"), of(EDITED).alias("edited"))
-    short = lambda m: F.coalesce(F.xxhash64(m), F.lit(0)).bitwiseAND(F.lit(0xFFFF)).cast("int")
-    merged = lambda own: F.zip_with("both", own, lambda a, b: short(F.least(a, b)))
-    return found.select(*by, merged("text").alias("signature"), merged("edited").alias("edited_signature"))
+    digits = lambda m: F.lpad(F.hex(F.when(m.isNull(), F.lit(NO_WORDS)).otherwise(F.xxhash64(m)).bitwiseAND(F.lit(0xFFFF))), 4, "0")
+    merged = lambda own: F.lower(F.array_join(F.zip_with("both", own, lambda a, b: digits(F.least(a, b))), ""))
+    return found.select(*by, merged("text").alias("fingerprint"), merged("edited").alias("edited_fingerprint"))
 
 
 def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
-    """The share of the samples of two signatures that agree."""
-    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same)) / F.lit(float(samples))
-
-
-def as_text(signature: str) -> Column:
-    return F.array_join(F.transform(signature, lambda x: F.lpad(F.lower(F.hex(x)), 4, "0")), "")
+    """The share of the samples of two fingerprints that agree."""
+    at = lambda c, k: F.substring(c, 4 * k + 1, F.lit(4))
+    return F.size(F.filter(F.sequence(F.lit(0), F.lit(samples - 1)), lambda k: at(F.col(a), k) == at(F.col(b), k))) / F.lit(float(samples))
 
 
 def edit_audit(docs: DataFrame, samples: int = SAMPLES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,12 +119,16 @@ def edit_audit(docs: DataFrame, samples: int = SAMPLES, id_col: str = "doc_id",
     links = _links(documents)
     texts = documents.groupBy(*KEY).agg(F.first("id").alias("id"), F.first("text").alias("text"))
     asked = links.select(F.col("next1").alias("k1"), F.col("next2").alias("k2"), F.col("k1").alias("to1"), F.col("k2").alias("to2"), "quarter")
-    heads = texts.join(asked, KEY).select(F.col("to1").alias("k1"), F.col("to2").alias("k2"), F.expr("substring(text, 1, quarter)").alias("head"))
-    forms = texts.join(links.select(*KEY, "quarter"), KEY).join(heads, KEY).select(*KEY, "id", "text", F.concat(F.expr("substring(text, 1, length(text) - quarter)"), "head").alias("edited"))
-    told = forms.select(*KEY, "id", F.length("text").cast("long").alias("n_chars"), F.unhex(F.sha2(F.col("edited").cast("binary"), 256)).alias("sha"), "text", "edited")
-    signed = cut(signatures(weighted_terms(told), [*KEY, "id", "n_chars", "sha"], samples))
-    following = signed.select(F.col("k1").alias("next1"), F.col("k2").alias("next2"), F.col("signature").alias("next_signature"))
-    return signed.join(links.select(*KEY, "next1", "next2", "copies"), KEY).join(following, ["next1", "next2"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(
-        F.col("id").alias(id_col), "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), as_text("signature").alias("fingerprint"), as_text("edited_signature").alias("edited_fingerprint"),
-        likeness("signature", "edited_signature", samples).alias("near_edited"), likeness("signature", "next_signature", samples).alias("near_next"),
+    # both uses of ``texts`` read the same columns, so they share one shuffle
+    heads = texts.join(asked, KEY).select(F.col("to1").alias("k1"), F.col("to2").alias("k2"), F.col("id").alias("next_id"), F.expr("substring(text, 1, quarter)").alias("head"))
+    forms = texts.join(links.select(*KEY, "quarter"), KEY).join(heads, KEY).select(*KEY, "id", "next_id", "text", F.concat(F.expr("substring(text, 1, length(text) - quarter)"), "head").alias("edited"))
+    told = forms.select(*KEY, "id", "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    none = F.lit(NO_WORDS.to_bytes(2, "big").hex() * samples)
+    signed = told.join(signatures(weighted_terms(forms, KEY), KEY, samples), KEY, "left")
+    signed = cut(signed.select(*[c for c in told.columns], *[F.coalesce(c, none).alias(c) for c in ("fingerprint", "edited_fingerprint")]))
+    following = signed.select(F.col("k1").alias("next1"), F.col("k2").alias("next2"), F.col("fingerprint").alias("next_fingerprint"))
+    met = links.select(*KEY, "next1", "next2", "copies").join(following, ["next1", "next2"]).select(*KEY, "copies", "next_fingerprint")
+    return signed.join(met, KEY).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(
+        F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        likeness("fingerprint", "edited_fingerprint", samples).alias("near_edited"), likeness("fingerprint", "next_fingerprint", samples).alias("near_next"), "next_id",
     )
