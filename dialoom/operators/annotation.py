@@ -1,9 +1,9 @@
 """Validation of annotation records kept as JSON lines.
 
 Five kinds of records share a shape: an audit stamp, a source, and turns under
-a name of their own.  Structure is read by a schema, turn rules run on the
-exploded turns, and record rules on the record, so that a record of any length
-is a set of rows.  A file with a line that is no JSON fails as a whole.
+a name of their own.  Structure is read by a schema; rules of records and of
+turns run in the record's row, without windows or shuffles.  A file with a line
+that is no JSON fails as a whole.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.operators import qc
+from dialoom.operators import qc, validation
 
 #: The kinds of records, and the field that holds the turns of each.
 KINDS = {"conversation": "turns", "turn_sft": "history", "style_label": None, "preference_pair": "context", "benchmark_case": "messages"}
@@ -52,48 +52,74 @@ def record_rules() -> list[qc.Rule]:
     ]
 
 
-def _turns(records: DataFrame, kind: str, field: str) -> DataFrame:
-    rows = records.filter(F.col("r.record_type") == kind).select("file", "line", F.col("r.source").alias("s"), F.posexplode(f"r.{field}").alias("pos", "t"))
-    inside = kind == "conversation"
-    return rows.select(
-        F.struct("file", "line").alias("record_id"), "pos", "t.turn_index", "t.role", "t.speaker_id", "t.start", "t.end",
-        *[(F.col(f"s.{x}") if inside else F.lit(None).cast("double")).alias(f"section_{x}") for x in ("start", "end")],
-        F.concat(F.lit(f"$.{field}["), F.col("pos"), F.lit("]")).alias("path"),
-    )
+def _turn_rules(turns: Column, base: Column, lead: str, section: Column) -> Column:
+    """Issues of a record's turns: their sequence, speakers and times, and for conversations whether they lie in the section."""
+    # for each turn the last end that is known before it
+    ended = F.aggregate(turns, F.array(F.lit(None).cast("double")), lambda e, t: F.concat(e, F.array(F.coalesce(t.end, F.element_at(e, -1)))))
+    is_section = F.col("r.record_type") == "conversation"
 
+    def of(t: Column, i: Column) -> Column:
+        at = F.concat(base, F.lit("["), i.cast("string"), F.lit("]"))
+        says = lambda role, speaker: (t.role == role) & ~t.speaker_id.eqNullSafe(speaker)
+        before = F.get(turns, i - 1)
+        return F.array_compact(F.array(
+            _issue(~t.turn_index.eqNullSafe(i), "turn_index_not_sequential", F.concat(at, F.lit(".turn_index"))),
+            _issue(says(lead, "host") | says("user", "guest"), "role_speaker_mismatch", at),
+            _issue(t.start > t.end, "turn_time_reversed", at),
+            _issue((i > 0) & (before.role == t.role), "adjacent_same_role_turns", at),
+            _issue(t.start < F.get(ended, i) - SLACK, "turn_time_overlap", at, "warning"),
+            _issue(is_section & (t.start < section.start - SLACK), "turn_outside_section", at, "warning"),
+            _issue(is_section & (t.end > section.end + SLACK), "turn_outside_section", at, "warning"),
+        ))
 
-def issues(lines: DataFrame, lead: str = "lead") -> DataFrame:
+    return F.flatten(F.transform(turns, of))
+
+
+def _message_rules(messages: Column) -> Column:
+    def of(t: Column, i: Column) -> Column:
+        at = F.concat(F.lit("$.messages["), i.cast("string"), F.lit("].turn_index"))
+        return F.array_compact(F.array(
+            _issue(~t.turn_index.eqNullSafe(i), "message_turn_index_not_sequential", at),
+            _issue((i > 0) & (t.turn_index <= F.get(messages, i - 1).turn_index), "message_turn_index_not_increasing", at),
+        ))
+
+    return F.flatten(F.transform(messages, of))
+
+
+def _issue(when: Column, code: str, path: Column, severity: str = "error") -> Column:
+    return F.when(when, F.struct(F.lit(severity).alias("severity"), F.lit(code).alias("code"), path.alias("path")))
+
+
+def issues(lines: DataFrame, lead: str = "lead", schemas: dict[str, dict] | None = None) -> DataFrame:
     """``file``, ``line``, ``severity``, ``code`` and ``path`` of all issues of ``lines`` (file, line, raw).
 
-    ``lead``: the role whose turns the host speaks.  A file with a line that is
-    no JSON has one issue, on line 0, and its other lines are not looked at.
+    ``lead``: the role whose turns the host speaks; ``schemas``: a JSON Schema for
+    each kind, whose issues have the code ``schema_validation_error``.  A file with
+    a line that is no JSON has one issue, on line 0, and its other lines are not
+    looked at.  Records are parsed once and judged in their own row.
     """
     raw = lines.filter(F.trim("raw") != "").withColumn("__bad", F.try_parse_json("raw").isNull())
     failed = raw.groupBy("file").agg(F.bool_or("__bad").alias("__bad")).filter("__bad").select("file")
     columns = ["file", "line", "severity", "code", "path"]
     load = failed.select("file", F.lit(0).cast("long").alias("line"), F.lit("error").alias("severity"), F.lit("json_load_error").alias("code"), F.lit("$").alias("path"))
-    good = raw.join(failed, "file", "left_anti").select("file", F.col("line").cast("long").alias("line"), F.from_json("raw", SCHEMA).alias("r"), F.trim("raw").startswith("{").alias("object"))
-    kinds = F.col("r.record_type").isin(*KINDS)
+    good = raw.join(failed, "file", "left_anti").select("file", F.col("line").cast("long").alias("line"), "raw", F.from_json("raw", SCHEMA).alias("r"), F.trim("raw").startswith("{").alias("object"))
+    kind, none = F.col("r.record_type"), F.array().cast("array<struct<severity:string,code:string,path:string>>")
     rules = [
         qc.Rule("record_not_object", ~F.col("object")),
-        qc.Rule("unknown_record_type", F.col("object") & ~F.coalesce(kinds, F.lit(False)), path="$.record_type"),
+        qc.Rule("unknown_record_type", F.col("object") & ~F.coalesce(kind.isin(*KINDS), F.lit(False)), path="$.record_type"),
         *record_rules(),
     ]
-    out = load.unionByName(qc.exploded(qc.evaluated(good, rules), "file", "line").select(columns))
-    for kind, field in KINDS.items():
-        if kind == "benchmark_case":
-            rows = _turns(good, kind, field).withColumn("before", F.lag("turn_index").over(qc.by_record()))
-            made = qc.evaluated(rows, [
-                qc.Rule("message_turn_index_not_sequential", ~F.col("turn_index").eqNullSafe(F.col("pos"))),
-                qc.Rule("message_turn_index_not_increasing", F.col("turn_index") <= F.col("before")),
-            ])
-        elif field:
-            made = qc.turn_issues(_turns(good, kind, field), lead)
-        else:
-            continue
-        made = made.select("record_id", "path", F.explode("issues").alias("i"))
-        out = out.unionByName(made.select("record_id.file", "record_id.line", "i.severity", "i.code", "path"))
-    return out
+    turned = {k: field for k, field in KINDS.items() if field and k != "benchmark_case"}
+    turns, base = F.lit(None).cast(TURN), F.lit(None).cast("string")
+    for name, field in turned.items():
+        turns, base = F.when(kind == name, F.col(f"r.{field}")).otherwise(turns), F.when(kind == name, f"$.{field}").otherwise(base)
+    judged = qc.evaluated(good, rules).withColumns({"turns": turns, "base": base}).withColumn("turn_issues", _turn_rules(F.col("turns"), F.col("base"), lead, F.col("r.source")))
+    found = [F.col("issues"), F.coalesce("turn_issues", none), F.when(kind == "benchmark_case", F.coalesce(_message_rules(F.col("r.messages")), none)).otherwise(none)]
+    if schemas:
+        judged = validation.validated(judged, "raw", schemas)
+        found.append(F.transform("schema_issues", lambda x: F.struct(F.lit("error").alias("severity"), F.lit("schema_validation_error").alias("code"), x.path.alias("path"))))
+    own = judged.select("file", "line", F.explode(F.concat(*found)).alias("i")).select("file", "line", "i.severity", "i.code", "i.path")
+    return load.unionByName(own.select(columns))
 
 
 def statuses(lines: DataFrame, found: DataFrame) -> DataFrame:

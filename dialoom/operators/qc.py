@@ -67,55 +67,3 @@ def all_safe(issues: Column, safe: list[str]) -> Column:
     """Whether there are issues and all may be repaired without a look at the source."""
     return (F.size(issues) > 0) & F.forall(issues, lambda i: i["code"].isin(safe))
 
-
-KIND_PATTERNS = {"integer": r"^-?\d+$", "number": r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$", "boolean": "^(true|false)$", "array": r"^\[", "object": r"^\{"}
-
-
-def schema_rules(schema: dict, raw: str, path: str = "$", root: dict | None = None) -> list[Rule]:
-    """Rules of a JSON Schema on a column of JSON text.
-
-    Known: required, properties, additionalProperties false, type, const, enum, minimum, maximum, minLength, pattern,
-    minItems, uniqueItems, oneOf over properties of one object, and $ref into $defs of the schema.  A property that is
-    null counts as absent; messages are not those of any validator.
-    """
-    root = root or schema
-    follow = lambda s: root["$defs"][s["$ref"].rsplit("/", 1)[-1]] if "$ref" in s else s
-    schema = follow(schema)
-    value = lambda p: F.get_json_object(F.col(raw), p)
-    there = F.lit(True) if path == "$" else value(path).isNotNull()
-    out = [Rule("schema_validation_error", there & value(f"{path}.{name}").isNull(), path=f"{path}.{name}: required") for name in schema.get("required", [])]
-    if schema.get("additionalProperties") is False:
-        keys = F.json_object_keys(F.col(raw) if path == "$" else value(path))
-        known = F.array(*[F.lit(k) for k in schema.get("properties", {})])
-        out.append(Rule("schema_validation_error", F.size(F.array_except(keys, known)) > 0, path=f"{path}: additionalProperties"))
-    if "oneOf" in schema:
-        holds = [~_any(schema_rules(one, raw, path, root)) for one in schema["oneOf"]]
-        out.append(Rule("schema_validation_error", there & (sum((h.cast("int") for h in holds), F.lit(0)) != 1), path=f"{path}: oneOf"))
-    for name, own in schema.get("properties", {}).items():
-        own, at = follow(own), f"{path}.{name}"
-        v = value(at)
-        items = F.from_json(v, "array<string>")
-        checks = {
-            "type": lambda k, v=v: ~v.rlike(KIND_PATTERNS[k]) if k in KIND_PATTERNS else F.lit(False),
-            "const": lambda k, v=v: v != str(k),
-            "enum": lambda k, v=v: ~v.isin([str(x) for x in k]),
-            "minimum": lambda k, v=v: v.try_cast("double") < k,
-            "maximum": lambda k, v=v: v.try_cast("double") > k,
-            "minLength": lambda k, v=v: F.length(v) < k,
-            "pattern": lambda k, v=v: ~v.rlike(k),
-            "minItems": lambda k, v=v: F.json_array_length(v) < k,
-            "uniqueItems": lambda k, items=items: F.size(F.array_distinct(items)) < F.size(items) if k else F.lit(False),
-        }
-        for what, made in checks.items():
-            if what in own:
-                out.append(Rule("schema_validation_error", v.isNotNull() & F.coalesce(made(own[what]), F.lit(False)), path=f"{at}: {what}"))
-        if own.get("type") == "object":
-            out += schema_rules(own, raw, at, root)
-    return out
-
-
-def _any(rules: list[Rule]) -> Column:
-    hit = F.lit(False)
-    for r in rules:
-        hit = hit | F.coalesce(r.when, F.lit(False))
-    return hit

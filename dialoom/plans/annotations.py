@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dialoom.operators import annotation, qc
+from dialoom.operators import annotation, validation
 from dialoom.plans.base import query
 from dialoom.sources.tables import table
 
@@ -23,7 +23,7 @@ audit AS (SELECT c, 'error' AS severity, 'audit_time_reversed' AS code, '$.audit
 
 
 def _sequence(name: str) -> str:
-    return f"SELECT conv_id AS line, CASE WHEN code = 'turn_time_overlap' THEN 'warning' ELSE 'error' END AS severity, code, '$.{name}[' || pos || ']' AS path FROM seq WHERE code IS NOT NULL"
+    return f"SELECT conv_id AS line, CASE WHEN code = 'turn_time_overlap' THEN 'warning' ELSE 'error' END AS severity, code, '$.{name}[' || pos || ']' || CASE WHEN code = 'turn_index_not_sequential' THEN '.turn_index' ELSE '' END AS path FROM seq WHERE code IS NOT NULL"
 
 
 def _when(*rules: tuple[str, str, str, str]) -> str:
@@ -42,8 +42,8 @@ UNION ALL SELECT conv_id, 'warning', 'turn_outside_section', '$.turns[' || pos |
     "preference_pair": TURNS_SQL + _sequence("context") + AUDIT + _when(
         ("error", "context_must_end_with_user", "$.context", "last_role <> 'user'"), ("error", "duplicate_candidate_id", "$", "c % 4 = 1"), ("error", "duplicate_candidate_text", "$", "c % 6 = 2")),
     "benchmark_case": TURNS_SQL + "SELECT c AS line, severity, code, path FROM audit " + _when(("warning", "too_few_messages_for_multiturn", "$.messages", "c % 2 = 0 AND n < 3")) + """
-UNION ALL SELECT conv_id, 'error', 'message_turn_index_not_sequential', '$.messages[' || pos || ']' FROM i WHERE turn_index <> pos
-UNION ALL SELECT conv_id, 'error', 'message_turn_index_not_increasing', '$.messages[' || pos || ']' FROM i WHERE turn_index <= last_index""",
+UNION ALL SELECT conv_id, 'error', 'message_turn_index_not_sequential', '$.messages[' || pos || '].turn_index' FROM i WHERE turn_index <> pos
+UNION ALL SELECT conv_id, 'error', 'message_turn_index_not_increasing', '$.messages[' || pos || '].turn_index' FROM i WHERE turn_index <= last_index""",
 }
 
 
@@ -124,7 +124,7 @@ SCHEMA = {
 }
 
 
-@query("""SELECT doc_id, unnest(list_filter([CASE WHEN doc_id % 7 = 0 THEN '$.lang: required' END, CASE WHEN doc_id % 10 = 3 THEN '$: additionalProperties' END, CASE WHEN doc_id % 5 = 0 THEN '$.id: minimum' END, CASE WHEN doc_id % 7 <> 0 AND doc_id % 6 = 1 THEN '$.lang: pattern' END,
+@query("""SELECT doc_id, unnest(list_filter([CASE WHEN doc_id % 7 = 0 THEN '$.lang: required' END, CASE WHEN doc_id % 10 = 3 THEN '$: additionalProperties' END, CASE WHEN doc_id % 5 = 0 THEN '$.id: minimum' END, CASE WHEN doc_id % 7 <> 0 AND doc_id % 6 = 1 THEN '$.lang: pattern' END, CASE WHEN doc_id % 7 <> 0 AND doc_id % 6 = 1 THEN '$.lang: enum' END,
 CASE WHEN doc_id % 9 = 0 THEN '$.size.chars: required' END, CASE WHEN doc_id % 9 <> 0 AND n_chars > 5000 THEN '$.size.chars: maximum' END, CASE WHEN doc_id % 4 = 0 THEN '$.tags: minItems' END, CASE WHEN doc_id % 4 = 1 THEN '$.tags: uniqueItems' END, CASE WHEN doc_id % 8 = 5 THEN '$.kind: const' END], lambda x: x IS NOT NULL)) AS path FROM documents""")
 def schema_issues(spark: SparkSession, d: str) -> DataFrame:
     """Documents as JSON against a schema with references, patterns and closed properties."""
@@ -135,8 +135,54 @@ def schema_issues(spark: SparkSession, d: str) -> DataFrame:
         F.when(i % 4 == 0, F.array().cast("array<string>")).when(i % 4 == 1, F.array(F.lit("a"), F.lit("a"))).otherwise(F.array(F.lit("a"))).alias("tags"),
         F.when(i % 8 == 5, "page").otherwise("document").alias("kind"), F.when(i % 10 == 3, 1).alias("extra"),
     ))
-    rows = qc.evaluated(table(spark, d, "documents").select("doc_id", raw.alias("raw")), qc.schema_rules(SCHEMA, "raw"))
-    return rows.select("doc_id", F.explode("issues").alias("i")).select("doc_id", "i.path")
+    rows = validation.validated(table(spark, d, "documents").select("doc_id", raw.alias("raw")), "raw", {"document": SCHEMA, "page": SCHEMA}, "kind")
+    at = F.concat("i.path", F.when(F.col("i.keyword") == "required", F.concat(F.lit("."), "i.detail")).otherwise(""), F.lit(": "), "i.keyword")
+    return rows.select("doc_id", F.explode("schema_issues").alias("i")).select("doc_id", at.alias("path"))
+
+
+#: A record with a list of nested turns; formats are not asserted, as validators do by default.
+RECORD_SCHEMA = {
+    "type": "object", "additionalProperties": False, "required": ["record_type", "id", "turns", "audit"],
+    "properties": {
+        "record_type": {"const": "talk"}, "id": {"type": "string", "minLength": 2}, "audit": {"type": "object", "required": ["created_at"], "properties": {"created_at": {"type": "string", "format": "date-time"}}},
+        "turns": {"type": "array", "minItems": 3, "items": {
+            "type": "object", "additionalProperties": False, "required": ["turn_index", "role"],
+            "properties": {"turn_index": {"type": "integer", "minimum": 0}, "role": {"type": "string", "enum": ["user", "assistant"]}, "start": {"type": "number"}, "tags": {"type": "array", "uniqueItems": True, "items": {"type": "string"}}},
+        }},
+    },
+}
+
+
+@query("""WITH t AS (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, count(*) OVER (PARTITION BY conv_id) AS n, conv_id + turn AS s FROM conversations),
+r AS (SELECT DISTINCT conv_id, n FROM t)
+SELECT conv_id, path, keyword, detail FROM (
+SELECT conv_id, '$.id' AS path, 'minLength' AS keyword, NULL AS detail FROM r WHERE length(CAST(conv_id AS VARCHAR)) < 2 AND conv_id % 6 <> 5
+UNION ALL SELECT conv_id, '$.id', 'type', NULL FROM r WHERE conv_id % 6 = 5
+UNION ALL SELECT conv_id, '$', 'required', 'audit' FROM r WHERE conv_id % 5 = 1
+UNION ALL SELECT conv_id, '$.audit', 'required', 'created_at' FROM r WHERE conv_id % 5 = 2
+UNION ALL SELECT conv_id, '$', 'additionalProperties', 'note' FROM r WHERE conv_id % 4 = 3
+UNION ALL SELECT conv_id, '$.turns', 'minItems', NULL FROM r WHERE n < 3
+UNION ALL SELECT conv_id, '$.turns[' || pos || '].turn_index', 'minimum', NULL FROM t WHERE s % 7 = 0
+UNION ALL SELECT conv_id, '$.turns[' || pos || ']', 'required', 'turn_index' FROM t WHERE s % 7 = 3
+UNION ALL SELECT conv_id, '$.turns[' || pos || '].role', 'enum', NULL FROM t WHERE role NOT IN ('user', 'assistant')
+UNION ALL SELECT conv_id, '$.turns[' || pos || '].start', 'type', NULL FROM t WHERE s % 9 = 4
+UNION ALL SELECT conv_id, '$.turns[' || pos || '].tags', 'uniqueItems', NULL FROM t WHERE s % 8 = 2
+UNION ALL SELECT conv_id, '$.turns[' || pos || ']', 'additionalProperties', 'odd' FROM t WHERE s % 10 = 6)""")
+def record_schema_issues(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations as nested records under a schema that reaches into the items of their turns."""
+    c, s = F.col("conv_id"), F.col("conv_id") + F.col("turn")
+    turn = F.struct(
+        F.when(s % 7 == 0, -1).when(s % 7 != 3, F.col("turn")).alias("turn_index"), "role", F.when(s % 9 == 4, "late").otherwise("1").alias("start"),
+        F.when(s % 8 == 2, F.array(F.lit("x"), F.lit("y"), F.lit("x"))).when(s % 8 == 3, F.array(F.lit("x"))).alias("tags"), F.when(s % 10 == 6, True).alias("odd"),
+    )
+    r = table(spark, d, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", turn.alias("t")))), lambda x: x.t).alias("turns"))
+    audit = F.when(c % 5 != 1, F.struct(F.when(c % 5 != 2, F.lit("no date")).alias("created_at")))
+    told = F.struct(F.lit("talk").alias("record_type"), c.cast("string").alias("id"), "turns", audit.alias("audit"), F.when(c % 4 == 3, "n").alias("note"))
+    # starts are numbers unless they are words, ids strings unless they are numbers
+    raw = F.regexp_replace(F.to_json(told), '"start":"1"', '"start":1.5')
+    raw = F.when(c % 6 == 5, F.regexp_replace(raw, r'"id":"(\d+)"', '"id":$1')).otherwise(raw)
+    found = validation.validated(r.select("conv_id", raw.alias("raw")), "raw", {"talk": RECORD_SCHEMA})
+    return found.select("conv_id", F.explode("schema_issues").alias("i")).select("conv_id", "i.path", "i.keyword", "i.detail")
 
 
 @query("""WITH m AS (SELECT conv_id, count(*) AS n, min(turn) AS a, max(turn) AS b, count(*) FILTER (WHERE role = 'assistant') AS h FROM conversations GROUP BY conv_id)

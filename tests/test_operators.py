@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dialoom.functions import scalars
-from dialoom.operators import chat, islands, machines, qc, speakers
+from dialoom.operators import chat, islands, machines, qc, speakers, validation
 from dialoom.operators.intervals import overlap_join
 
 
@@ -226,7 +226,8 @@ def test_schema_rules(spark):
     good = '{"id":"x","version":"v1","grade":"A","n":2,"turns":[1,2],"meta":{"topic":"t"}}'
     bad = '{"version":"v2","grade":"C","n":0,"turns":[1],"meta":{}}'
     df = spark.createDataFrame([(1, good), (2, bad), (3, '{"id":"x","meta":{"topic":1},"turns":[1,1],"n":"z"}')], "k int, raw string")
-    got = {r.k: sorted(i.path for i in r.issues) for r in qc.evaluated(df, qc.schema_rules(schema, "raw")).collect()}
+    shown = lambda i: f"{i.path}{'.' + i.detail if i.keyword == 'required' else ''}: {i.keyword}"
+    got = {r.k: sorted(map(shown, r.i)) for r in df.select("k", validation.issues(schema, F.parse_json("raw"), F.lit("$")).alias("i")).collect()}
     assert got[1] == []
     assert got[2] == ["$.grade: enum", "$.id: required", "$.meta.topic: required", "$.n: minimum", "$.turns: minItems", "$.version: const"]
     assert got[3] == ["$.n: type", "$.turns: uniqueItems"]
