@@ -117,12 +117,13 @@ def edit_audit(docs: DataFrame, samples: int = SAMPLES, id_col: str = "doc_id",
     """One row per document: fingerprints of text and edited text, likeness to the edited text and to the next document."""
     documents = _documents(docs, id_col, text_col)
     links = _links(documents)
-    texts = documents.groupBy(*KEY).agg(F.first("id").alias("id"), F.first("text").alias("text"))
+    # id and text as one value: whatever is read of it later, all uses share one shuffle
+    texts = documents.groupBy(*KEY).agg(F.first(F.struct("id", "text")).alias("doc"))
     asked = links.select(F.col("next1").alias("k1"), F.col("next2").alias("k2"), F.col("k1").alias("to1"), F.col("k2").alias("to2"), "quarter")
-    # both uses of ``texts`` read the same columns, so they share one shuffle
-    heads = texts.join(asked, KEY).select(F.col("to1").alias("k1"), F.col("to2").alias("k2"), F.col("id").alias("next_id"), F.expr("substring(text, 1, quarter)").alias("head"))
-    forms = texts.join(links.select(*KEY, "quarter"), KEY).join(heads, KEY).select(*KEY, "id", "next_id", "text", F.concat(F.expr("substring(text, 1, length(text) - quarter)"), "head").alias("edited"))
-    told = forms.select(*KEY, "id", "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    heads = texts.join(asked, KEY).select(F.col("to1").alias("k1"), F.col("to2").alias("k2"), F.expr("substring(doc.text, 1, quarter)").alias("head"))
+    joined = texts.join(links.select(*KEY, "quarter"), KEY).join(heads, KEY)
+    forms = joined.select(*KEY, F.col("doc.id").alias("id"), F.col("doc.text").alias("text"), F.concat(F.expr("substring(doc.text, 1, length(doc.text) - quarter)"), "head").alias("edited"))
+    told = forms.select(*KEY, "id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     none = F.lit(NO_WORDS.to_bytes(2, "big").hex() * samples)
     signed = told.join(signatures(weighted_terms(forms, KEY), KEY, samples), KEY, "left")
     signed = cut(signed.select(*[c for c in told.columns], *[F.coalesce(c, none).alias(c) for c in ("fingerprint", "edited_fingerprint")]))
@@ -130,5 +131,5 @@ def edit_audit(docs: DataFrame, samples: int = SAMPLES, id_col: str = "doc_id",
     met = links.select(*KEY, "next1", "next2", "copies").join(following, ["next1", "next2"]).select(*KEY, "copies", "next_fingerprint")
     return signed.join(met, KEY).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness("fingerprint", "edited_fingerprint", samples).alias("near_edited"), likeness("fingerprint", "next_fingerprint", samples).alias("near_next"), "next_id",
+        likeness("fingerprint", "edited_fingerprint", samples).alias("near_edited"), likeness("fingerprint", "next_fingerprint", samples).alias("near_next"),
     )
