@@ -51,7 +51,20 @@ def window_vote(spark: SparkSession, d: str) -> DataFrame:
     return r.select("label", "vote", "n", ((F.col("total") >= 20) & (F.col("n") / F.col("total") >= 0.35)).alias("applies"))
 
 
-@query()
+#: Clusters by the definition of average linkage, the mean distance of all pairs, one merge a step; a cluster is named by its first member.
+CLUSTER_SQL = """WITH RECURSIVE e AS (SELECT CAST(floor(vec_id / 50) AS BIGINT) AS part, vec_id, row_number() OVER (PARTITION BY floor(vec_id / 50) ORDER BY vec_id) AS i, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+far AS (SELECT a.part, a.i, b.i AS j, 1 - list_cosine_similarity(a.x, b.x) AS d FROM e a JOIN e b ON a.part = b.part AND a.i <> b.i),
+size AS (SELECT part, count(*) AS n FROM e GROUP BY part),
+m AS (SELECT part, n, n AS left_, range(1, n + 1) AS of FROM size
+UNION ALL SELECT part, n, left_ - 1, list_transform(of, lambda c: CASE WHEN c = best[2] THEN best[1] ELSE c END) FROM (
+  SELECT part, n, left_, of, arg_min([a, b], (d, a, b)) AS best FROM (SELECT m.part, m.n, m.left_, m.of, of[f.i] AS a, of[f.j] AS b, avg(f.d) AS d FROM m JOIN far f ON f.part = m.part WHERE left_ > 2 AND of[f.i] < of[f.j] GROUP BY ALL) GROUP BY part, n, left_, of)),
+done AS (SELECT part, list_transform(of, lambda c: CASE WHEN c = 1 THEN 0 ELSE 1 END) AS label FROM m QUALIFY row_number() OVER (PARTITION BY part ORDER BY left_) = 1),
+s AS (SELECT f.part, f.i, avg(d) FILTER (WHERE label[f.i] = label[f.j]) AS a, avg(d) FILTER (WHERE label[f.i] <> label[f.j]) AS b FROM far f JOIN done USING (part) GROUP BY 1, 2),
+w AS (SELECT part, avg(CASE WHEN a IS NULL OR greatest(a, b) <= 0 THEN 0 ELSE (b - a) / greatest(a, b) END) AS silhouette FROM s GROUP BY part)
+SELECT e.part, e.vec_id, CAST(CASE WHEN silhouette IS NULL OR silhouette < 0.03 THEN 0 ELSE label[e.i] END AS BIGINT) AS cluster, floor(silhouette * 1e6 + 0.5) / 1e6 AS silhouette FROM e JOIN done ON done.part = e.part LEFT JOIN w ON w.part = e.part"""
+
+
+@query(CLUSTER_SQL)
 def two_cluster(spark: SparkSession, d: str) -> DataFrame:
     """Two clusters of each part's vectors, with the silhouette; a part without a clear split is one speaker."""
 
@@ -65,10 +78,14 @@ def two_cluster(spark: SparkSession, d: str) -> DataFrame:
         return pd.DataFrame({"part": pdf.part, "vec_id": pdf.vec_id, "cluster": labels, "silhouette": s})
 
     e = table(spark, d, "embeddings").withColumn("part", F.floor(F.col("vec_id") / 50))
-    return e.groupBy("part").applyInPandas(run, "part long, vec_id long, cluster long, silhouette double")
+    found = e.groupBy("part").applyInPandas(run, "part long, vec_id long, cluster long, silhouette double")
+    return found.withColumn("silhouette", F.floor(F.col("silhouette") * 1e6 + 0.5) / 1e6)
 
 
-@query()
+@query("""WITH x AS (SELECT label, vec_id, CAST(embedding[1] AS DOUBLE) AS v, row_number() OVER (PARTITION BY label ORDER BY embedding[1], vec_id) AS k, count(*) OVER (PARTITION BY label) AS n FROM embeddings),
+p AS (SELECT *, var_pop(v) OVER up * k AS lo, var_pop(v) OVER dn * (n - k) AS hi, avg(v) OVER up AS low, avg(v) OVER dn AS high FROM x WINDOW up AS (PARTITION BY label ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), dn AS (PARTITION BY label ORDER BY k ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+c AS (SELECT label, arg_min(k, lo + hi) AS cut, arg_min(high - low, lo + hi) AS gap FROM p WHERE k < n GROUP BY label)
+SELECT x.label, x.vec_id, CAST(CASE WHEN gap >= 0.08 AND k > cut THEN 1 ELSE 0 END AS BIGINT) AS side FROM x LEFT JOIN c ON c.label = x.label""")
 def two_means_by_similarity(spark: SparkSession, d: str) -> DataFrame:
     """The first components of each label's vectors split in two where the means lie apart."""
 
