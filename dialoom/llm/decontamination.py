@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialoom.llm import dealing
-from dialoom.llm.session import cut, store
+from dialoom.llm.session import cut, positional, store
 from dialoom.llm.text import ALNUM, LOWER, blocks, flat, spans, word_hashes
 
 WIDTH, BLOCK_BYTES = 10, 2 << 20
@@ -317,6 +317,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH, id_col:
 
 
 def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without a hit, with their columns."""
-    found = decontaminate(docs, items, width, id_col, text_col).filter("n_hit > 0").select(F.col(id_col).alias("__id"), F.col("body").alias("__body")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__body")), "left_anti").select(*docs.columns)
+    """The documents without a hit, with their columns, whatever these are called."""
+    rows, (own, text) = positional(docs, id_col, text_col)
+    found = decontaminate(rows, items, width, own, text).filter("n_hit > 0").select(F.col(own).alias("id"), "body").distinct()
+    return rows.join(found, F.col(own).eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("body")), "left_anti").toDF(*docs.columns)

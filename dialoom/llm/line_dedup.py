@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.llm.session import cut
+from dialoom.llm.session import cut, positional
 
 MIN_SITES = 10
 #: Registers of a sketch, as a power of two, and the estimates that are settled exactly,
@@ -95,15 +95,18 @@ def _cut(docs: DataFrame, min_sites: int, id_col: str, text_col: str, site_col:
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", keep_copies: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines cut from the text, and ``n_lines``, ``n_removed``, which take the place of columns so named."""
-    joined, text, n_lines, n_removed = _cut(docs, min_sites, id_col, text_col, site_col, keep_copies)
-    own = [text.alias(c) if c == text_col else docs[c] for c in docs.columns if c not in ("n_lines", "n_removed")]
-    return joined.select(*own, n_lines.alias("n_lines"), n_removed.alias("n_removed"))
+    rows, (own, body, site) = positional(docs, id_col, text_col, site_col)
+    joined, text, n_lines, n_removed = _cut(rows, min_sites, own, body, site, keep_copies)
+    stay = [(new, old) for new, old in zip(rows.columns, docs.columns, strict=True) if old not in ("n_lines", "n_removed")]
+    return joined.select(*[text if new == body else F.col(new) for new, _ in stay], n_lines, n_removed).toDF(*[old for _, old in stay], "n_lines", "n_removed")
 
 
 def clean(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", size_col: str = "n_chars", keep_copies: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines cut from the text; ``size_col``, if there is one, follows a text that was cut."""
-    joined, text, _, n_removed = _cut(docs, min_sites, id_col, text_col, site_col, keep_copies)
-    follow = {text_col: text}
+    rows, (own, body, site) = positional(docs, id_col, text_col, site_col)
+    joined, text, _, n_removed = _cut(rows, min_sites, own, body, site, keep_copies)
+    follow = {body: text}
     if size_col in docs.columns:
-        follow[size_col] = F.when(n_removed > 0, F.length(text).cast(docs.schema[size_col].dataType)).otherwise(docs[size_col])
-    return joined.select(*[follow.get(c, docs[c]).alias(c) for c in docs.columns])
+        size = f"c{docs.columns.index(size_col)}"
+        follow[size] = F.when(n_removed > 0, F.length(text).cast(rows.schema[size].dataType)).otherwise(F.col(size))
+    return joined.select(*[follow.get(c, F.col(c)) for c in rows.columns]).toDF(*docs.columns)

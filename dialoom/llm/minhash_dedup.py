@@ -30,10 +30,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from dialoom.llm import dealing
 from dialoom.llm.components import components
-from dialoom.llm.session import cut
+from dialoom.llm.session import cut, positional
 from dialoom.llm.text import LOWER, WORD, blocks, flat, mix, spans, windows, word_hashes
 
 SHINGLE, COORDINATES, AGREE, LONG = 5, 64, 34, 2048
@@ -333,7 +334,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+#: Numbers from here on stand for rows that have no number of their own.
+NUMBERED = 1 << 62
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with ``node``: the id where it is a whole number that one text alone has, else a number of 62 bits from id and text.
+
+    Rows that repeat an id and a text have one number; the texts of a repeated or
+    null id, and of ids of other types, have numbers of their own, larger than ids
+    under 2**62.
+    """
+    made = F.xxhash64(id_col, text_col).bitwiseAND(F.lit(NUMBERED - 1)) + F.lit(NUMBERED)
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        return docs.withColumn("node", made)
+    body = F.xxhash64(text_col)
+    several = cut(docs.groupBy(F.col(id_col).alias("of")).agg(F.min(body).alias("least"), F.max(body).alias("most")).filter("of is null or least <> most").select("of"))
+    if several.isEmpty():
+        return docs.withColumn("node", F.col(id_col).cast("long"))
+    # null ids need no partner
+    found = docs.join(several.filter("of is not null"), F.col(id_col) == F.col("of"), "left")
+    return found.withColumn("node", F.when(F.col(id_col).isNull() | F.col("of").isNotNull(), made).otherwise(F.col(id_col).cast("long"))).drop("of")
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents of least id of each group, with their columns."""
-    gone = near_duplicates(docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left_anti").select(*docs.columns)
+    """One document of each group, the one of least ``node``, with its columns, whatever these are called."""
+    rows, (own, text) = positional(docs, id_col, text_col)
+    rows = numbered(rows, own, text)
+    gone = near_duplicates(rows.select("node", text), "node", text).filter("not kept").select(F.col("node").alias("gone")).distinct()
+    return rows.join(gone, F.col("node") == F.col("gone"), "left_anti").drop("node").toDF(*docs.columns)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dialoom.llm.session import cut
+from dialoom.llm.session import cut, positional
 
 #: Vector: log words, log mean word length, symbols a character, repeated lines, words in repeated windows.
 DIMS = 5
@@ -186,7 +186,8 @@ def mahalanobis(rows: DataFrame) -> DataFrame:
     return _squared(rows.join(_small(model), "key", "left")).withColumn("distance", F.sqrt("d2"))
 
 
-def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that pass, with their columns."""
-    verdict = quality(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("__id"), F.col("body").alias("__body")).distinct()
-    return docs.join(verdict, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__body")), "left_semi").select(*docs.columns)
+def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """The documents that pass, with their columns, whatever these are called."""
+    rows, (own, text, lang, source) = positional(docs, id_col, text_col, lang_col, source_col)
+    verdict = quality(rows, own, text, lang, source).filter("kept").select(F.col(own).alias("id"), "body").distinct()
+    return rows.join(verdict, F.col(own).eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("body")), "left_semi").toDF(*docs.columns)

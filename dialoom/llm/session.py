@@ -44,5 +44,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def positional(docs: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with its columns renamed by place (c0, c1, ...), and the new names of ``names``, so that no name of its own can clash with another."""
+    folded = [c.lower() for c in docs.columns]
+    places = [docs.columns.index(n) if n in docs.columns else folded.index(n.lower()) for n in names]
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))]), [f"c{k}" for k in places]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -204,8 +204,8 @@ def repeated_passages(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id
         keep = np.repeat(stay, room)
         keep[starts[1:][last] - 1] = False
         left = np.append(0, np.cumsum(keep))[starts[own.units]]
-        kept = pa.Array.from_buffers(pa.large_binary(), len(raw), [None, pa.py_buffer(left.astype(np.int64).tobytes()), pa.py_buffer(own.data[keep].tobytes())])
-        parts = [kept.slice(lo, hi - lo).cast(pa.binary()).cast(pa.string()) for lo, hi in blocks(left, 1 << 30)]
+        kept = pa.Array.from_buffers(pa.large_string(), len(raw), [None, pa.py_buffer(left.astype(np.int64).tobytes()), pa.py_buffer(own.data[keep].tobytes())])
+        parts = [kept.slice(lo, hi - lo).cast(pa.string()) for lo, hi in blocks(left, 1 << 30)]
         return {"n_words": pa.array(np.diff(own.units), pa.int64()), "removed": spans_of(gone, own.units), "kept": pa.chunked_array(parts, pa.string())}
 
     return repeated(
