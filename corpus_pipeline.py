@@ -8,9 +8,10 @@ Cases, besides those of the operators: a null or empty text fails the quality
 rules and goes there; what a later stage leaves empty stays, with no words, no
 links and no ids; a null id is an id like others; very long texts are worked on
 whole; rows that repeat an id and a text share their fate, and rows that repeat
-an id alone are one document to the near-duplicate stage and several to the
-others; ties are settled by the smallest id; columns besides those of
-``documents`` pass through whatever their names; an empty table stays empty.
+an id alone are several documents, each with its own; ties are settled by the
+smallest id (among texts of one id, or without one, by a hash of the text);
+columns besides those of ``documents`` pass through whatever their names; an
+empty table stays empty.
 """
 
 from __future__ import annotations
