@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dialoom.operators import legacy
 from dialoom.operators import sections as ops
 from dialoom.plans.base import query
 from dialoom.plans.machines_sql import RECURSIVE
@@ -123,3 +124,61 @@ def sections_from_source(spark: SparkSession, d: str) -> DataFrame:
     """Sentences of every section from the source by its speaker sets, minor speakers left out."""
     sec, sets, seg = _sets(spark, d)
     return ops.from_source(sec, sets, seg).select("file_id", "idx", F.posexplode("sentences").alias("pos", "s")).select("file_id", "idx", "pos", "s.*")
+
+
+# Older shapes: every file as one record, in five spellings; the SQL states what each amounts to.
+
+OLD_KIND = "CASE file_id % 3 WHEN 0 THEN 'call' ELSE 'opening' END"
+
+
+def _old_records(spark: SparkSession, d: str) -> DataFrame:
+    seg = segments(spark, d)
+    n, s, e = F.col("start_s"), F.col("speaker"), F.col("end_s")
+    clock = lambda x: F.format_string("%02d:%02d:%02d", F.floor(x / 3600), F.floor(x / 60) % 60, F.floor(x) % 60)
+    shapes = [
+        F.struct(s.alias("speaker_id"), n.alias("start"), e.alias("end"), F.col("text")), F.struct(s.alias("speaker"), clock(n).alias("start_time"), clock(e).alias("end_time"), F.col("text")),
+        F.struct((s == "SPEAKER_02").alias("is_host"), n.alias("start"), F.col("text")), F.struct(F.lit("x").alias("speaker"), s.alias("name"), n.alias("start"), e.alias("end"), F.col("text")),
+        F.struct(F.when(s == "UNKNOWN", "Guest 7").when(s == "SPEAKER_03", "hosting").otherwise(s).alias("role"), n.alias("start"), e.alias("end"), F.col("text")),
+    ]
+    made = []
+    for k, shape in enumerate(shapes):
+        rows = seg.filter(f"file_id % 5 = {k}").groupBy("file_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("seg_idx", shape.alias("x")))), lambda r: r.x).alias("rows"))
+        whole = [
+            F.struct(F.col("rows").alias("sentences"), F.struct(F.lit(7).alias("start")).alias("meta")),
+            F.struct(F.col("rows").alias("segments"), F.struct(F.lit("Host of it").alias("SPEAKER_00"), F.lit("GUEST").alias("SPEAKER_01"), F.lit("?").alias("SPEAKER_02")).alias("speaker_mapping"), F.struct(F.lit("00:00:03").alias("start"), F.lit("20:00:00").alias("end")).alias("time_range")),
+            F.struct(F.struct(F.col("rows").alias("turns"), F.lit("0:50").alias("original_start"), F.lit(3).alias("segment_count")).alias("meta")),
+            F.struct(F.col("rows").alias("utterances"), F.array(F.lit("SPEAKER_01")).alias("hosts"), F.array(F.lit("SPEAKER_02"), F.lit("UNKNOWN")).alias("guests")),
+            F.struct(F.col("rows").alias("raw_turns"), F.lit(100).alias("original_start"), F.lit("SPEAKER_02").alias("main_speaker")),
+        ][k]
+        made.append(rows.select("file_id", F.expr(OLD_KIND).alias("kind"), F.to_json(whole).alias("raw")))
+    out = made[0]
+    for more in made[1:]:
+        out = out.unionByName(more)
+    return legacy.formal(out, "raw", "kind")
+
+
+OLD_SQL = f"""{RECURSIVE}, k AS (SELECT *, {OLD_KIND} AS kind, CASE file_id % 5 WHEN 2 THEN 50 WHEN 4 THEN 100 ELSE 0 END AS off FROM seg),
+t AS (SELECT *, start_s + CASE WHEN start_s < off THEN off ELSE 0 END AS a, CASE WHEN file_id % 5 = 2 THEN start_s ELSE end_s END + CASE WHEN start_s < off THEN off ELSE 0 END AS b,
+  CASE file_id % 5 WHEN 0 THEN false WHEN 1 THEN CASE speaker WHEN 'SPEAKER_00' THEN true WHEN 'SPEAKER_01' THEN false END WHEN 2 THEN speaker = 'SPEAKER_02'
+    WHEN 3 THEN CASE speaker WHEN 'SPEAKER_01' THEN true WHEN 'SPEAKER_02' THEN false WHEN 'UNKNOWN' THEN false END
+    ELSE CASE speaker WHEN 'SPEAKER_02' THEN true WHEN 'UNKNOWN' THEN false WHEN 'SPEAKER_03' THEN true END END AS told FROM k),
+s AS (SELECT *, CASE WHEN file_id % 5 = 0 THEN kind <> 'call' ELSE coalesce(told, kind <> 'call') END AS host FROM t),
+o AS (SELECT *, CASE WHEN host THEN 'host' ELSE 'guest' END AS speaker_id, row_number() OVER (PARTITION BY file_id ORDER BY a, greatest(a, b), CASE WHEN host THEN 'host' ELSE 'guest' END, seg_idx) - 1 AS pos FROM s)
+"""
+
+
+@query(OLD_SQL + """SELECT file_id, CAST(pos AS INT) AS pos, speaker_id, CASE WHEN host THEN 'Host' ELSE 'Guest' END AS speaker_name, a AS start, greatest(a, b) AS "end", text FROM o""")
+def formal_sentences_of_old(spark: SparkSession, d: str) -> DataFrame:
+    """The sentences of records of older shapes."""
+    # an inner explode would infer a filter that repeats the whole record's expression below each step
+    return _old_records(spark, d).select("file_id", F.posexplode_outer("formal.sentences").alias("pos", "s")).filter("pos is not null").select("file_id", "pos", "s.*")
+
+
+@query(OLD_SQL + """, g AS (SELECT file_id, any_value(kind) AS kind, count(*) AS n, arg_min(a, pos) AS first, arg_max(greatest(a, b), pos) AS last, max(greatest(a, b)) AS most FROM o GROUP BY 1),
+h AS (SELECT *, CASE file_id % 5 WHEN 0 THEN least(7.0, first) WHEN 1 THEN least(3.0, first) WHEN 2 THEN least(50.0, first) WHEN 4 THEN least(100.0, first) ELSE first END AS a, CASE file_id % 5 WHEN 1 THEN greatest(72000.0, last) ELSE greatest(most, last) END AS b FROM g)
+SELECT file_id, kind, a AS start, greatest(a, b) AS "end", CASE file_id % 5 WHEN 2 THEN 3 ELSE n END AS raw_segment_count, CASE kind WHEN 'call' THEN 'host,guest' ELSE 'host' END AS speaker_ids, n AS sentence_count,
+'repair: from ' || CASE file_id % 5 WHEN 0 THEN 'sentences' WHEN 1 THEN 'segments' WHEN 2 THEN 'turns' WHEN 3 THEN 'utterances' ELSE 'raw_turns' END || ' of an older shape' AS notes FROM h""")
+def formal_meta_of_old(spark: SparkSession, d: str) -> DataFrame:
+    """What records of older shapes say of themselves once they are formal."""
+    fields = ["kind", "start", "end", "raw_segment_count", "sentence_count", "notes"]
+    return _old_records(spark, d).select("file_id", F.array_join("formal.speaker_ids", ",").alias("speaker_ids"), *[f"formal.{c}" for c in fields])
