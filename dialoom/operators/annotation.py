@@ -118,7 +118,7 @@ def issues(lines: DataFrame, lead: str = "lead", schemas: dict[str, dict] | None
     if schemas:
         judged = validation.validated(judged, "raw", schemas)
         found.append(F.transform("schema_issues", lambda x: F.struct(F.lit("error").alias("severity"), F.lit("schema_validation_error").alias("code"), x.path.alias("path"))))
-    own = judged.select("file", "line", F.explode(F.concat(*found)).alias("i")).select("file", "line", "i.severity", "i.code", "i.path")
+    own = judged.select("file", "line", qc.outer(F.concat(*found))).filter("i is not null").select("file", "line", "i.severity", "i.code", "i.path")
     return load.unionByName(own.select(columns))
 
 

@@ -59,6 +59,15 @@ def status_of(issues: Column, applicable: Column | None = None) -> Column:
     return out if applicable is None else F.when(applicable, out).otherwise("skip")
 
 
+def outer(issues: Column | str) -> Column:
+    """A row for each issue, as ``i``, and one of null where there is none, to be filtered.
+
+    An inner explode makes the optimizer filter by the size of the list first, which
+    works out the whole list twice, and once more below each step it passes.
+    """
+    return F.explode_outer(issues).alias("i")
+
+
 def exploded(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys, F.explode("issues").alias("i")).select(*keys, "i.severity", "i.code", "i.path")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("sequences", "chat", "intervals", "aggregates", "quality_checks", "evaluation", "machines", "speakers", "streams", "entities", "annotations", "reports", "texts", "exports", "voices", "repairs", "sections", "voice_chain")
+AREAS = ("sequences", "chat", "intervals", "aggregates", "quality_checks", "evaluation", "machines", "speakers", "streams", "entities", "annotations", "reports", "texts", "exports", "voices", "repairs", "sections", "voice_chain", "formal_qc")
 
 
 def load() -> tuple[dict, dict]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dialoom.operators import annotation, validation
+from dialoom.operators import annotation, qc, validation
 from dialoom.plans.base import query
 from dialoom.sources.tables import table
 
@@ -137,7 +137,7 @@ def schema_issues(spark: SparkSession, d: str) -> DataFrame:
     ))
     rows = validation.validated(table(spark, d, "documents").select("doc_id", raw.alias("raw")), "raw", {"document": SCHEMA, "page": SCHEMA}, "kind")
     at = F.concat("i.path", F.when(F.col("i.keyword") == "required", F.concat(F.lit("."), "i.detail")).otherwise(""), F.lit(": "), "i.keyword")
-    return rows.select("doc_id", F.explode("schema_issues").alias("i")).select("doc_id", at.alias("path"))
+    return rows.select("doc_id", qc.outer("schema_issues")).filter("i is not null").select("doc_id", at.alias("path"))
 
 
 #: A record with a list of nested turns; formats are not asserted, as validators do by default.
@@ -182,7 +182,7 @@ def record_schema_issues(spark: SparkSession, d: str) -> DataFrame:
     raw = F.regexp_replace(F.to_json(told), '"start":"1"', '"start":1.5')
     raw = F.when(c % 6 == 5, F.regexp_replace(raw, r'"id":"(\d+)"', '"id":$1')).otherwise(raw)
     found = validation.validated(r.select("conv_id", raw.alias("raw")), "raw", {"talk": RECORD_SCHEMA})
-    return found.select("conv_id", F.explode("schema_issues").alias("i")).select("conv_id", "i.path", "i.keyword", "i.detail")
+    return found.select("conv_id", qc.outer("schema_issues")).filter("i is not null").select("conv_id", "i.path", "i.keyword", "i.detail")
 
 
 @query("""WITH m AS (SELECT conv_id, count(*) AS n, min(turn) AS a, max(turn) AS b, count(*) FILTER (WHERE role = 'assistant') AS h FROM conversations GROUP BY conv_id)
