@@ -6,7 +6,7 @@ trace parts are JSON text, as they are stored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MESSAGES = "array<struct<role:string,content:string>>"
@@ -97,3 +97,61 @@ def live_trace(source: Column, status: Column, request: Column, response: Column
         num(trim, "$.finalEstimatedPromptTokens").alias("prompt_tokens"), num(response, "$.generated_tokens").alias("generated_tokens"), num(response, "$.latency_ms").alias("latency_ms"),
         F.nullif(F.coalesce(output, F.get_json_object(response, "$.output_text")), F.lit("")).alias("output_text"), F.nullif(F.get_json_object(response, "$.trace_path"), F.lit("")).alias("artifact_path"),
     )
+
+
+# Whole records, as reviewers' tools read them
+
+CASE = (
+    "id", "source_type", "source_id", "case_id", "model_deployment_id", "eval_run_id", "live_session_id", "live_turn_id", "source_slice", "slice", "failure_tags_json", "topic_primary", "difficulty", "reply_type", "notes",
+    "runtime_signature", "trace", "source_path", "trace_path", "annotator_id", "reviewer_id", "created_at",
+)
+
+
+def _source(of: Column) -> Column:
+    """Where a record is from; ``of`` is the source's id, the case's where it has none."""
+    signed = lambda name: given(F.get_json_object("runtime_signature", f"$.{name}")).alias(name)
+    return F.struct(
+        F.col("source_type"), of.alias("source_id"), given(F.col("model_deployment_id")).alias("model_id"), given(F.col("model_deployment_id")).alias("deployment_id"), given(F.col("eval_run_id")).alias("run_id"),
+        given(F.col("live_session_id")).alias("live_session_id"), given(F.col("live_turn_id")).alias("live_turn_id"), given(F.col("case_id")).alias("case_id"),
+        first_given(F.col("source_slice"), F.col("slice")).alias("slice"), signed("prompt_version"), signed("context_builder_version"), signed("generation_config_version"),
+    )
+
+
+def _measure(*names: str) -> Column:
+    """The first of the trace's numbers that is there; 0 where it is none."""
+    x = F.coalesce(*[F.get_json_object("trace", f"$.{n}") for n in names])
+    return F.coalesce(x.try_cast("double"), F.lit(0.0))
+
+
+def whole_records(cases: DataFrame, messages_col: str, output: str, target: str) -> DataFrame:
+    """``cases`` with ``sft`` and ``pair``: the training candidate and the preference pair of each, nested as their readers expect.
+
+    cases: CASE, ``messages_col`` (array of role and content), ``output`` (what the
+    model said) and ``target`` (what a person wrote).  Blank fields are null; tags
+    that are no JSON list are none; a record without an id takes the source's, or
+    the word case, with a suffix.
+    """
+    of = F.coalesce(given(F.col("source_id")), given(F.col("case_id")))
+    own = lambda suffix: F.coalesce(given(F.col("id")), F.concat(F.coalesce(of, F.lit("case")), F.lit(suffix)))
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    people = [F.col(c) for c in ("annotator_id", "reviewer_id")]
+    paths = [F.nullif(F.col(c), F.lit("")).alias(c) for c in ("source_path", "trace_path")]
+    tail = [*[F.nullif(c, F.lit("")).alias(n) for c, n in zip(people, ("annotator_id", "reviewer_id"), strict=True)], F.col("created_at"), given(F.col("notes")).alias("notes")]
+    sft = F.struct(
+        F.lit("sft_candidate").alias("record_type"), F.lit(VERSION).alias("version"), own("_sft").alias("candidate_id"), _source(of).alias("source"), F.col(messages_col).alias("input_messages"),
+        text(output).alias("model_output"), text(target).alias("edited_target"),
+        F.struct(failure_tags(F.col("failure_tags_json")).alias("failure_tags"), *[given(F.col(c)).alias(c) for c in ("topic_primary", "difficulty", "reply_type")]).alias("labels"),
+        F.struct(*paths, _measure("promptTokens", "estimatedPromptTokens").cast("long").alias("prompt_tokens"), _measure("generatedTokens").cast("long").alias("generated_tokens"), _measure("totalLatencyMs", "firstTokenLatencyMs").alias("latency_ms"), *tail).alias("metadata"),
+    )
+    side = lambda name, by, c: F.struct(F.lit(name).alias("candidate_id"), F.lit(by).alias("provenance"), text(c).alias("text"))
+    judged = F.struct(F.lit("chosen").alias("winner"), F.lit("medium").alias("preference_strength"), F.array().cast("array<string>").alias("reason_tags"), F.create_map().cast("map<string,double>").alias("scores"))
+    pair = F.struct(
+        F.lit("preference_pair_candidate").alias("record_type"), F.lit(VERSION).alias("version"), own("_pair").alias("pair_id"), _source(of).alias("source"), F.col(messages_col).alias("context_messages"),
+        side("cand_a", "human", target).alias("chosen"), side("cand_b", "model", output).alias("rejected"), judged.alias("judgement"), F.struct(*paths, *tail).alias("metadata"),
+    )
+    return cases.withColumns({"sft": sft, "pair": pair})
+
+
+def as_line(record: str) -> Column:
+    """A record as a line of JSON, null fields included."""
+    return F.to_json(record, {"ignoreNullFields": "false"})

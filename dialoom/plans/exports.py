@@ -118,3 +118,45 @@ def patch_revert_status(spark: SparkSession, d: str) -> DataFrame:
     before, after = F.when(i == 0, now).when(i == 1, "before").otherwise("b"), F.when(i == 1, now).otherwise("after")
     out = F.when(now.isNull(), "missing").when(now == before, "already_reverted").when(now == after, "revert").otherwise("conflict")
     return p.withColumns({"outcome": out, "before": before}).select("doc_id", "outcome", F.when(F.col("outcome") == "revert", F.col("before")).otherwise(now).alias("text"))
+
+
+#: Documents as bad cases with all that their records tell.
+WHOLE_SQL = """WITH c AS (SELECT doc_id, CASE WHEN doc_id % 13 <> 0 THEN 'b' || doc_id END AS id, CASE WHEN doc_id % 4 = 0 THEN 'live_turn' ELSE 'offline_case' END AS source_type, CASE WHEN doc_id % 5 < 3 THEN 's' || doc_id END AS own, CASE WHEN doc_id % 3 <> 0 THEN 'c' || doc_id % 20 END AS case_id,
+CASE WHEN doc_id % 7 <> 0 THEN 'm' || doc_id % 3 END AS model, CASE WHEN doc_id % 2 = 0 THEN 'r1' END AS run, CASE WHEN doc_id % 4 = 0 THEN 'l' || doc_id END AS turn, CASE WHEN doc_id % 6 = 0 THEN 'deep' WHEN doc_id % 6 = 1 THEN 'flat' END AS slice, CASE WHEN doc_id % 2 = 1 THEN 'p2' END AS prompt, lang, source, n_chars FROM documents),
+s AS (SELECT *, coalesce(own, case_id) AS sid FROM c),
+r AS (SELECT *, struct_pack(source_type := source_type, source_id := sid, model_id := model, deployment_id := model, run_id := run, live_session_id := CAST(NULL AS VARCHAR), live_turn_id := turn, case_id := case_id, slice := slice, prompt_version := prompt, context_builder_version := CASE WHEN doc_id % 2 = 1 THEN 'k' END, generation_config_version := CAST(NULL AS VARCHAR)) AS src,
+CASE WHEN doc_id % 9 = 0 THEN [struct_pack(role := 'user', content := lang)] ELSE [] END AS msgs, CASE WHEN doc_id % 8 = 0 THEN 'a/' || doc_id END AS path, CASE WHEN doc_id % 5 = 0 THEN 'ann' END AS ann FROM s)
+"""
+
+
+def _whole(spark: SparkSession, d: str) -> DataFrame:
+    i = F.col("doc_id")
+    name = lambda p, n=None: F.concat(F.lit(p), (i if n is None else i % n).cast("string"))
+    no = F.lit(None).cast("string")
+    given = {
+        "id": F.when(i % 13 != 0, name("b")).otherwise(" "), "source_type": F.when(i % 4 == 0, "live_turn").otherwise("offline_case"), "source_id": F.when(i % 5 < 3, name(" s")), "case_id": F.when(i % 3 != 0, name("c", 20)).otherwise(""),
+        "model_deployment_id": F.when(i % 7 != 0, name("m", 3)), "eval_run_id": F.when(i % 2 == 0, "r1"), "live_session_id": F.lit(" "), "live_turn_id": F.when(i % 4 == 0, name("l")),
+        "source_slice": F.when(i % 6 == 0, "deep"), "slice": F.when(i % 6 < 2, "flat"), "failure_tags_json": F.when(i % 4 == 0, '["a","","b"]').when(i % 4 == 1, '{"a":1}').when(i % 4 == 2, "["), "topic_primary": F.when(i % 3 == 0, F.col("lang")),
+        "difficulty": F.lit(" hard "), "reply_type": no, "notes": F.when(i % 10 == 0, " seen "), "runtime_signature": F.when(i % 2 == 1, '{"prompt_version":"p2","context_builder_version":" k "}').otherwise("none"),
+        "trace": F.when(i % 3 == 0, F.to_json(F.struct(F.col("n_chars").alias("estimatedPromptTokens"), F.lit("x").alias("generatedTokens"), F.lit(12.7).alias("totalLatencyMs"), F.lit(3).alias("firstTokenLatencyMs")))).when(i % 3 == 1, '{"promptTokens":5,"generatedTokens":"6"}'),
+        "source_path": F.when(i % 8 == 0, name("a/")).otherwise(""), "trace_path": no, "annotator_id": F.when(i % 5 == 0, "ann"), "reviewer_id": F.lit(""), "created_at": F.lit("2024-01-01T00:00:00Z"),
+    }
+    said = ops.messages(F.when(i % 9 == 0, F.to_json(F.array(F.struct(F.lit(" user ").alias("role"), F.col("lang").alias("content"))))))
+    cases = table(spark, d, "documents").select("doc_id", *[v.alias(k) for k, v in given.items()], said.alias("said"), F.col("lang").alias("output"), F.when(i % 11 != 0, F.col("source")).alias("target"))
+    return ops.whole_records(cases, "said", "output", "target")
+
+
+@query(WHOLE_SQL + """SELECT doc_id, CAST(to_json(struct_pack(record_type := 'sft_candidate', version := 'export_v1', candidate_id := coalesce(id, coalesce(sid, 'case') || '_sft'), source := src, input_messages := msgs, model_output := lang, edited_target := CASE WHEN doc_id % 11 <> 0 THEN source ELSE '' END,
+labels := struct_pack(failure_tags := CASE WHEN doc_id % 4 = 0 THEN ['a', 'b'] ELSE [] END, topic_primary := CASE WHEN doc_id % 3 = 0 THEN lang END, difficulty := 'hard', reply_type := CAST(NULL AS VARCHAR)),
+metadata := struct_pack(source_path := path, trace_path := CAST(NULL AS VARCHAR), prompt_tokens := CASE doc_id % 3 WHEN 0 THEN n_chars WHEN 1 THEN 5 ELSE 0 END, generated_tokens := CASE doc_id % 3 WHEN 1 THEN 6 ELSE 0 END, latency_ms := CASE doc_id % 3 WHEN 0 THEN 12.7::DOUBLE ELSE 0.0::DOUBLE END, annotator_id := ann, reviewer_id := CAST(NULL AS VARCHAR), created_at := '2024-01-01T00:00:00Z', notes := CASE WHEN doc_id % 10 = 0 THEN 'seen' END))) AS VARCHAR) AS record FROM r""")
+def sft_export_records(spark: SparkSession, d: str) -> DataFrame:
+    """Training candidates in full, null fields included."""
+    return _whole(spark, d).select("doc_id", ops.as_line("sft").alias("record"))
+
+
+@query(WHOLE_SQL + """SELECT doc_id, CAST(to_json(struct_pack(record_type := 'preference_pair_candidate', version := 'export_v1', pair_id := coalesce(id, coalesce(sid, 'case') || '_pair'), source := src, context_messages := msgs,
+chosen := struct_pack(candidate_id := 'cand_a', provenance := 'human', text := CASE WHEN doc_id % 11 <> 0 THEN source ELSE '' END), rejected := struct_pack(candidate_id := 'cand_b', provenance := 'model', text := lang), judgement := struct_pack(winner := 'chosen', preference_strength := 'medium', reason_tags := CAST([] AS VARCHAR[]), scores := MAP {}),
+metadata := struct_pack(source_path := path, trace_path := CAST(NULL AS VARCHAR), annotator_id := ann, reviewer_id := CAST(NULL AS VARCHAR), created_at := '2024-01-01T00:00:00Z', notes := CASE WHEN doc_id % 10 = 0 THEN 'seen' END))) AS VARCHAR) AS record FROM r""")
+def pair_export_records(spark: SparkSession, d: str) -> DataFrame:
+    """Preference pairs in full, null fields included."""
+    return _whole(spark, d).select("doc_id", ops.as_line("pair").alias("record"))
