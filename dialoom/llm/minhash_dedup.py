@@ -338,28 +338,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 NUMBERED = 1 << 62
 
 
-def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with ``node``: the id where it is a whole number that one text alone has, else a number of 62 bits from id and text.
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+    """``docs`` with ``node``, and whether some nodes are not ids.
 
-    Rows that repeat an id and a text have one number; the texts of a repeated or
-    null id, and of ids of other types, have numbers of their own, larger than ids
-    under 2**62.
+    A node is the id where that is a whole number with one text, else a number of
+    62 bits from id and text: the texts of a repeated or null id, and of ids of
+    other types, are documents of their own.  Rows that repeat an id and a text
+    have one node.
     """
     made = F.xxhash64(id_col, text_col).bitwiseAND(F.lit(NUMBERED - 1)) + F.lit(NUMBERED)
     if not isinstance(docs.schema[id_col].dataType, IntegralType):
-        return docs.withColumn("node", made)
+        return docs.withColumn("node", made), True
     body = F.xxhash64(text_col)
     several = cut(docs.groupBy(F.col(id_col).alias("of")).agg(F.min(body).alias("least"), F.max(body).alias("most")).filter("of is null or least <> most").select("of"))
     if several.isEmpty():
-        return docs.withColumn("node", F.col(id_col).cast("long"))
+        return docs.withColumn("node", F.col(id_col).cast("long")), False
     # null ids need no partner
     found = docs.join(several.filter("of is not null"), F.col(id_col) == F.col("of"), "left")
-    return found.withColumn("node", F.when(F.col(id_col).isNull() | F.col("of").isNotNull(), made).otherwise(F.col(id_col).cast("long"))).drop("of")
+    return found.withColumn("node", F.when(F.col(id_col).isNull() | F.col("of").isNotNull(), made).otherwise(F.col(id_col).cast("long"))).drop("of"), True
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group, the one of least ``node``, with its columns, whatever these are called."""
+    """One document of each group with its columns, whatever these are called: the one of least id (null is the least), of one id's texts that of least hash."""
     rows, (own, text) = positional(docs, id_col, text_col)
-    rows = numbered(rows, own, text)
-    gone = near_duplicates(rows.select("node", text), "node", text).filter("not kept").select(F.col("node").alias("gone")).distinct()
+    rows, apart = numbered(rows, own, text)
+    found = near_duplicates(rows.select("node", text), "node", text)
+    if apart:
+        told = rows.select("node", F.col(own).alias("id"), F.xxhash64(text).alias("body")).distinct()
+        groups = cut(found.select("node", "component_id").distinct().join(told, "node"))
+        first = groups.groupBy("component_id").agg(F.min(F.struct("id", "body", "node")).alias("first")).select(F.col("first.node").alias("node"))
+        gone = groups.join(first, "node", "left_anti").select(F.col("node").alias("gone"))
+    else:
+        gone = found.filter("not kept").select(F.col("node").alias("gone")).distinct()
     return rows.join(gone, F.col("node") == F.col("gone"), "left_anti").drop("node").toDF(*docs.columns)
