@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.llm.session import cut
+from dialoom.llm.session import cut, release
 
 MOST_ROUNDS = 60
 
@@ -34,6 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
             break
         mark = tuple(row)
         now = cut(_stars(now))
+        release(now.sparkSession)
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))

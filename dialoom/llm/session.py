@@ -32,6 +32,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver collect garbage, so that Spark's cleaner drops shuffles and checkpoints of rounds that nothing holds any more."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back."""
     spark = df.sparkSession
