@@ -95,3 +95,13 @@ def two_means_by_similarity(spark: SparkSession, d: str) -> DataFrame:
         return pd.DataFrame({"label": pdf.label.astype("int64"), "vec_id": pdf.vec_id, "side": labels if labels is not None else np.zeros(len(pdf), int)})
 
     return table(spark, d, "embeddings").groupBy("label").applyInPandas(run, "label long, vec_id long, side long")
+
+
+@query("""WITH u AS (SELECT label, vec_id % 4 AS part, CAST(vec_id % 9 AS DOUBLE) / 2 AS sec, unnest(CAST(embedding AS DOUBLE[])) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings)
+SELECT label, part, CAST(i - 1 AS INT) AS dim, floor(sum(sec * v) / sum(sec) * 1e6 + 0.5) / 1e6 AS mean, sum(sec) AS weight FROM u WHERE sec >= 1 GROUP BY 1, 2, 3""")
+def duration_weighted_means(spark: SparkSession, d: str) -> DataFrame:
+    """The mean of each speaker's vectors, longer speech counting more and what is under a second not at all."""
+    e, i = table(spark, d, "embeddings"), F.col("vec_id")
+    rows = e.select("label", (i % 4).alias("part"), ((i % 9) / 2).alias("sec"), "embedding")
+    means = v.weighted_means(rows, ["label", "part"], "embedding", "sec")
+    return means.select("label", "part", F.posexplode("mean").alias("dim", "mean"), "weight").withColumn("mean", F.floor(F.col("mean") * 1e6 + 0.5) / 1e6)

@@ -95,3 +95,11 @@ def test_votes_and_overrides(spark):
     assert rows[1, 0].speaker == "host" and rows[1, 1].speaker == "guest" and rows[1, 2].confidence == 0.7 and rows[1, 0].changed and not rows[4, 0].changed
     # one window decides only far from the middle
     assert rows[1, 3].confidence != 0.7 and rows[1, 4].confidence == 0.7 and len(rows) == 40
+
+
+def test_weighted_means(spark):
+    from dialoom.functions.vectors import weighted_means
+
+    rows = [("a", [1.0, 0.0], 1.0), ("a", [0.0, 4.0], 3.0), ("a", [9.0, 9.0], 0.9), ("b", [2.0, 2.0], 0.5), ("c", [1.0, -1.0], 2.0)]
+    got = {r.k: (r.mean, r.weight) for r in weighted_means(spark.createDataFrame(rows, "k string, v array<double>, sec double"), ["k"], "v", "sec").collect()}
+    assert got == {"a": ([0.25, 3.0], 4.0), "c": ([1.0, -1.0], 2.0)}
