@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.operators import exports as ops
+from dialoom.operators import ingest
 from dialoom.plans.base import query
 from dialoom.sources.tables import table
 
@@ -160,3 +161,21 @@ metadata := struct_pack(source_path := path, trace_path := CAST(NULL AS VARCHAR)
 def pair_export_records(spark: SparkSession, d: str) -> DataFrame:
     """Preference pairs in full, null fields included."""
     return _whole(spark, d).select("doc_id", ops.as_line("pair").alias("record"))
+
+
+@query("""SELECT doc_id AS case_id, CASE WHEN t = 0 THEN '{"prompt_version":"t"}' ELSE CASE WHEN doc_id % 2 = 0 THEN '{"prompt_version":"r"}' END END AS runtime_signature, CASE WHEN t < 2 THEN '[]' ELSE '[{"role":"user"}]' END AS messages, CASE WHEN t = 0 THEN '{"top_p":0.5}' ELSE '{"top_k":1}' END AS generation,
+CASE WHEN t = 1 THEN '{"n":1}' END AS trace_meta, CASE WHEN t = 0 THEN 'traced' WHEN doc_id % 3 = 0 THEN lang WHEN doc_id % 3 = 1 THEN '' ELSE lang END AS output_text,
+CASE WHEN t = 0 THEN '{"clean_output_text":"traced"}' WHEN t = 1 THEN '{"clean_output_text":""}' ELSE '{"raw_output_text":"' || CASE WHEN doc_id % 3 = 1 THEN '' ELSE lang END || '","clean_output_text":"' || CASE WHEN doc_id % 3 = 0 THEN lang ELSE '' END || '","generated_tokens":2,"prompt_tokens":' || n_chars || ',"latency_ms":null}' END AS raw_output_json,
+CASE WHEN t = 0 THEN 0 ELSE n_chars END AS prompt_tokens, CAST(2 AS BIGINT) AS generated_tokens, CASE WHEN t = 1 THEN 7 END AS latency_ms, CASE WHEN t = 1 THEN 'a/b' WHEN doc_id % 2 = 1 THEN source END AS trace_path, t > 1 AS missing_trace
+FROM (SELECT *, doc_id % 5 AS t FROM documents)""")
+def traced_records(spark: SparkSession, d: str) -> DataFrame:
+    """Records of a run with their traces: full, with holes, broken, of another type, or missing."""
+    i = F.col("doc_id")
+    docs = table(spark, d, "documents")
+    records = docs.select(
+        i.alias("case_id"), F.when(i % 2 == 0, '{"prompt_version":"r"}').alias("runtime_signature"), F.lit('[{"role":"user"}]').alias("messages"), F.lit('{"top_k":1}').alias("generation"), F.when(i % 3 == 0, F.col("lang")).otherwise("").alias("clean_output"),
+        F.when(i % 3 == 1, "").otherwise(F.col("lang")).alias("raw_output"), F.col("n_chars").cast("long").alias("prompt_tokens"), F.lit(2).cast("long").alias("generated_tokens"), F.lit(None).cast("long").alias("latency_ms"), F.when(i % 2 == 1, F.col("source")).otherwise("").alias("trace_path"))
+    full = '{"runtime_signature":{"prompt_version":"t"},"request":{"messages":[],"generation":{"top_p":0.5},"trace_meta":[]},"response":{"clean_output_text":"traced"},"metrics":{"prompt_tokens":0,"generated_tokens":2.5,"latency_ms":"9"},"artifacts":{"trace_path":""}}'
+    holes = '{"runtime_signature":"none","request":{"messages":[],"generation":3,"trace_meta":{"n":1}},"response":{"clean_output_text":""},"metrics":{"latency_ms":7},"artifacts":{"trace_path":"a/b"}}'
+    traces = docs.filter(i % 5 < 4).select(i.alias("case_id"), F.when(i % 5 == 0, full).when(i % 5 == 1, holes).when(i % 5 == 2, "{").otherwise("[1]").alias("trace"))
+    return ingest.with_traces(records, traces)
