@@ -11,7 +11,6 @@ from dialoom.operators import qc
 from dialoom.plans.base import query
 from dialoom.sources.tables import SEGMENTS_SQL, segments
 
-W_SECTION = W.partitionBy("file_id", "k")
 FILES_SQL = SEGMENTS_SQL + """, x AS (SELECT file_id, seg_idx, CASE WHEN event_id % 17 = 0 THEN end_s + 1 ELSE start_s END AS s, end_s AS e, CASE WHEN event_id % 13 = 0 THEN ' ' ELSE text END AS text, event_id % 19 = 0 AS odd FROM seg),
 f AS (SELECT file_id, count(*) AS n, min(start_s) AS a, max(end_s) AS b FROM seg GROUP BY 1),
 m AS (SELECT file_id, n, CASE WHEN file_id % 4 = 1 THEN b + 5 WHEN file_id % 4 = 2 THEN a + 1 ELSE a END AS a, CASE WHEN file_id % 6 = 3 THEN b - 2 ELSE b END AS b FROM f),
@@ -65,7 +64,7 @@ def rejected_sections(spark: SparkSession, d: str) -> DataFrame:
     i, by = F.col("event_id"), ["file_id", "k"]
     who = F.when(F.col("speaker") == "SPEAKER_00", "host").when(i % 29 == 0, "other").when(i % 7 != 0, "guest")
     seg = segments(spark, d).withColumn("k", F.floor(F.col("start_s") / 300))
-    first = F.min("seg_idx").over(W_SECTION)
+    first = F.min("seg_idx").over(W.partitionBy(*by))
     rows = seg.select(*by, (F.col("seg_idx") - first).alias("pos"), who.alias("speaker_id"), F.col("start_s").alias("start"), F.col("end_s").alias("end"), F.when(i % 8 == 0, "").otherwise(F.col("text")).alias("text"))
     sections = seg.select(*by).distinct().unionByName(seg.select("file_id", F.lit(-1).cast("long").alias("k")).distinct())
     out = ops.rejected(sections, rows, by)
