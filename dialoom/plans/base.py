@@ -12,7 +12,7 @@ SQL: dict[str, str] = {}
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Enters a query under its function's name; without SQL, tests hold it against plain Python."""
+    """Enters a query under its function's name, with the SQL that gives the same rows."""
 
     def enter(f: Query) -> Query:
         QUERIES[f.__name__] = f
