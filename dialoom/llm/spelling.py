@@ -47,6 +47,8 @@ LEAST_LETTERS, LEAST_COUNT, TIMES = 7, 2, 10
 LARGEST, SALTS = 256, 16
 #: Rows of a block compared with all of it at a time, so a task holds ROWS x block x open positions bytes.
 ROWS = 64
+#: Comes after every word of a block.
+NONE = np.iinfo(np.int64).max
 FOUND = "word string, n long, n_near long, form_n long, form string"
 
 
@@ -99,9 +101,8 @@ def _open(words: list[str], lo: int, width: int) -> np.ndarray:
 
 
 def _prefer(near: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How many of each row's columns are near, and the one that comes first in ``order`` (or the number of columns)."""
-    rank = np.where(near, order[None, :], len(order))
-    return near.sum(1), rank.min(1, initial=len(order))
+    """How many of each row's columns are near, and the least of their places in ``order`` (``NONE`` without any)."""
+    return near.sum(1), np.where(near, order[None, :], NONE).min(1, initial=NONE)
 
 
 def _verified(words: list[str], n: list[int], m: int, lo: int, hi: int) -> Iterator[tuple[str, int, int, int, str]]:
@@ -113,13 +114,12 @@ def _verified(words: list[str], n: list[int], m: int, lo: int, hi: int) -> Itera
     short, long = np.flatnonzero(size == m), np.flatnonzero(size > m)
     a = _open([words[i] for i in short], lo, width)
     b = _open([words[i] for i in long], lo, width + 1)
-    count, best = np.zeros(len(words), np.int64), np.full(len(words), len(words), np.int64)
+    count, best = np.zeros(len(words), np.int64), np.full(len(words), NONE, np.int64)
 
     def add(rows: np.ndarray, near: np.ndarray, columns: np.ndarray) -> None:
         k, first = _prefer(near, order[columns])
         count[rows] += k
-        hit = k > 0
-        best[rows[hit]] = np.minimum(best[rows[hit]], first[hit])
+        best[rows] = np.minimum(best[rows], first)
 
     for at in range(0, len(short), ROWS):
         some, rows = a[at : at + ROWS], short[at : at + ROWS]
@@ -131,9 +131,7 @@ def _verified(words: list[str], n: list[int], m: int, lo: int, hi: int) -> Itera
             right = np.cumprod((some[:, None, :] == b[None, :, 1:])[:, :, ::-1], axis=2, dtype=np.int32).sum(2)
             near = (left + right >= width) & ((left < width) | (hi == m))
             add(rows, near, long)
-            k, first = near.sum(0), np.where(near, order[rows][:, None], len(words)).min(0, initial=len(words))
-            count[long] += k
-            best[long[k > 0]] = np.minimum(best[long[k > 0]], first[k > 0])
+            add(long, near.T, rows)
     for i in np.flatnonzero(count):
         form = place[best[i]]
         yield words[i], n[i], int(count[i]), n[form], words[form]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -68,6 +69,24 @@ def test_variants_of_planted_words(spark, largest):
     same(got, want)
 
 
+def crowded():
+    """Blocks of few words of one length and many commoner ones of the other, so that a near word comes late among the block's words."""
+    say = {"trifled": 2, "trifles": 25, "grounde": 2, "grounded": 20}
+    say |= {f"tri{a}edal": 60 + k for k, a in enumerate("bcdefghjk")} | {f"gro{a}dal": 60 + k for k, a in enumerate("bcdefghjk")}
+    return [(2000 + k, " ".join([w] * n)) for k, (w, n) in enumerate(say.items())]
+
+
+@pytest.mark.parametrize("largest", [3, 256])
+def test_forms_in_crowded_blocks(spark, largest):
+    want = list(plain_variants(crowded()))
+    assert {w[0]: w[1] for w in want if w[3] == 2} == {"trifled": "trifles", "grounde": "grounded"}
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(7, 9))) for _ in range(300)]
+    many = [(k, " ".join(rng.choice(words[: 20 if k % 3 else 300]) for _ in range(50))) for k in range(100)]
+    for rows in (crowded(), many):
+        same(spelling.variants(table(spark, rows), largest=largest).select(*COLUMNS).collect(), plain_variants(rows))
+
+
 def test_variants_of_documents(spark, data, docs, rows, empty):
     table_rows = [tuple(r) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()]
     same(registry.op11_spelling_variants(spark, data).select(*COLUMNS).collect(), plain_variants(table_rows))
