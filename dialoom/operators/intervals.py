@@ -103,7 +103,8 @@ def nearest_bound(left: DataFrame, right: DataFrame, key: str, left_id: str, rig
 def dominant_or_nearest(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str, who: str = "speaker") -> DataFrame:
     """``who`` of the most overlap in all with each row of ``left``, of equals the first met; where nothing overlaps, of the nearest bound."""
     spans = right.select(key, right_id, F.col("start_s").alias("rs"), F.col("end_s").alias("re"), who)
-    own = left.select(key, left_id, F.col("start_s").alias("ls"), F.col("end_s").alias("le"))
+    # rows of left may be exploded from few, which Spark takes for their size and would broadcast
+    own = left.select(key, left_id, F.col("start_s").alias("ls"), F.col("end_s").alias("le")).hint("merge")
     pairs = overlap_join(own, spans, key, ("ls", "le"), ("rs", "re")).withColumn("o", overlap_seconds("ls", "le", "rs", "re")).filter("o > 0")
     totals = pairs.groupBy(key, left_id, who).agg(F.sum("o").alias("o"), F.min(right_id).alias("f"))
     most = totals.groupBy(key, left_id).agg(F.min_by(who, F.struct(-F.col("o"), "f")).alias("most"), F.max("o").alias("seconds"))

@@ -77,6 +77,34 @@ def test_nearest_bound_and_dominant(spark):
             assert both[key] == (best[2], None, best[0])
 
 
+def test_tiles_are_never_broadcast(spark, tmp_path):
+    """A few segments far apart make many tiles, from a table that is small enough to be sent to the driver."""
+    import datetime
+
+    import duckdb
+
+    from dialoom import plans
+
+    queries, sql = plans.load()
+    first, step = datetime.datetime(2024, 1, 1), datetime.timedelta(seconds=600 * 97)
+    kind = ("view", "click", "purchase", "error")
+    events = [(7 * i, first + i * step, 1, kind[i % 4], 1.0, "{}") for i in range(200)]
+    path = str(tmp_path / "events.parquet")
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").coalesce(1).write.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        df = queries["dominant_or_nearest_speaker"](spark, str(tmp_path))
+        got = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    assert len(got) > 3800
+    assert sorted(got) == sorted(con.sql(sql["dominant_or_nearest_speaker"]).fetchall())
+    assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_greedy_names(spark):
     local = [(1, 0, 10.0, 20.0, "A", ""), (1, 1, 20.0, 24.0, "B", ""), (1, 2, 24.0, 30.0, "C", ""), (1, 3, 99.0, 100.0, "D", ""), (2, 0, 12.0, 13.0, "A", "")]
     known = [(1, 0, 10.0, 19.0, "SPEAKER_01", ""), (1, 1, 18.0, 24.0, "SPEAKER_00", ""), (1, 2, 26.0, 30.0, "SPEAKER_00", "")]
