@@ -158,11 +158,17 @@ def weighted_reference_vote(spark: SparkSession, d: str) -> DataFrame:
     r = t.join(sec, "file_id").filter("k <> target").withColumns({"distance": F.greatest(F.lit(0.0), F.col("ta") - F.col("b"), F.col("a") - F.col("tb")), "reliable": F.max(~call).over(of)})
     q = r.filter(~F.col("reliable") | ~call).withColumn("n", F.row_number().over(of.orderBy("distance", "k"))).filter("n <= 6").select("file_id", "target", "k", "distance")
     s = segments(spark, d)
-    host = s.filter(F.col("speaker") == HOST).select("file_id", F.floor(F.col("start_s") / SECTION).alias("k"), F.col("start_s").alias("hs"), F.col("end_s").alias("he"))
-    under = intervals.overlap_join(host, s, "file_id", ("hs", "he"), ("start_s", "end_s")).withColumn("o", intervals.overlap_seconds("start_s", "end_s", "hs", "he")).filter("o > 0")
-    by = under.groupBy("file_id", "k", "speaker").agg(F.sum("o").alias("o"))
-    v = q.join(by, ["file_id", "k"]).groupBy("file_id", "target", "speaker").agg(F.sum(F.col("o") / (1 + F.col("distance") / 300)).alias("t"))
-    return v.select("file_id", "target", "speaker", (F.col("t") >= F.greatest(F.lit(0.8), 0.2 * F.max("t").over(of))).alias("kept"))
+    host = s.filter(F.col("speaker") == HOST).select("file_id", F.floor(F.col("start_s") / SECTION).alias("k"), F.col("seg_idx").alias("h"), F.col("start_s").alias("hs"), F.col("end_s").alias("he"))
+    under = lambda h: intervals.overlap_join(h, s, "file_id", ("hs", "he"), ("start_s", "end_s")).withColumn("o", intervals.overlap_seconds("start_s", "end_s", "hs", "he")).filter("o > 0")
+    share, bound = F.col("o") / (1 + F.col("distance") / 300), F.greatest(F.lit(0.8), 0.2 * F.max("t").over(of))
+    by, votes = under(host).groupBy("file_id", "k", "speaker").agg(F.sum("o").alias("o")), ["file_id", "target", "speaker"]
+    v = q.join(by, ["file_id", "k"]).groupBy(*votes).agg(F.sum(share).alias("t")).withColumn("bound", bound)
+    v = v.withColumn("close", F.max(F.abs(F.col("t") - F.col("bound")) < 1e-9 * F.col("bound")).over(of))
+    # where rounding decides, each overlap is divided and added by itself, as in the SQL, which leaves the order open; here it is that of the sentences
+    unsure = q.join(v.filter("close").select("file_id", "target").distinct(), ["file_id", "target"], "left_semi")
+    each = unsure.join(under(host.join(unsure, ["file_id", "k"], "left_semi")), ["file_id", "k"]).groupBy(*votes).agg(F.sort_array(F.collect_list(F.struct("h", "seg_idx", share.alias("t")))).alias("all"))
+    added = each.select(*votes, F.aggregate("all", F.lit(0.0), lambda t, x: t + x["t"]).alias("t"))
+    return v.filter("not close").select(*votes, "t").unionByName(added).select(*votes, (F.col("t") >= bound).alias("kept"))
 
 
 @query(SEGMENTS_SQL + """SELECT a.file_id, a.seg_idx, count(*) AS others FROM seg a JOIN seg b ON a.file_id = b.file_id AND a.speaker <> b.speaker AND least(a.end_s + 0.15, b.end_s) - greatest(a.start_s - 0.15, b.start_s) >= 0.12 GROUP BY 1, 2""")

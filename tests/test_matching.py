@@ -105,6 +105,34 @@ def test_tiles_are_never_broadcast(spark, tmp_path):
     assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_votes_that_meet_the_bound(spark, tmp_path):
+    """Speakers with just a fifth of the most, one file for each number of equal overlaps and distance: rounding decides as in the SQL."""
+    import datetime
+
+    import duckdb
+
+    from dialoom import plans
+
+    queries, sql = plans.load()
+    events, first = [], datetime.datetime(2024, 1, 1)
+
+    def add(file, start, seconds, kind):
+        events.append((20 * len(events) + seconds, first + datetime.timedelta(seconds=600 * start), file, kind, 1.0, "{}"))
+
+    for file in range(600):
+        for j in range(2 + file // 120):
+            add(file, 20 * j, 15, "view")
+            add(file, 20 * j + 2, 3, "click")
+        add(file, 240 + file % 120, 1, "error")
+    path = str(tmp_path / "events.parquet")
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").coalesce(1).write.parquet(path)
+    got = sorted(tuple(r) for r in queries["weighted_reference_vote"](spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    assert len(got) == 1200
+    assert got == sorted(con.sql(sql["weighted_reference_vote"]).fetchall())
+
+
 def test_greedy_names(spark):
     local = [(1, 0, 10.0, 20.0, "A", ""), (1, 1, 20.0, 24.0, "B", ""), (1, 2, 24.0, 30.0, "C", ""), (1, 3, 99.0, 100.0, "D", ""), (2, 0, 12.0, 13.0, "A", "")]
     known = [(1, 0, 10.0, 19.0, "SPEAKER_01", ""), (1, 1, 18.0, 24.0, "SPEAKER_00", ""), (1, 2, 26.0, 30.0, "SPEAKER_00", "")]
